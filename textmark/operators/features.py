@@ -17,16 +17,17 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorIndexer,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmark.operators.ranking import row_index
+from textmark.operators.tokens import words_only
 from textmark.settings import HASH_BUCKETS, TOP_K_ROWS, TREE_MAX_CATEGORIES, VOCABULARY_SIZE
 
 
 def term_counts(df: DataFrame, words: str = "words") -> DataFrame:
     """Corpus count of every term; hot terms combine before the shuffle."""
-    exploded = df.select(F.explode(words).alias("term"))
+    exploded = words_only(df, words=words, token="term")
     return exploded.groupBy("term").agg(F.count("*").alias("n"))
 
 
@@ -47,22 +48,26 @@ def vocabulary(
     return numbered.select(F.col("_row").cast("int").alias("index"), "term", "n")
 
 
-def vocabulary_model(
-    terms: DataFrame, words: str = "words", features: str = "features"
-) -> CountVectorizerModel:
-    """Count vectoriser over a ``vocabulary`` table.
+def term_list(terms: DataFrame) -> list[str]:
+    """The terms in index order, on the driver.
 
-    The terms visit the driver, as in every fitted vectoriser; their number is
-    the vocabulary size.
+    Every fitted vectoriser holds them there; their number is the vocabulary size.
     """
-    listed = [row["term"] for row in terms.select("index", "term").orderBy("index").collect()]
+    table = terms.select("index", "term").toArrow().sort_by("index")
+    return table.column("term").to_pylist()
+
+
+def vectoriser(
+    listed: Sequence[str], words: str = "words", features: str = "features"
+) -> CountVectorizerModel:
+    """Count vectoriser over a list of terms."""
     if not listed:
         raise ValueError("no term in any text")
     if len(listed) <= 1000 or any("\n" in term for term in listed):
-        return CountVectorizerModel.from_vocabulary(listed, words, features)
+        return CountVectorizerModel.from_vocabulary(list(listed), words, features)
     # from_vocabulary copies term by term through the gateway; one joined string
     # crosses it at once.
-    jvm = terms.sparkSession._jvm
+    jvm = SparkSession.getActiveSession()._jvm
     joined = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(listed))
     model = CountVectorizerModel._create_from_java_class(
         "org.apache.spark.ml.feature.CountVectorizerModel", joined
@@ -74,7 +79,8 @@ def vector_rows(df: DataFrame, keys: Sequence[str], features: str = "features")
     """Non-zero entries of sparse vectors as ``(keys, index, value)`` rows."""
     inner = F.unwrap_udt(features)
     entries = F.arrays_zip(inner["indices"].alias("index"), inner["values"].alias("value"))
-    return df.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.index", "_e.value")
+    rows = df.select(*keys, F.explode_outer(entries).alias("_e"))
+    return rows.where(F.col("_e").isNotNull()).select(*keys, "_e.index", "_e.value")
 
 
 def with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:

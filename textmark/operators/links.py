@@ -11,7 +11,8 @@ from textmark.operators.lookup import lookup_join
 
 def link_rows(pages: DataFrame, links: Column) -> DataFrame:
     """``(page_id, url, pos, href)``: one row per link, in page order."""
-    return pages.select("page_id", "url", F.posexplode(links).alias("pos", "href"))
+    rows = pages.select("page_id", "url", F.posexplode_outer(links).alias("pos", "href"))
+    return rows.where(F.col("href").isNotNull())
 
 
 def absolute_links(links: DataFrame) -> DataFrame:

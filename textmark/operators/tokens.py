@@ -17,14 +17,26 @@ from textmark.functions import text as T
 from textmark.operators.lookup import lookup_join
 
 
+# Exploding with an inner explode makes the optimiser test the array for emptiness
+# before it is built, which computes it twice; the outer form does not, and the
+# one NULL row of an empty text is filtered afterwards.
+
+
 def word_rows(df: DataFrame, key: str, words: str = "words", token: str = "token") -> DataFrame:
     """One row per word, positions from 0."""
-    return df.select(key, F.posexplode(words).alias("pos", token))
+    rows = df.select(key, F.posexplode_outer(words).alias("pos", token))
+    return rows.where(F.col(token).isNotNull())
+
+
+def words_only(df: DataFrame, *others: str, words: str = "words", token: str = "token") -> DataFrame:
+    """One row per word without its position, beside the ``others`` columns."""
+    rows = df.select(*others, F.explode_outer(words).alias(token))
+    return rows.where(F.col(token).isNotNull())
 
 
 def token_rows(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """One row per lower-cased token."""
-    raw = df.select(key, F.posexplode(T.raw_tokens(F.col(text))).alias("pos", "token"))
+    raw = word_rows(df.select(key, T.raw_tokens(F.col(text)).alias("words")), key)
     return raw.withColumn("token", F.lower("token"))
 
 

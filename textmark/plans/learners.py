@@ -107,12 +107,17 @@ def _linear_svm(spec: LearnerSpec, width: int, classes: int) -> list:
 
 
 def _one_vs_rest(spec: LearnerSpec, width: int, classes: int) -> list:
+    columns = _columns(spec.member)
+    # The meta-model reads its members' raw scores, and nothing else of them.
     logistic = LogisticRegression(
         maxIter=settings.LOGISTIC_ITERATIONS,
         tol=settings.LOGISTIC_TOLERANCE,
         fitIntercept=False,
+        rawPredictionCol=columns["rawPredictionCol"],
+        probabilityCol="",
+        predictionCol="",
     )
-    return [OneVsRest(classifier=logistic, featuresCol="features", **_columns(spec.member))]
+    return [OneVsRest(classifier=logistic, featuresCol="features", parallelism=4, **columns)]
 
 
 def _perceptron(spec: LearnerSpec, width: int, classes: int) -> list:
@@ -154,7 +159,9 @@ LEARNERS: dict[str, Callable[[LearnerSpec, int, int], list]] = {
 
 def labelled(df: DataFrame, spec: LearnerSpec, key: str, mark: str) -> DataFrame:
     """``(key, label, features)``; for a binary learner relabelled and balanced."""
-    rows = sampling.drop_incomplete(df.select(key, mark, "features"), mark, "features")
+    # Only the mark is tested: a test of the vectors would be pushed below the text
+    # preparation and compute it twice.
+    rows = sampling.drop_incomplete(df.select(key, mark, "features"), mark)
     if spec.target is None:
         return rows.select(key, F.col(mark).cast("double").alias("label"), "features")
     # Choose the balanced keys first: vectors do not travel with the ranking.

@@ -107,12 +107,11 @@ def fit_scorer(
     lemmas, stop_words = lemmas if lemmas is not None else {}, stop_words if stop_words is not None else ()
     clean = drop_incomplete(reviews.select(key, mark, text), mark, text)
     words = prepare_words(clean, key, text, lemmas, stop_words, filter_on)
-    terms = V.vocabulary(fit_rows(words, specs, key, fit_scope), vocabulary_size)
-    vectoriser = V.vocabulary_model(terms)
+    terms = V.term_list(V.vocabulary(fit_rows(words, specs, key, fit_scope), vocabulary_size))
+    vectoriser = V.vectoriser(terms)
     vectors = vectoriser.transform(words).drop("words").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        width = len(vectoriser.vocabulary)
-        members = train_members(vectors, specs, key, mark, width, parallelism)
+        members = train_members(vectors, specs, key, mark, len(terms), parallelism)
     finally:
         vectors.unpersist()
     return Scorer(vectoriser, tuple(members), lemmas, stop_words, filter_on)

@@ -47,7 +47,7 @@ def vocabulary_top(spark, folder):
 def _count_vectors(spark, folder, size=VOCABULARY_SIZE):
     prepared = prepared_documents(spark, folder)
     terms = V.vocabulary(prepared, size)
-    return V.vocabulary_model(terms).transform(prepared).drop("words"), terms
+    return V.vectoriser(V.term_list(terms)).transform(prepared).drop("words"), terms
 
 
 @query(

@@ -32,10 +32,8 @@ def load_reviews(spark, folder):
 
 @query("raw_tokens", f"WITH {S.token_rows()} SELECT doc_id, pos, token FROM raw")
 def raw_tokens(spark, folder):
-    found = T.raw_tokens(F.col("text"))
-    return tables.documents(spark, folder).select(
-        "doc_id", F.posexplode(found).alias("pos", "token")
-    )
+    found = T.raw_tokens(F.col("text")).alias("words")
+    return W.word_rows(tables.documents(spark, folder).select("doc_id", found), "doc_id")
 
 
 @query("tokenize", f"WITH {S.token_rows()} SELECT doc_id, pos, token FROM tokens")
@@ -50,7 +48,9 @@ def tokenize(spark, folder):
 )
 def label_term_counts(spark, folder):
     reviews = drop_incomplete(tables.language_rated(spark, folder), "rating", "text")
-    found = reviews.select("rating", F.explode(T.raw_tokens(F.col("text"))).alias("token"))
+    found = W.words_only(
+        reviews.select("rating", T.raw_tokens(F.col("text")).alias("words")), "rating"
+    )
     return found.groupBy("rating", F.lower("token").alias("token")).agg(F.count("*").alias("n"))
 
 
@@ -121,7 +121,7 @@ def prepare_text_token_filter(spark, folder):
         stop_words=words.SAMPLE_STOP_WORDS,
         filter_on="token",
     )
-    rows = prepared.select("doc_id", F.explode("words").alias("word"))
+    rows = W.words_only(prepared, "doc_id", token="word")
     return rows.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
