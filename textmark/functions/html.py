@@ -44,8 +44,9 @@ def hrefs(page: Column, css_class: str | None = None, tag: str = "a") -> Column:
 
 def container(page: Column, tag: str, css_class: str | None = None) -> Column:
     """Inside of the first such element; NULL when the page has none."""
-    pattern = rf"(?s)<{tag}\b{_class_condition(css_class)}[^>]*>(.*?)</{tag}>"
-    return F.when(page.rlike(pattern), F.regexp_extract(page, pattern, 1))
+    pattern = rf"(?s)<{tag}\b{_class_condition(css_class)}[^>]*>.*?</{tag}>"
+    whole = F.regexp_substr(page, F.lit(pattern))
+    return F.regexp_extract(whole, r"(?s)\A<[^>]*>(.*)</", 1)
 
 
 def decoded(text: Column, entities: str = "common") -> Column:

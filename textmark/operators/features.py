@@ -20,6 +20,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textmark.operators.lookup import lookup_join
 from textmark.operators.ranking import row_index
 from textmark.operators.tokens import words_only
 from textmark.settings import HASH_BUCKETS, TOP_K_ROWS, TREE_MAX_CATEGORIES, VOCABULARY_SIZE
@@ -83,9 +84,10 @@ def vector_rows(df: DataFrame, keys: Sequence[str], features: str = "features")
     return rows.where(F.col("_e").isNotNull()).select(*keys, "_e.index", "_e.value")
 
 
-def with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """Add the term of every ``index``; a vocabulary has at most its stated size."""
-    return rows.join(F.broadcast(terms.select("index", "term")), "index")
+def with_terms(rows: DataFrame, terms: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the term of every ``index``."""
+    named = terms.select("index", "term")
+    return lookup_join(rows, named, ["index"], "inner", keys, VOCABULARY_SIZE)
 
 
 def inverse_document_frequency(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,3 +48,9 @@ def mean_member_accuracy(df: DataFrame, member: str = "member") -> DataFrame:
 
 def confusion(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     return df.groupBy(label, prediction).agg(F.count("*").alias("n"))
+
+
+def stage_counts(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
+    """``(stage, n)``: rows that meet each stage's condition, all in one scan."""
+    counted = df.agg(*[F.count_if(condition).alias(name) for name, condition in stages.items()])
+    return counted.unpivot([], list(stages), "stage", "n")

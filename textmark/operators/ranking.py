@@ -2,6 +2,7 @@
 
 Positions within hash order come from the digest itself: count rows per digest
 prefix, add up the counts of the prefixes before, and rank only inside a prefix.
+Keys are unique, so the prefixes are of even size whatever group is large.
 Positions within any other order come from a distributed sort whose partitions
 are pinned by a checkpoint.
 """
@@ -70,20 +71,32 @@ def hash_positions(
     return joined.select(*df.columns, *added)
 
 
-def first_by_hash(
+def in_hash_order(key: str, salt: str = "") -> Column:
+    """What rows are compared by: the digest, then the key itself."""
+    return F.struct(key_digest(F.col(key), salt).alias("digest"), F.col(key).alias("key"))
+
+
+def hash_cutoffs(
     df: DataFrame, key: str, by: Sequence[str], quota: Column, salt: str = ""
 ) -> DataFrame:
-    """The first rows of every group in hash order.
+    """Per group, the last row in hash order that is within ``quota`` rows.
 
-    ``quota`` may use ``_in_group`` and window functions over the offset rows.
-    Buckets beyond the quota are dropped by the join, before any row is sorted.
+    ``quota`` is an expression over ``_in_group``, the size of the group.  Only
+    the one bucket of each group in which the quota ends is ranked; every other
+    row takes part in nothing but the counting.  Meant for few groups, such as
+    class labels: their cutoffs are broadcast.
     """
-    bucketed = _with_bucket(df, key, salt)
-    offsets = bucket_offsets(bucketed, by).withColumn("_quota", quota)
-    wanted = offsets.where(F.col("_before") < F.col("_quota"))
-    joined = bucketed.join(wanted, [*by, "_bucket"])
-    kept = joined.withColumn("_position", _rank_in_bucket(by, key))
-    return kept.where(F.col("_position") <= F.col("_quota")).select(*df.columns)
+    bucketed = _with_bucket(df.select(*by, key), key, salt)
+    offsets = bucket_offsets(bucketed, by).withColumn("_quota", F.floor(quota))
+    ends = offsets.where(
+        (F.col("_before") < F.col("_quota"))
+        & (F.col("_quota") <= F.col("_before") + F.col("_in_bucket"))
+    )
+    ranked = bucketed.join(F.broadcast(ends), [*by, "_bucket"]).withColumn(
+        "_position", _rank_in_bucket(by, key)
+    )
+    last = F.struct(F.col("_digest").alias("digest"), F.col(key).alias("key"))
+    return ranked.where(F.col("_position") == F.col("_quota")).select(*by, last.alias("_last"))
 
 
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
@@ -92,7 +105,8 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -
     The range-partitioned sort is written once; afterwards a row's number is its
     place in its partition plus the sizes of the partitions before.  Only those
     sizes, one row per partition, are added up in one task and broadcast.
-    Pass narrow rows: everything in ``df`` is written.
+    Pass narrow rows, since everything in ``df`` is written, and end the order
+    with a unique column, so that equal rows do not share one partition.
     """
     pinned = cut_lineage(df.orderBy(*order)).select(
         "*",

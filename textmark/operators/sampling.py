@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmark.functions.keys import in_share, key_digest
 from textmark.functions.votes import valid_mark
-from textmark.operators.ranking import first_by_hash, hash_positions, row_index
+from textmark.operators.ranking import hash_cutoffs, hash_positions, in_hash_order, row_index
 from textmark.settings import HIGHEST_MARK, LOWEST_MARK, SHUFFLE_SEED, TRAIN_SHARE
 
 
@@ -26,10 +26,13 @@ def to_mark(df: DataFrame, label: str = "prediction", mark: str = "mark") -> Dat
     return df.withColumn(mark, F.col(label).cast("double") + LOWEST_MARK)
 
 
+def whole_mark(value: Column) -> Column:
+    """True for a whole number from 1 to 10."""
+    return value.between(LOWEST_MARK, HIGHEST_MARK) & (value == F.floor(value))
+
+
 def valid_marks(df: DataFrame, mark: str = "rating") -> DataFrame:
-    """Rows whose mark is a whole number from 1 to 10."""
-    value = F.col(mark)
-    return df.where(value.between(LOWEST_MARK, HIGHEST_MARK) & (value == F.floor(value)))
+    return df.where(whole_mark(F.col(mark)))
 
 
 def drop_failed(df: DataFrame, mark: str = "mark") -> DataFrame:
@@ -61,16 +64,22 @@ def random_split(
 def stratified_split(
     df: DataFrame, key: str, label: str = "label", salt: str = "", share: float = TRAIN_SHARE
 ) -> DataFrame:
-    """Add ``in_train``: exactly the first ``share`` of every class in hash order."""
-    ranked = hash_positions(df, key, [label], salt, "_position", total="_in_class")
-    chosen = F.col("_position") <= F.col("_in_class") * F.lit(share)
-    return ranked.select(*df.columns, chosen.alias("in_train"))
+    """Add ``in_train``: exactly the first ``share`` of every class in hash order.
+
+    Rows are compared with their class's cutoff where they are; none moves.
+    """
+    cutoffs = hash_cutoffs(df, key, [label], F.col("_in_group") * F.lit(share), salt)
+    joined = df.join(F.broadcast(cutoffs), label, "left")
+    chosen = F.coalesce(in_hash_order(key, salt) <= F.col("_last"), F.lit(False))
+    return joined.select(*df.columns, chosen.alias("in_train"))
 
 
 def balance(df: DataFrame, key: str, label: str = "label", salt: str = "") -> DataFrame:
     """As many rows of every class as the smallest class has, first in hash order."""
     smallest = F.min("_in_group").over(Window.partitionBy())
-    return first_by_hash(df, key, [label], smallest, salt)
+    cutoffs = hash_cutoffs(df, key, [label], smallest, salt)
+    joined = df.join(F.broadcast(cutoffs), label)
+    return joined.where(in_hash_order(key, salt) <= F.col("_last")).select(*df.columns)
 
 
 def class_counts(df: DataFrame, label: str = "label") -> DataFrame:

@@ -93,15 +93,3 @@ def _prepare_by_join(df, key, text, lemmas, stop_words, filter_on) -> DataFrame:
     return (
         texts.drop(text).join(arrays, key, "left").withColumn("words", F.coalesce("words", empty))
     )
-
-
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of each named stage, in one job."""
-    counted = [
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), "n")
-        for name, df in stages.items()
-    ]
-    whole = counted[0]
-    for part in counted[1:]:
-        whole = whole.unionByName(part)
-    return whole

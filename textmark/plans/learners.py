@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from textmark import settings
 from textmark.operators import features as V
 from textmark.operators import metrics, sampling
+from textmark.runtime import compact
 
 # A perceptron copies its rows into dense blocks; wide vectors get fewer rows
 # per block, so that a block stays within this size.
@@ -164,10 +165,8 @@ def labelled(df: DataFrame, spec: LearnerSpec, key: str, mark: str) -> DataFrame
     rows = sampling.drop_incomplete(df.select(key, mark, "features"), mark)
     if spec.target is None:
         return rows.select(key, F.col(mark).cast("double").alias("label"), "features")
-    # Choose the balanced keys first: vectors do not travel with the ranking.
-    classes = sampling.binarise(rows.select(key, mark), spec.target, mark)
-    chosen = sampling.balance(classes.select(key, "label"), key, "label", spec.salt)
-    return rows.select(key, "features").join(chosen, key).select(key, "label", "features")
+    classes = sampling.binarise(rows, spec.target, mark).select(key, "label", "features")
+    return sampling.balance(classes, key, "label", spec.salt)
 
 
 def parts(rows: DataFrame, spec: LearnerSpec, key: str) -> tuple[DataFrame, DataFrame]:
@@ -176,6 +175,19 @@ def parts(rows: DataFrame, spec: LearnerSpec, key: str) -> tuple[DataFrame, Data
     return sampling.split(rows, key, spec.salt)
 
 
+def check_labels(rows: DataFrame, spec: LearnerSpec) -> None:
+    """Refuse rows no mark can be learnt from, before labels reach the driver."""
+    label = F.col("label")
+    allowed = sampling.whole_mark(label) if spec.target is None else label.isin(0.0, 1.0)
+    seen = rows.agg(
+        F.count_if(~allowed).alias("strange"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).first()
+    if seen["strange"]:
+        raise ValueError(f"{spec.member}: {seen['strange']} rows have no whole mark from 1 to 10")
+    if seen["low"] == seen["high"]:
+        raise ValueError(f"{spec.member}: training needs two marks, found only {seen['low']}")
+
+
 def train(
     df: DataFrame,
     spec: LearnerSpec,
@@ -202,14 +214,14 @@ def train(
         if spec.target is not None:
             # 0.0 and 1.0 keep their own indices.
             indexer = indexer.setStringOrderType("alphabetAsc")
-        index = indexer.fit(fit_rows)
+        check_labels(fit_rows, spec)
+        dense = compact(fit_rows)
+        index = indexer.fit(dense)
         classes = len(index.labels)
-        if classes < 2:
-            raise ValueError(f"{member}: training needs two marks, found {list(index.labels)}")
-        width = width or V.vector_width(fit_rows)
+        width = width or V.vector_width(dense)
         stages = LEARNERS[spec.kind](spec, width, classes)
         named = V.label_names(index.labels, f"prediction_{member}", f"label_{member}")
-        fitted = Pipeline(stages=[index, *stages, named]).fit(fit_rows)
+        fitted = Pipeline(stages=[index, *stages, named]).fit(dense)
     finally:
         fit_rows.unpersist()
     # Without the label indexer: scoring needs no label and meets unseen ones.

@@ -57,7 +57,7 @@ def _count_vectors(spark, folder, size=VOCABULARY_SIZE):
 )
 def bag_of_words(spark, folder):
     vectors, terms = _count_vectors(spark, folder)
-    rows = V.with_terms(V.vector_rows(vectors, ["doc_id"]), terms)
+    rows = V.with_terms(V.vector_rows(vectors, ["doc_id"]), terms, ["doc_id"])
     return rows.select("doc_id", "term", F.col("value").alias("n"))
 
 
@@ -91,7 +91,7 @@ def count_vector_stats(spark, folder):
 def tfidf(spark, folder):
     vectors, terms = _count_vectors(spark, folder)
     weighted = V.inverse_document_frequency(vectors).transform(vectors)
-    rows = V.with_terms(V.vector_rows(weighted, ["doc_id"], "weighted"), terms)
+    rows = V.with_terms(V.vector_rows(weighted, ["doc_id"], "weighted"), terms, ["doc_id"])
     return rows.select("doc_id", "term", F.round("value", 6).alias("weight"))
 
 
@@ -185,7 +185,7 @@ def vector_index(spark, folder):
     maps = V.category_indexer().fit(vectors).categoryMaps
     rows = [(int(i), float(v), int(c)) for i, codes in maps.items() for v, c in codes.items()]
     codes = spark.createDataFrame(rows, "index int, value double, category long")
-    return V.with_terms(codes, terms).select("term", "value", "category")
+    return V.with_terms(codes, terms, ["value"]).select("term", "value", "category")
 
 
 @query(

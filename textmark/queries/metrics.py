@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from textmark.operators import metrics
 from textmark.operators.sampling import binarise
-from textmark.operators.tokens import stage_counts
 from textmark.queries import sql as S
 from textmark.queries.registry import query
 from textmark.sources import tables
@@ -56,6 +55,6 @@ def confusion(spark, folder):
 def stage_counts_query(spark, folder):
     rows = tables.quality_rated(spark, folder).select("doc_id", "rating")
     positive = F.col("rating") == 1.0
-    return stage_counts(
-        {"read": rows, "positive": rows.where(positive), "negative": rows.where(~positive)}
+    return metrics.stage_counts(
+        rows, {"read": F.lit(True), "positive": positive, "negative": ~positive}
     )

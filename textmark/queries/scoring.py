@@ -79,5 +79,9 @@ def score_stream_query(spark, folder):
         .select("doc_id", "text")
     )
     target = work_folder(spark, "score-stream")
-    score_stream(arriving, scorer, f"{target}/marks", f"{target}/state").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    running = score_stream(
+        arriving, scorer, f"{target}/marks", f"{target}/state", partitions=cores
+    )
+    running.awaitTermination()
     return spark.read.parquet(f"{target}/marks").select("doc_id", F.round("mark", 9).alias("mark"))

@@ -51,3 +51,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def compact(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """At most a few partitions per core, without a shuffle.
+
+    Learners return one dense, vocabulary-wide buffer per partition and label;
+    this bounds their number by the cluster, not by the data.  Use it on
+    persisted rows, which keep their own small partitions below.
+    """
+    most = per_core * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(most) if df.rdd.getNumPartitions() > most else df

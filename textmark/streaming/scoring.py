@@ -28,13 +28,17 @@ def score_stream(
     key: str = "doc_id",
     text: str = "text",
     available_now: bool = True,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Append a mark for every arriving text to parquet below ``out``.
 
     Stateless, so there is nothing to grow.  A restart from ``checkpoint``
     repeats no row: the file sink commits whole batches, and the batch form
-    overwrites its own batch folder.
+    overwrites its own batch folder.  ``partitions`` spreads the texts of a source
+    that has fewer files than the cluster has cores.
     """
+    if partitions:
+        arriving = arriving.repartition(partitions)
     if _joins_or_caches(scorer):
 
         def write(batch: DataFrame, number: int) -> None:
