@@ -23,6 +23,9 @@ from textmark.operators import features as V
 from textmark.operators import metrics, sampling
 from textmark.runtime import compact
 
+# Added to a member's salt when its classes are balanced.
+BALANCE_SALT = "balance"
+
 # A perceptron copies its rows into dense blocks; wide vectors get fewer rows
 # per block, so that a block stays within this size.
 _BLOCK_BYTES = 64 << 20
@@ -76,11 +79,15 @@ class TrainedMember:
         return self.tested.agg(*figures).select(F.lit(self.spec.member).alias("member"), "*")
 
 
-def _columns(member: str) -> dict[str, str]:
+def raw_column(spec: LearnerSpec) -> str:
+    return f"raw_{spec.member}"
+
+
+def _columns(spec: LearnerSpec) -> dict[str, str]:
     return {
-        "labelCol": f"index_{member}",
-        "predictionCol": f"prediction_{member}",
-        "rawPredictionCol": f"raw_{member}",
+        "labelCol": f"index_{spec.member}",
+        "predictionCol": f"prediction_{spec.member}",
+        "rawPredictionCol": raw_column(spec),
     }
 
 
@@ -91,7 +98,7 @@ def _naive_bayes(spec: LearnerSpec, width: int, classes: int) -> list:
             smoothing=settings.BAYES_SMOOTHING,
             featuresCol="features",
             probabilityCol=f"probability_{spec.member}",
-            **_columns(spec.member),
+            **_columns(spec),
         )
     ]
 
@@ -102,23 +109,24 @@ def _linear_svm(spec: LearnerSpec, width: int, classes: int) -> list:
             maxIter=settings.SVM_ITERATIONS,
             regParam=settings.SVM_REGULARISATION,
             featuresCol="features",
-            **_columns(spec.member),
+            **_columns(spec),
         )
     ]
 
 
 def _one_vs_rest(spec: LearnerSpec, width: int, classes: int) -> list:
-    columns = _columns(spec.member)
     # The meta-model reads its members' raw scores, and nothing else of them.
     logistic = LogisticRegression(
         maxIter=settings.LOGISTIC_ITERATIONS,
         tol=settings.LOGISTIC_TOLERANCE,
         fitIntercept=False,
-        rawPredictionCol=columns["rawPredictionCol"],
+        rawPredictionCol=raw_column(spec),
         probabilityCol="",
         predictionCol="",
     )
-    return [OneVsRest(classifier=logistic, featuresCol="features", parallelism=4, **columns)]
+    return [
+        OneVsRest(classifier=logistic, featuresCol="features", parallelism=4, **_columns(spec))
+    ]
 
 
 def _perceptron(spec: LearnerSpec, width: int, classes: int) -> list:
@@ -131,7 +139,7 @@ def _perceptron(spec: LearnerSpec, width: int, classes: int) -> list:
             seed=spec.seed,
             featuresCol="features",
             probabilityCol=f"probability_{spec.member}",
-            **_columns(spec.member),
+            **_columns(spec),
         )
     ]
 
@@ -144,7 +152,7 @@ def _tree(spec: LearnerSpec, width: int, classes: int) -> list:
             featuresCol=indexed,
             probabilityCol=f"probability_{spec.member}",
             seed=spec.seed,
-            **_columns(spec.member),
+            **_columns(spec),
         ),
     ]
 
@@ -166,7 +174,9 @@ def labelled(df: DataFrame, spec: LearnerSpec, key: str, mark: str) -> DataFrame
     if spec.target is None:
         return rows.select(key, F.col(mark).cast("double").alias("label"), "features")
     classes = sampling.binarise(rows, spec.target, mark).select(key, "label", "features")
-    return sampling.balance(classes, key, "label", spec.salt)
+    # Not the salt of the split: the rows kept of a large class come first in their
+    # order, and in the same order they would all be training rows.
+    return sampling.balance(classes, key, "label", spec.salt + BALANCE_SALT)
 
 
 def parts(rows: DataFrame, spec: LearnerSpec, key: str) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import OneVsRestModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from textmark.operators import features as V
 from textmark.operators.sampling import drop_incomplete
 from textmark.operators.tokens import prepare_words
 from textmark.plans.ensemble import mark_with_members, train_members
-from textmark.plans.learners import LearnerSpec, TrainedMember
+from textmark.plans.learners import LearnerSpec, TrainedMember, raw_column
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,7 @@ class Scorer:
     def load(cls, spark: SparkSession, path: str) -> "Scorer":
         stored = json.loads(spark.read.text(f"{path}/settings", wholetext=True).first()["value"])
         members = tuple(
-            TrainedMember(LearnerSpec(**spec), PipelineModel.load(f"{path}/member-{number}"))
+            _load_member(LearnerSpec(**spec), f"{path}/member-{number}")
             for number, spec in enumerate(stored["members"])
         )
         lemmas, stops = stored["lemmas"], stored["stop_words"]
@@ -72,6 +73,15 @@ class Scorer:
         )
 
 
+def _load_member(spec: LearnerSpec, path: str) -> TrainedMember:
+    model = PipelineModel.load(path)
+    for stage in model.stages:
+        # The stored form of this model forgets its raw score column.
+        if isinstance(stage, OneVsRestModel):
+            stage.setRawPredictionCol(raw_column(spec))
+    return TrainedMember(spec, model)
+
+
 def fit_rows(words: DataFrame, specs: Sequence[LearnerSpec], key: str, fit_scope: str) -> DataFrame:
     """The rows the vocabulary is taken from.
 

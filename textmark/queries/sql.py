@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from textmark import settings
 from textmark.functions.keys import share_limit
+from textmark.plans.learners import BALANCE_SALT
 from textmark.sources.tables import LANGUAGE_MARKS
 from textmark.sources.words import SAMPLE_LEMMAS, SAMPLE_STOP_WORDS
 
@@ -86,7 +87,7 @@ def bayes(
             SELECT *, min(n_label) OVER (PARTITION BY member) AS n_min FROM (
                 SELECT s.member, s.doc_id, s.in_train, (s.rating = {target})::DOUBLE AS label,
                        row_number() OVER (PARTITION BY s.member, s.rating = {target}
-                           ORDER BY md5(m.salt || s.doc_id::VARCHAR), s.doc_id) AS place,
+                           ORDER BY md5(m.salt || '{BALANCE_SALT}' || s.doc_id::VARCHAR), s.doc_id) AS place,
                        count(*) OVER (PARTITION BY s.member, s.rating = {target}) AS n_label
                 FROM sides s JOIN members m ON m.member = s.member))
         WHERE place <= n_min"""

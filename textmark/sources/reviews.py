@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,16 +14,26 @@ RESULT_COLUMNS = ("prediction", "label")
 
 
 def _read(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """A CSV with a header; columns by name, quotes inside a text doubled."""
-    return spark.read.csv(
-        path,
-        header=True,
-        escape='"',
-        multiLine=multi_line,
-        enforceSchema=False,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    """A CSV with a header; columns by name, quotes inside a text doubled.
+
+    Files whose header differs from the first one's are an error, not shifted
+    columns; only an index column without a name cannot be checked.
+    """
+
+    def read(check_headers: bool) -> DataFrame:
+        return spark.read.csv(
+            path,
+            header=True,
+            escape='"',
+            multiLine=multi_line,
+            enforceSchema=not check_headers,
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
+
+    checked = read(check_headers=True)
+    unnamed = any(re.fullmatch(r"_c\d+", name) for name in checked.columns)
+    return read(check_headers=False) if unnamed else checked
 
 
 def read_reviews(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
