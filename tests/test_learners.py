@@ -136,7 +136,7 @@ def test_bayes_on_texts_equals_the_formula(reviews):
     }
     training = [row for key, row in rows.items() if key not in tested]
     vocabulary = {w for _, row in training for w in row}
-    assert set(scorer.vectoriser.vocabulary) == vocabulary
+    assert set(scorer.extractor.stages[0].vocabulary) == vocabulary
     for key, row in tested.items():
         assert row["prediction"] == brute_force_bayes(training, vocabulary, rows[key][1])
 
@@ -173,11 +173,18 @@ def test_stream_equals_batch(spark, reviews, folder, specs):
     assert rows_of(streamed) == rows_of(score_table(texts, scorer).select("doc_id", "mark"))
 
 
+def test_hashed_tfidf_scorer(reviews):
+    scorer = fit_scorer(reviews, SPECS[:1], extractor="hashed_tfidf", vocabulary_size=1 << 10)
+    assert score_table(reviews.dropna(), scorer).where("mark = rating").count() > 100
+    with pytest.raises(ValueError, match="no extractor"):
+        fit_scorer(reviews, SPECS[:1], extractor="pixels")
+
+
 def test_fit_scope(reviews):
     spec = LearnerSpec("naive_bayes", "nb")
     only = reviews.unionByName(reviews.limit(1).selectExpr("doc_id + 5000 as doc_id", "9.0D as rating", "'unique' as text"))
-    everything = fit_scorer(only, [spec], fit_scope="all").vectoriser.vocabulary
-    trained = fit_scorer(only, [spec]).vectoriser.vocabulary
+    everything = fit_scorer(only, [spec], fit_scope="all").extractor.stages[0].vocabulary
+    trained = fit_scorer(only, [spec]).extractor.stages[0].vocabulary
     assert set(trained) <= set(everything) and "unique" in everything
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from textmark.operators.lookup import lookup_join
 from textmark.operators.ranking import row_index
 from textmark.operators.tokens import words_only
+from textmark.runtime import cut_lineage
 from textmark.settings import HASH_BUCKETS, TOP_K_ROWS, TREE_MAX_CATEGORIES, VOCABULARY_SIZE
 
 
@@ -37,14 +39,15 @@ def vocabulary(
 ) -> DataFrame:
     """``(index, term, n)``: the most frequent terms, ties in term order.
 
-    The order is total, so the same corpus always gives the same indices.
+    The order is total, so the same corpus always gives the same indices.  The
+    table is computed here, once, and read back from the shared folder.
     """
     counts = term_counts(df, words)
     order = [F.desc("n"), F.asc("term")]
     if size <= TOP_K_ROWS:
         top = counts.orderBy(*order).limit(size)
         number = F.row_number().over(Window.orderBy(*order)) - 1
-        return top.select(number.cast("int").alias("index"), "term", "n")
+        return cut_lineage(top.select(number.cast("int").alias("index"), "term", "n"))
     numbered = row_index(counts, order, "_row").where(F.col("_row") < size)
     return numbered.select(F.col("_row").cast("int").alias("index"), "term", "n")
 
@@ -103,6 +106,38 @@ def hashed_counts(
     return HashingTF(inputCol=words, outputCol=features, numFeatures=buckets)
 
 
+def fit_counts(
+    df: DataFrame, size: int = VOCABULARY_SIZE, words: str = "words", features: str = "features"
+) -> PipelineModel:
+    """Extractor of count vectors over the vocabulary of ``df``."""
+    listed = term_list(vocabulary(df, size, words))
+    return PipelineModel([vectoriser(listed, words, features)])
+
+
+def fit_hashed_tfidf(
+    df: DataFrame, size: int = HASH_BUCKETS, words: str = "words", features: str = "features"
+) -> PipelineModel:
+    """Extractor of hashed counts weighted by the IDF of ``df``."""
+    raw = f"raw_{features}"
+    idf = IDF(inputCol=raw, outputCol=features, minDocFreq=0)
+    return Pipeline(stages=[hashed_counts(words, raw, size), idf]).fit(df.select(words))
+
+
+EXTRACTORS = {"counts": fit_counts, "hashed_tfidf": fit_hashed_tfidf}
+
+
+def fit_extractor(kind: str, df: DataFrame, size: int) -> PipelineModel:
+    """A fitted extractor; ``extract`` applies it to these or any other words."""
+    if kind not in EXTRACTORS:
+        raise ValueError(f"no extractor {kind!r}; there are {sorted(EXTRACTORS)}")
+    return EXTRACTORS[kind](df, size)
+
+
+def extract(model: PipelineModel, df: DataFrame, features: str = "features") -> DataFrame:
+    """``df`` with its vectors; intermediate columns drop."""
+    return model.transform(df).select(*df.columns, features)
+
+
 def label_indexer(label: str = "label", indexed: str = "indexed_label") -> StringIndexer:
     """Labels by frequency, ties in label order."""
     return StringIndexer(inputCol=label, outputCol=indexed, stringOrderType="frequencyDesc")

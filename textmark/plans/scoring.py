@@ -10,7 +10,6 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import OneVsRestModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +26,7 @@ from textmark.plans.learners import LearnerSpec, TrainedMember, raw_column
 class Scorer:
     """Word lists, vocabulary and members: all that a text needs to get a mark."""
 
-    vectoriser: CountVectorizerModel
+    extractor: PipelineModel
     members: tuple[TrainedMember, ...]
     lemmas: Mapping[str, str] | DataFrame
     stop_words: Collection[str] | DataFrame
@@ -35,11 +34,11 @@ class Scorer:
 
     def vectors(self, df: DataFrame, key: str, text: str) -> DataFrame:
         words = prepare_words(df, key, text, self.lemmas, self.stop_words, self.filter_on)
-        return self.vectoriser.transform(words).drop("words")
+        return V.extract(self.extractor, words).drop("words")
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
-        self.vectoriser.write().overwrite().save(f"{path}/vectoriser")
+        self.extractor.write().overwrite().save(f"{path}/extractor")
         for number, member in enumerate(self.members):
             member.model.write().overwrite().save(f"{path}/member-{number}")
         lemmas, stops = self.lemmas, self.stop_words
@@ -65,7 +64,7 @@ class Scorer:
         )
         lemmas, stops = stored["lemmas"], stored["stop_words"]
         return cls(
-            CountVectorizerModel.load(f"{path}/vectoriser"),
+            PipelineModel.load(f"{path}/extractor"),
             members,
             spark.read.parquet(f"{path}/lemmas") if lemmas is None else lemmas,
             spark.read.parquet(f"{path}/stop_words") if stops is None else stops,
@@ -107,24 +106,27 @@ def fit_scorer(
     stop_words: Collection[str] | DataFrame | None = None,
     filter_on: str = "stem",
     vocabulary_size: int = settings.VOCABULARY_SIZE,
+    extractor: str = "counts",
     fit_scope: str = "train",
     parallelism: int = 1,
 ) -> Scorer:
-    """Clean, prepare, build the vocabulary and train every member.
+    """Clean, prepare, fit the extractor and train every member.
 
+    ``extractor`` is ``"counts"`` (bag of words) or ``"hashed_tfidf"``.
     The vectors are kept once for all members and released afterwards.
     """
-    lemmas, stop_words = lemmas if lemmas is not None else {}, stop_words if stop_words is not None else ()
+    lemmas = {} if lemmas is None else lemmas
+    stop_words = () if stop_words is None else stop_words
     clean = drop_incomplete(reviews.select(key, mark, text), mark, text)
     words = prepare_words(clean, key, text, lemmas, stop_words, filter_on)
-    terms = V.term_list(V.vocabulary(fit_rows(words, specs, key, fit_scope), vocabulary_size))
-    vectoriser = V.vectoriser(terms)
-    vectors = vectoriser.transform(words).drop("words").persist(StorageLevel.MEMORY_AND_DISK)
+    seen = fit_rows(words, specs, key, fit_scope)
+    fitted = V.fit_extractor(extractor, seen, vocabulary_size)
+    vectors = V.extract(fitted, words).drop("words").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        members = train_members(vectors, specs, key, mark, len(terms), parallelism)
+        members = train_members(vectors, specs, key, mark, None, parallelism)
     finally:
         vectors.unpersist()
-    return Scorer(vectoriser, tuple(members), lemmas, stop_words, filter_on)
+    return Scorer(fitted, tuple(members), lemmas, stop_words, filter_on)
 
 
 def score_table(df: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -119,9 +119,9 @@ def hashing_tf_totals(spark, folder):
 @query("hashed_tfidf")
 def hashed_tfidf(spark, folder):
     """``(doc_id, bucket, weight)``: hashed counts weighted by their own IDF."""
-    hashed = V.hashed_counts().transform(prepared_documents(spark, folder))
-    weighted = V.inverse_document_frequency(hashed, "raw_features", "features").transform(hashed)
-    return V.vector_rows(weighted.select("doc_id", "features"), ["doc_id"]).select(
+    prepared = prepared_documents(spark, folder)
+    vectors = V.extract(V.fit_hashed_tfidf(prepared), prepared)
+    return V.vector_rows(vectors, ["doc_id"]).select(
         "doc_id", F.col("index").alias("bucket"), F.round("value", 6).alias("weight")
     )
 

@@ -31,6 +31,24 @@ def nb_multiclass(spark, folder):
     return _tested(tables.language_rated(spark, folder), LearnerSpec("naive_bayes", "nb"))
 
 
+@query(
+    "nb_vocabulary_of_all",
+    f"WITH {S.tested(S.LANGUAGE_RATED, [('nb', '')], scope='all')} "
+    "SELECT doc_id, label, prediction FROM tested",
+)
+def nb_vocabulary_of_all(spark, folder):
+    """The vocabulary also knows the words of the test texts."""
+    spec = LearnerSpec("naive_bayes", "nb")
+    return _tested(tables.language_rated(spark, folder), spec, fit_scope="all")
+
+
+@query("nb_hashed_tfidf")
+def nb_hashed_tfidf(spark, folder):
+    """Naive Bayes on hashed TF-IDF vectors."""
+    spec = LearnerSpec("naive_bayes", "nb")
+    return _tested(tables.language_rated(spark, folder), spec, extractor="hashed_tfidf")
+
+
 @query(
     "nb_multiclass_scores",
     f"WITH {S.bayes(S.LANGUAGE_RATED, [('nb', '')])} "

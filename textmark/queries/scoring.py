@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textmark.operators.metrics import error_report
 from textmark.plans.scoring import beside_truth, one_text, score_table
 from textmark.queries import sql as S
 from textmark.queries.ensemble import MEMBERS, SPECS
@@ -42,6 +43,18 @@ def score_beside_truth(spark, folder):
     return beside_truth(scored.withColumn("mark", F.round("mark", 9)), truth)
 
 
+@query(
+    "vote_accuracy",
+    f"""SELECT count(*) AS n, avg((prediction = label)::DOUBLE) AS accuracy,
+               round(avg(abs(label - prediction)), 9) AS mean_error,
+               max(abs(label - prediction)) AS max_error FROM ({_SCORED})""",
+)
+def vote_accuracy(spark, folder):
+    """Error figures of the voted marks."""
+    report = error_report(score_table_query(spark, folder))
+    return report.withColumn("mean_error", F.round("mean_error", 9))
+
+
 def _one_text_sql():
     rated = (
         f"SELECT * FROM ({S.LANGUAGE_RATED}) UNION ALL "

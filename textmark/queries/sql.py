@@ -136,10 +136,11 @@ def tested(
     members: Sequence[tuple[str, str]],
     target: float | None = None,
     holdout: bool = True,
+    scope: str = "train",
 ) -> str:
     """``bayes`` and then ``tested(member, doc_id, label, prediction)``."""
     side = "WHERE NOT l.in_train" if holdout else ""
-    return f"""{bayes(rated, members, target, holdout)},
+    return f"""{bayes(rated, members, target, holdout, scope)},
     tested AS (SELECT l.member, l.doc_id, l.label, p.mark AS prediction
                FROM labelled l JOIN marks p ON p.member = l.member AND p.doc_id = l.doc_id {side})"""
 

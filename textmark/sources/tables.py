@@ -39,7 +39,7 @@ def quality_rated(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("rating")
     )
-    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return documents(spark, folder).join(labels, "doc_id")
 
 
 def event_results(spark: SparkSession, folder: str) -> DataFrame:
