@@ -53,14 +53,37 @@ def test_visible_text(pages):
     assert by_page(pages, html.visible_text(box, scripts="all"))[1] == "Good & long end12"
 
 
+def test_any_tag_inside_another_element(spark):
+    page = (
+        "<b class='text'>menu</b><SECTION class='reviewPage x'><p class='text'>one <i>two</i></p>"
+        "<p class='text'>three</p></SECTION><span itemprop=ratingValue>7</span>"
+    )
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert tuple(review_records(pages).first()) == (1, 7.0, "one two")
+    parsed = review_records(pages, PageLayout(tag="p", parse=True)).first()
+    assert tuple(parsed) == (1, 7.0, "one two")
+
+
+def test_links_of_all_containers(spark):
+    page = (
+        '<div class="text"><A HREF="/1?a=1&amp;b=2">1</A></div><a href="/no"></a>'
+        "<div class='text'><a class=\"x\" href='/2'>2</a></div>"
+    )
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    inside = html.hrefs(html.containers(F.col("html"), "div", "text"))
+    assert by_page(pages, inside)[1] == ["/1?a=1&b=2", "/2"]
+    assert by_page(pages, html_parser.element_links(F.col("html"), "div", "text"))[1] == ["/1?a=1&b=2", "/2"]
+
+
 def test_entities(spark):
-    row = spark.createDataFrame([("&amp;lt; &eacute; &#233; &quot;",)], "t string")
-    assert row.select(html.decoded(F.col("t"))).first()[0] == '&lt; &eacute; &#233; "'
-    assert row.select(html.decoded(F.col("t"), "all")).first()[0] == '&lt; é é "'
+    row = spark.createDataFrame([("&amp;lt; &eacute; &#233; &quot; R&ampD",)], "t string")
+    assert row.select(html.decoded(F.col("t"))).first()[0] == '&lt; &eacute; &#233; " R&D'
+    assert row.select(html.decoded(F.col("t"), "all")).first()[0] == '&lt; é é " R&D'
 
 
 def test_records(pages):
-    records = {r["page_id"]: (r["rating"], r["text"]) for r in review_records(pages).collect()}
+    layout = PageLayout(within=None)
+    records = {r["page_id"]: (r["rating"], r["text"]) for r in review_records(pages, layout).collect()}
     assert records[1] == (8.0, "Good & long end12kept()")
     assert records[2] == (None, None)
 
@@ -68,7 +91,7 @@ def test_records(pages):
 def test_records_of_another_layout(spark):
     page = '<main>m</main><i id="n">bad</i>'
     pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
-    layout = PageLayout("main", None, ("i", "id", "n"))
+    layout = PageLayout("main", None, None, ("i", "id", "n"))
     assert tuple(review_records(pages, layout).first()) == (1, None, "m")
 
 

@@ -57,6 +57,13 @@ def test_missing_column(spark, tmp_path):
         reviews.read_reviews(spark, str(path))
 
 
+def test_keys_are_unique_and_stay(spark, review_file):
+    keyed = reviews.with_key(reviews.read_reviews(spark, review_file).repartition(3))
+    first = {(r["doc_id"], r["text"]) for r in keyed.collect()}
+    assert len({key for key, _ in first}) == 5
+    assert {(r["doc_id"], r["text"]) for r in keyed.repartition(2).collect()} == first
+
+
 def test_round_trip_keeps_texts(spark, folder):
     texts = ['a "b" c', " padded ", "line\nbreak", "cr\r\nlf", "comma, here", "back\\slash", "żółć", ""]
     rows = spark.createDataFrame([(float(i), t) for i, t in enumerate(texts)], "rating double, text string")

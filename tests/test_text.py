@@ -5,6 +5,7 @@ import regex
 from pyspark.sql import functions as F
 
 from textmark.functions import text as T
+from textmark.operators import lookup
 from textmark.operators import tokens as W
 
 EDGES = {
@@ -93,6 +94,20 @@ def test_literal_lists_and_tables_agree(spark, filter_on, expected):
         assert {r["doc_id"]: r["words"] for r in prepared.collect()} == expected
 
 
+def test_large_word_lists_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *bounds: False)
+    texts = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    lemma_table = spark.createDataFrame(LEMMAS, "token string, rank int, stem string")
+    stop_table = spark.createDataFrame([(w,) for w in STOPS], "word string")
+    joined = W.prepare_words(texts, "doc_id", "text", lemma_table, stop_table)
+    assert {r["doc_id"]: r["words"] for r in joined.collect()} == {
+        1: ["run", "run", "see", "unknown"],
+        2: ["this"],
+        3: [],
+        4: ["run", "run", "this", "run"],
+    }
+
+
 def test_literal_preparation_does_not_shuffle(spark):
     texts = spark.createDataFrame(TEXTS, "doc_id long, text string")
     plan = W.prepare_words(texts, "doc_id", "text", {"ran": "run"}, STOPS)

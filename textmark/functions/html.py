@@ -15,40 +15,72 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-# The named entities decoded without leaving the JVM, in the
-# order they are replaced.  &amp; is last, so "&amp;lt;" becomes "&lt;".
+# The entities decoded without leaving the JVM, in the order they
+# are replaced.  The old names also stand without their semicolon.  &amp; is last,
+# so "&amp;lt;" becomes "&lt;".
 COMMON_ENTITIES = (
     ("&lt;", "<"),
+    ("&lt", "<"),
     ("&gt;", ">"),
+    ("&gt", ">"),
     ("&quot;", '"'),
+    ("&quot", '"'),
     ("&#39;", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", " "),
+    ("&nbsp;", "\u00a0"),
+    ("&nbsp", "\u00a0"),
     ("&copy;", "©"),
+    ("&copy", "©"),
     ("&middot;", "·"),
+    ("&middot", "·"),
     ("&amp;", "&"),
+    ("&amp", "&"),
 )
 
 
-def _class_condition(css_class: str | None) -> str:
+def _opening(tag: str | None, css_class: str | None) -> str:
+    """Pattern of an opening tag; without a name, any one, captured as group 1."""
+    name = r"(\w+)" if tag is None else f"(?i:{re.escape(tag)})"
     if css_class is None:
-        return ""
-    return rf"""(?=[^>]*\bclass="(?:[^"]*\s)?{re.escape(css_class)}(?:\s[^"]*)?")"""
+        return rf"<{name}\b[^>]*>"
+    quoted = rf"""class=["'](?:[^"']*\s)?{re.escape(css_class)}(?:\s[^"']*)?["']"""
+    return rf"<{name}\b(?=[^>]*\b{quoted})[^>]*>"
 
 
-def hrefs(page: Column, css_class: str | None = None, tag: str = "a") -> Column:
-    """All link targets in page order, of one class when given."""
-    pattern = rf'<{tag}\b{_class_condition(css_class)}[^>]*?\shref="([^"]*)"'
-    return F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
+def _closing(tag: str | None) -> str:
+    return r"</\1>" if tag is None else f"</(?i:{re.escape(tag)})>"
 
 
-def container(page: Column, tag: str, css_class: str | None = None) -> Column:
-    """Inside of the first such element; NULL when the page has none."""
-    pattern = rf"(?s)<{tag}\b{_class_condition(css_class)}[^>]*>.*?</{tag}>"
-    whole = F.regexp_substr(page, F.lit(pattern))
+def hrefs(page: Column, css_class: str | None = None) -> Column:
+    """All link targets in page order, of links of one class when given."""
+    opening = _opening("a", css_class).removesuffix("[^>]*>")
+    pattern = rf"""{opening}[^>]*?\s(?i:href)=["']([^"']*)["']"""
+    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda link: decoded(link))
+
+
+def from_element(page: Column, css_class: str) -> Column:
+    """The page from the first element of a class on; NULL without one."""
+    return F.regexp_substr(page, F.lit(rf"(?s){_opening(None, css_class)}.*"))
+
+
+def _inside(whole: Column) -> Column:
     return F.regexp_extract(whole, r"(?s)\A<[^>]*>(.*)</", 1)
 
 
+def container(page: Column, tag: str | None, css_class: str | None = None) -> Column:
+    """Inside of the first such element; NULL when the page has none."""
+    pattern = rf"(?s){_opening(tag, css_class)}.*?{_closing(tag)}"
+    return _inside(F.regexp_substr(page, F.lit(pattern)))
+
+
+def containers(page: Column, tag: str | None, css_class: str | None = None) -> Column:
+    """Insides of all such elements, joined in page order."""
+    pattern = rf"(?s){_opening(tag, css_class)}.*?{_closing(tag)}"
+    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(0))
+    return F.array_join(F.transform(found, _inside), "\n")
+
+
 def decoded(text: Column, entities: str = "common") -> Column:
     """Replace character references; ``"all"`` knows every named and numeric one."""
     if entities == "all":
@@ -70,9 +102,9 @@ def visible_text(fragment: Column, scripts: str = "first", entities: str = "comm
     later ones stays; ``"all"`` drops every script.
     """
     if scripts == "first":
-        fragment = F.regexp_replace(fragment, r"(?s)\A(.*?)<script\b.*?</script>", "$1")
+        fragment = F.regexp_replace(fragment, r"(?is)\A(.*?)<script\b.*?</script>", "$1")
     elif scripts == "all":
-        fragment = F.regexp_replace(fragment, r"(?s)<script\b.*?</script>", "")
+        fragment = F.regexp_replace(fragment, r"(?is)<script\b.*?</script>", "")
     else:
         raise ValueError(f"scripts is 'first' or 'all', not {scripts!r}")
     fragment = F.regexp_replace(fragment, r"(?s)<!--.*?-->", "")
@@ -86,7 +118,8 @@ def field(page: Column, pattern: str) -> Column:
 
 def tagged_field(page: Column, tag: str, attribute: str, value: str) -> Column:
     """Text of the first ``<tag attribute="value">``, for example a rating."""
-    return field(page, rf"""<{tag}\b[^>]*\b{attribute}="{re.escape(value)}"[^>]*>([^<]*)<""")
+    quoted = rf"""{re.escape(attribute)}=["']?{re.escape(value)}["'\s>]"""
+    return field(page, rf"<(?i:{re.escape(tag)})\b(?=[^>]*\b{quoted})[^>]*>([^<]*)<")
 
 
 def site(url: Column) -> Column:

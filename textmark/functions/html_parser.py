@@ -24,20 +24,20 @@ VOID_ELEMENTS = frozenset(
 )
 
 
-class _First(HTMLParser):
-    """Text and links inside the first element with a tag and class."""
+class _Elements(HTMLParser):
+    """Elements with a tag and class: text of the first, links of all of them."""
 
     def __init__(self, tag: str, css_class: str | None):
         super().__init__(convert_charrefs=True)
         self.wanted = (tag, css_class)
         self.open: list[str] = []
-        self.done = False
+        self.matches = 0
         self.scripts = 0
         self.text: list[str] = []
         self.links: list[str] = []
 
     def handle_starttag(self, tag, attrs):
-        if self.done or tag in VOID_ELEMENTS:
+        if tag in VOID_ELEMENTS:
             return
         values = dict(attrs)
         if self.open:
@@ -51,20 +51,20 @@ class _First(HTMLParser):
             classes = (values.get("class") or "").split()
             if tag == wanted_tag and (wanted_class is None or wanted_class in classes):
                 self.open.append(tag)
+                self.matches += 1
 
     def handle_endtag(self, tag):
         if tag in self.open:
             while self.open.pop() != tag:
                 pass
-            self.done = not self.open
 
     def handle_data(self, data):
         first_script = self.open and self.open[-1] == "script" and self.scripts == 1
-        if self.open and not first_script:
+        if self.open and self.matches == 1 and not first_script:
             self.text.append(data)
 
     @classmethod
-    def of(cls, page: str, tag: str, css_class: str | None) -> "_First":
+    def of(cls, page: str, tag: str, css_class: str | None) -> "_Elements":
         parser = cls(tag, css_class)
         parser.feed(page)
         parser.close()
@@ -79,8 +79,8 @@ def element_text(page: Column, tag: str, css_class: str | None = None) -> Column
     """Visible text of the first matching element, first script left out."""
 
     def read(source: str):
-        found = _First.of(source, tag, css_class)
-        return "".join(found.text) if found.done or found.open else None
+        found = _Elements.of(source, tag, css_class)
+        return "".join(found.text) if found.matches else None
 
     @pandas_udf(StringType())
     def udf(pages: pd.Series) -> pd.Series:
@@ -90,10 +90,10 @@ def element_text(page: Column, tag: str, css_class: str | None = None) -> Column
 
 
 def element_links(page: Column, tag: str, css_class: str | None = None) -> Column:
-    """Link targets inside the first matching element."""
+    """Link targets inside all matching elements, in page order."""
 
     @pandas_udf(ArrayType(StringType()))
     def udf(pages: pd.Series) -> pd.Series:
-        return _series(pages, lambda source: _First.of(source, tag, css_class).links)
+        return _series(pages, lambda source: _Elements.of(source, tag, css_class).links)
 
     return udf(page)

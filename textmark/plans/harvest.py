@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmark.functions import html
+from textmark.functions import html, html_parser
 from textmark.functions.text import parsed_rating
 from textmark.operators.sampling import union_labelled
 
@@ -17,15 +17,28 @@ from textmark.operators.sampling import union_labelled
 class PageLayout:
     """Where a review page keeps its text and its rating.
 
-    The defaults are the review site's own: ``.reviewPage .text`` and
-    ``span[itemprop=ratingValue]``.
+    The text is the first element of a tag (any when ``None``) and class, after
+    the start of an element of class ``within``.  Fixed values: the defaults are
+    those of the review pages the stored ones were taken from.  ``parse=True``
+    reads the text with a parser, for layouts that nest an element in its like;
+    it then needs a tag.
     """
 
-    tag: str = "div"
+    tag: str | None = None
     css_class: str | None = "text"
+    within: str | None = "reviewPage"
     rating: tuple[str, str, str] = ("span", "itemprop", "ratingValue")
     scripts: str = "first"
     entities: str = "common"
+    parse: bool = False
+
+    def text(self, page: Column) -> Column:
+        if self.within is not None:
+            page = html.from_element(page, self.within)
+        if self.parse:
+            return html_parser.element_text(page, self.tag, self.css_class)
+        inside = html.container(page, self.tag, self.css_class)
+        return html.visible_text(inside, self.scripts, self.entities)
 
 
 def review_records(pages: DataFrame, layout: PageLayout = PageLayout()) -> DataFrame:
@@ -33,13 +46,9 @@ def review_records(pages: DataFrame, layout: PageLayout = PageLayout()) -> DataF
 
     One projection: the page source goes no further than this.
     """
-    text = html.container(F.col("html"), layout.tag, layout.css_class)
-    rating = html.tagged_field(F.col("html"), *layout.rating)
-    return pages.select(
-        "page_id",
-        parsed_rating(rating).alias("rating"),
-        html.visible_text(text, layout.scripts, layout.entities).alias("text"),
-    )
+    page = F.col("html")
+    rating = parsed_rating(html.tagged_field(page, *layout.rating))
+    return pages.select("page_id", rating.alias("rating"), layout.text(page).alias("text"))
 
 
 def gather(records: Sequence[DataFrame]) -> DataFrame:

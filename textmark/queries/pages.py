@@ -9,15 +9,23 @@ from textmark.queries import sql as S
 from textmark.queries.registry import query
 from textmark.sources import tables
 
-_ARTICLE = PageLayout(tag="article", css_class=None)
+_ARTICLE = PageLayout(tag="article", css_class=None, within=None)
 
 _HREFS = """regexp_extract_all({html}, '<a\\b[^>]*?\\shref="([^"]*)"', 1)"""
-_NAV = "regexp_extract(html, '(?s)<nav\\b[^>]*>(.*?)</nav>', 1)"
+_NAV = "array_to_string(regexp_extract_all(html, '(?s)<nav\\b[^>]*>(.*?)</nav>', 1), chr(10))"
+
+
+def _decoded_sql(text):
+    for name, character in html.COMMON_ENTITIES:
+        escaped = character.replace("'", "''")
+        text = f"replace({text}, '{name}', '{escaped}')"
+    return text
 
 
 def _link_rows_sql(source):
-    return f"""SELECT page_id, url, (generate_subscripts(h, 1) - 1)::INTEGER AS pos, unnest(h) AS href
-        FROM (SELECT page_id, url, {_HREFS.format(html=source)} AS h FROM pages)"""
+    return f"""SELECT page_id, url, pos, {_decoded_sql("href")} AS href FROM (
+        SELECT page_id, url, (generate_subscripts(h, 1) - 1)::INTEGER AS pos, unnest(h) AS href
+        FROM (SELECT page_id, url, {_HREFS.format(html=source)} AS h FROM pages))"""
 
 
 _LINKS = _link_rows_sql("html")
@@ -25,17 +33,13 @@ _SITE = "regexp_extract({url}, '^(https?://[^/]+)', 1)"
 _TARGETS = f"""SELECT page_id, url, pos, href, CASE WHEN regexp_matches(href, '^https?://') THEN href
     ELSE {_SITE.format(url="url")} || href END AS target FROM ({_LINKS})"""
 
-_ENTITIES = "regexp_replace(regexp_replace(regexp_replace({inner}, '(?s)<script\\b.*?</script>', ''), \
+_STRIPPED = "regexp_replace(regexp_replace(regexp_replace({inner}, '(?s)<script\\b.*?</script>', ''), \
 '(?s)<!--.*?-->', '', 'g'), '<[^>]+>', '', 'g')"
 _ARTICLE_SQL = "nullif(regexp_extract(html, '(?s)<article\\b[^>]*>(.*?)</article>', 1), '')"
 
 
 def _text_sql():
-    text = _ENTITIES.format(inner=_ARTICLE_SQL)
-    for name, character in html.COMMON_ENTITIES:
-        escaped = character.replace("'", "''")
-        text = f"replace({text}, '{name}', '{escaped}')"
-    return text
+    return _decoded_sql(_STRIPPED.format(inner=_ARTICLE_SQL))
 
 
 def _links(spark, folder):
@@ -49,7 +53,7 @@ def page_links(spark, folder):
 
 @query("container_links", f"SELECT page_id, pos, href FROM ({_link_rows_sql(_NAV)})")
 def container_links(spark, folder):
-    nav = html.container(F.col("html"), "nav")
+    nav = html.containers(F.col("html"), "nav")
     return L.link_rows(tables.pages(spark, folder), html.hrefs(nav)).select(
         "page_id", "pos", "href"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.functions.text import parsed_rating
+from textmark.runtime import cut_lineage
 
 REVIEW_COLUMNS = ("rating", "text")
 RESULT_COLUMNS = ("prediction", "label")
@@ -57,6 +58,15 @@ def read_positional(spark: SparkSession, path: str, multi_line: bool = False) ->
     )
 
 
+def with_key(reviews: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Number reviews that come without a key.
+
+    The rows are written once to the shared folder, so a row keeps its number
+    however often it is read; numbering itself needs no shuffle and no order.
+    """
+    return cut_lineage(reviews).withColumn(key, F.monotonically_increasing_id())
+
+
 def rejected(reviews: DataFrame) -> DataFrame:
     """How many rows lack a rating, a text, or either."""
     no_rating, no_text = F.col("rating").isNull(), F.col("text").isNull()
