@@ -217,7 +217,11 @@ def train(
         raise ValueError("a linear SVM separates two classes: give a target mark")
     rows = labelled(df, spec, key, mark)
     fit_rows, test_rows = parts(rows, spec, key)
-    fit_rows = fit_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # A filter over rows that are kept already needs no second copy of them.
+    kept = df.storageLevel.useMemory or df.storageLevel.useDisk
+    own_copy = spec.target is not None or not kept
+    if own_copy:
+        fit_rows = fit_rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         member = spec.member
         indexer = V.label_indexer("label", f"index_{member}")
@@ -233,7 +237,8 @@ def train(
         named = V.label_names(index.labels, f"prediction_{member}", f"label_{member}")
         fitted = Pipeline(stages=[index, *stages, named]).fit(dense)
     finally:
-        fit_rows.unpersist()
+        if own_copy:
+            fit_rows.unpersist()
     # Without the label indexer: scoring needs no label and meets unseen ones.
     model = PipelineModel(fitted.stages[1:])
     trained = TrainedMember(spec, model)
