@@ -185,17 +185,24 @@ def parts(rows: DataFrame, spec: LearnerSpec, key: str) -> tuple[DataFrame, Data
     return sampling.split(rows, key, spec.salt)
 
 
-def check_labels(rows: DataFrame, spec: LearnerSpec) -> None:
-    """Refuse rows no mark can be learnt from, before labels reach the driver."""
+def checked_rows(rows: DataFrame, spec: LearnerSpec) -> int:
+    """Number of rows; refuses labels no mark can be learnt from.
+
+    Runs before any label reaches the driver, and fills the kept rows.
+    """
     label = F.col("label")
     allowed = sampling.whole_mark(label) if spec.target is None else label.isin(0.0, 1.0)
     seen = rows.agg(
-        F.count_if(~allowed).alias("strange"), F.min("label").alias("low"), F.max("label").alias("high")
+        F.count("*").alias("n"),
+        F.count_if(~allowed).alias("strange"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
     ).first()
     if seen["strange"]:
         raise ValueError(f"{spec.member}: {seen['strange']} rows have no whole mark from 1 to 10")
     if seen["low"] == seen["high"]:
         raise ValueError(f"{spec.member}: training needs two marks, found only {seen['low']}")
+    return seen["n"]
 
 
 def train(
@@ -228,8 +235,7 @@ def train(
         if spec.target is not None:
             # 0.0 and 1.0 keep their own indices.
             indexer = indexer.setStringOrderType("alphabetAsc")
-        check_labels(fit_rows, spec)
-        dense = compact(fit_rows)
+        dense = compact(fit_rows, checked_rows(fit_rows, spec))
         index = indexer.fit(dense)
         classes = len(index.labels)
         width = width or V.vector_width(dense)

@@ -55,20 +55,15 @@ def vote_accuracy(spark, folder):
     return report.withColumn("mean_error", F.round("mean_error", 9))
 
 
-def _one_text_sql():
-    rated = (
-        f"SELECT * FROM ({S.LANGUAGE_RATED}) UNION ALL "
-        f"SELECT -1, NULL, '{_ONE_TEXT}'"
-    )
-    # The unlabelled text is scored with the others but never fitted on.
-    body = S.bayes(rated, MEMBERS).replace(
-        "WHERE rating IS NOT NULL AND text IS NOT NULL", "WHERE rating IS NOT NULL OR doc_id = -1"
-    ).replace("FROM rated r CROSS JOIN members m)", "FROM rated r CROSS JOIN members m WHERE r.doc_id >= 0)")
-    return f"""WITH {body} SELECT '{_ONE_TEXT}' AS text, round(mark, 9) AS mark
-        FROM ({_VOTED}) WHERE doc_id = -1"""
+_ONE_MORE = f"""SELECT * FROM ({S.LANGUAGE_RATED}) WHERE rating IS NOT NULL
+    UNION ALL SELECT -1, NULL, '{_ONE_TEXT}'"""
 
 
-@query("score_one", _one_text_sql())
+@query(
+    "score_one",
+    f"""WITH {S.bayes(_ONE_MORE, MEMBERS, unlabelled=True)}
+    SELECT '{_ONE_TEXT}' AS text, round(mark, 9) AS mark FROM ({_VOTED}) WHERE doc_id = -1""",
+)
 def score_one(spark, folder):
     """One text through the scorer that all documents trained."""
     arrived = one_text(spark, _ONE_TEXT)

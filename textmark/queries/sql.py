@@ -64,8 +64,9 @@ def bayes(
     target: float | None = None,
     holdout: bool = True,
     scope: str = "train",
+    unlabelled: bool = False,
 ) -> str:
-    """Naive Bayes by the formula.
+    """Naive Bayes by the formula; ``unlabelled`` texts are scored, never fitted on.
 
     Ends in ``scores(member, doc_id, label, score, place)`` for every rated text,
     ``marks(member, doc_id, mark)`` with the best label, and ``labelled`` with
@@ -92,12 +93,13 @@ def bayes(
                 FROM sides s JOIN members m ON m.member = s.member))
         WHERE place <= n_min"""
     fitted = "WHERE in_train" if holdout else ""
+    complete = "text IS NOT NULL" + ("" if unlabelled else " AND rating IS NOT NULL")
     return f"""
-    rated AS (SELECT * FROM ({rated}) WHERE rating IS NOT NULL AND text IS NOT NULL),
+    rated AS (SELECT * FROM ({rated}) WHERE {complete}),
     {word_rows("rated")},
     members(member, salt) AS (VALUES {names}),
     sides AS (SELECT m.member, r.doc_id, r.rating, {in_train} AS in_train
-              FROM rated r CROSS JOIN members m),
+              FROM rated r CROSS JOIN members m WHERE r.rating IS NOT NULL),
     vocabulary AS (SELECT word, count(*) AS n FROM words {vocabulary_rows}
                    GROUP BY word ORDER BY n DESC, word LIMIT {settings.VOCABULARY_SIZE}),
     counts AS (SELECT doc_id, word, count(*)::DOUBLE AS n
