@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate
+from textmark.llm import decontaminate, jaccard
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
+_SPACED = r"regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x20\x09-\x0D]+')"
+OP3_SQL = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, {_SPACED} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingles x JOIN shingles y USING (s)
+  WHERE x.r <> y.r GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b
+  WHERE 100 * c >= 75 * (p.n + q.n - c)
+),
+reach AS (
+  SELECT r AS a, r AS b FROM docs
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+least AS (SELECT a AS r, min(d.doc_id) AS component_id FROM reach JOIN docs d ON d.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes USING (r) JOIN least USING (r)
+"""
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "benchmark"))
     rows = table(spark, folder, "documents").select("doc_id", found(F.col("text")).alias("r"))
@@ -62,9 +92,11 @@ FROM docs LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
 """
 
 QUERIES: dict[str, Query] = {
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_decontamination": op6_decontamination,
 }
 
 SQL: dict[str, str] = {
+    "op3_jaccard_join": OP3_SQL,
     "op6_decontamination": OP6_SQL,
 }
