@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard
+from textmark.llm import decontaminate, jaccard, pii, quality
+from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,9 +92,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
 """
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "documents").select("doc_id", pii.find(F.col("text")).alias("s"))
+    return rows.select(
+        "doc_id",
+        *[pii.count(F.col("s"), kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.joined(F.col("s"), pii.BASE), 256).alias("base_sha256"),
+        pii.joined(F.col("s")).alias("spans"),
+    )
+
+
+def quality_model(spark: SparkSession, folder: str) -> quality.Model:
+    """Trained on the labels whose fold is not held out."""
+    labels = table(spark, folder, "labels").where(fold("doc_id", 4) != 2)
+    return quality.fit(table(spark, folder, "documents"), labels)
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    score = quality.scorer(quality_model(spark, folder))
+    rows = table(spark, folder, "documents").select("doc_id", score("text").alias("score"))
+    return rows.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        quality.accepted(F.col("score")).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
