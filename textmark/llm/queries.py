@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, pii, quality
+from textmark.llm import decontaminate, jaccard, packing, pii, quality
 from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of documents and where each stands, with the checksum of their ids."""
+    import public_tokenizers
+
+    pieces = packing.tokenized(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "split", "nth")
+    return packing.placed(pieces)
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
@@ -120,6 +138,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
