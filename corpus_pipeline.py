@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.llm import decontaminate, jaccard, pii, quality
-from textmark.llm.frames import stored
+from textmark.llm.frames import narrowed, stored, without
 from textmark.llm.queries import packed, quality_model, table
 
 
@@ -27,11 +27,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    groups = jaccard.near_duplicates(docs)
-    away = groups.where("doc_id is null or doc_id <> component_id").select("doc_id").where("doc_id is not null")
-    kept = docs.join(stored(away.distinct(), "pipeline-copies"), "doc_id", "left_anti").select(*docs.columns)
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    groups = stored(jaccard.near_duplicates(docs).where("doc_id is not null"), "pipeline-groups")
+    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    repeated = repeated.select("doc_id")
+    # Representatives whose id is repeated are rare: only their texts are compared by id.
+    once = without(docs, copies.union(repeated), ["doc_id"])
+    first = narrowed(docs, repeated, ["doc_id"]).dropDuplicates(["doc_id"])
+    return once.select(*docs.columns).unionByName(first.select(*docs.columns))
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -28,6 +28,11 @@ def narrowed(large: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return large.join(F.broadcast(keys) if fits_broadcast(keys) else keys, on)
 
 
+def without(large: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``large`` whose key is not among ``keys``; null keys stay."""
+    return large.join(F.broadcast(keys) if fits_broadcast(keys) else keys, on, "left_anti")
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``, root being the smallest reachable.
 
