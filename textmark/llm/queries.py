@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, packing, pii, quality
+from textmark.llm import decontaminate, jaccard, language, packing, pii, quality
 from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,18 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    predict = language.predictor(language.fit(docs.where(fold("doc_id", 4) != 2)))
+    rows = docs.select("doc_id", predict("text").alias("r"))
+    return rows.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        F.col("r.language").alias("lang_pred"),
+        "r.score",
+    )
+
+
 def quality_model(spark: SparkSession, folder: str) -> quality.Model:
     """Trained on the labels whose fold is not held out."""
     labels = table(spark, folder, "labels").where(fold("doc_id", 4) != 2)
@@ -142,6 +154,7 @@ QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
+    "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
 
