@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, language, packing, pii, quality
+from textmark.llm import decontaminate, jaccard, language, lm, packing, pii, quality
 from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ FROM docs LEFT JOIN sizes USING (r) JOIN least USING (r)
 """
 
 
+def op5_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    out = lm.scores(table(spark, folder, "documents"), fold("doc_id", 10) != 0)
+    held_out = (fold("doc_id", 10) == 0).alias("held_out")
+    return out.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "benchmark"))
     rows = table(spark, folder, "documents").select("doc_id", found(F.col("text")).alias("r"))
@@ -152,6 +158,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_lm_scores": op5_lm_scores,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
     "op9_language": op9_language,
