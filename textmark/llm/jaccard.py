@@ -12,9 +12,11 @@ A document is the set of its distinct 5-word shingles.  Two documents link when
    set, nodes above hold the OR of the bitmaps and the range of sizes.  Two trees are
    walked together; a pair of nodes is left when the largest overlap that its bitmaps and
    sizes permit is too small.  A bucket larger than a block is walked block by block.
-4. Pairs that remain are compared shingle by shingle.  A bucket first proposes only as
-   many pairs as join its nodes; where such a pair turns out not to link, the bucket is
-   walked again for all pairs of different components.
+4. A bucket first proposes only as many pairs as join its nodes, the most similar bitmaps
+   first; they are compared shingle by shingle and make components.  Buckets in which a
+   proposed pair did not link are walked again: each node names the larger components in
+   which some node may link with it, and is compared with all their nodes.  A group of m
+   near copies so costs rows in proportion to m, however many of its pairs link.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing;
 a text of one to four words is one shingle; a null key gets no component and links
@@ -73,7 +75,7 @@ def size_class(n):
 
 
 def bits_of(cls: int) -> int:
-    return 1 << max(6, int(cls) + 1)
+    return 1 << max(6, int(cls) + 2)
 
 
 def node_ids(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -195,14 +197,20 @@ def _possible(left: Tree, right: Tree, up: int, low: int, a: np.ndarray, b: np.n
     return out
 
 
-def walk(left: Tree, right: Tree, same: bool, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def walk(left: Tree, right: Tree, same: bool, percent: int, open_) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of leaves that no bound rules out, a few thousand at a time.
 
-    Depth first, so that the list of open pairs stays short.
+    Depth first, so that the list of waiting pairs stays short.  ``open_`` tells which pairs
+    of leaves are worth looking at.
     """
     heap = [(len(left.maps) - 1, len(right.maps) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    if len(left.maps) == 1 and len(right.maps) == 1 and same:
+        return  # a single set
     while heap:
         i, j, a, b = heap.pop()
+        if i == 0 and j == 0:
+            keep = open_(a, b)
+            a, b = a[keep], b[keep]
         keep = _possible(left, right, i, j, a, b, percent)
         a, b = a[keep], b[keep]
         if len(a) == 0:
@@ -219,6 +227,15 @@ def walk(left: Tree, right: Tree, same: bool, percent: int) -> Iterator[tuple[np
             heap.append((i2, j2, a[s : s + (1 << 13)], b[s : s + (1 << 13)]))
 
 
+def _alike(maps: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of bitmaps, as a guess at that of the sets."""
+    out = np.empty(len(a))
+    for s in range(0, len(a), 1 << 14):
+        x, y = maps[a[s : s + (1 << 14)]], maps[b[s : s + (1 << 14)]]
+        out[s : s + (1 << 14)] = _popcount(x & y) / np.maximum(_popcount(x | y), 1)
+    return out
+
+
 def _children(left: Tree, right: Tree, i: int, j: int, a: np.ndarray, b: np.ndarray):
     """All pairs of children, of the side that stands higher or of both."""
     down_a, down_b = i >= j, j >= i
@@ -286,43 +303,50 @@ def _forest(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> tuple[list[int],
     return out_a, out_b
 
 
-def _in_tree(n, maps, root, left, right, percent: int, optimistic: bool) -> tuple[list[int], list[int]]:
-    """Pairs of rows of one unit that may link, by walking the trees of its two blocks."""
+#: Pairs of rows, as lists: proposals, or pairs across components.
+Pairs = tuple[list[int], list[int]]
+
+
+def _trees(n, maps, left, right) -> tuple[Tree, Tree, np.ndarray, np.ndarray, bool] | None:
     la, ra = np.flatnonzero(left), np.flatnonzero(right)
     if len(la) == 0 or len(ra) == 0:
-        return [], []
+        return None
     same = len(la) == len(ra) and bool((la == ra).all())
     one = Tree(maps[la], n[la])
-    other = one if same else Tree(maps[ra], n[ra])
+    return one, one if same else Tree(maps[ra], n[ra]), la, ra, same
+
+
+def _joining(n, maps, root, left, right, percent: int) -> Pairs:
+    """Pairs that join the rows of a unit, likely ones first, as if each linked."""
     out_a: list[int] = []
     out_b: list[int] = []
+    trees = _trees(n, maps, left, right)
+    if trees is None:
+        return out_a, out_b
+    one, other, la, ra, same = trees
     root = root.copy()
-    for a, b in walk(one, other, same, percent):
-        a, b = la[a], ra[b]
-        while True:
-            open_ = root[a] != root[b]
-            a, b = a[open_], b[open_]
-            if not optimistic:
-                out_a.extend(a.tolist())
-                out_b.extend(b.tolist())
-                break
-            if len(a) == 0:
-                break
-            _, first = np.unique(root[a], return_index=True)  # one pair per root at once
-            for x, y in zip(a[first].tolist(), b[first].tolist(), strict=True):
-                if root[x] != root[y]:
-                    out_a.append(x)
-                    out_b.append(y)
-                    root[root == root[x]] = root[y]
+    for least in (0.7, 0.55, 0.4, 0.0):
+        for a, b in walk(one, other, same, percent, lambda a, b: root[la[a]] != root[ra[b]]):
+            a, b = la[a], ra[b]
+            if least:
+                likely = _alike(maps, a, b) >= least
+                a, b = a[likely], b[likely]
+            while True:
+                open_ = root[a] != root[b]
+                a, b = a[open_], b[open_]
+                if len(a) == 0:
+                    break
+                _, first = np.unique(root[a], return_index=True)  # one pair per root at once
+                for x, y in zip(a[first].tolist(), b[first].tolist(), strict=True):
+                    if root[x] != root[y]:
+                        out_a.append(x)
+                        out_b.append(y)
+                        root[root == root[x]] = root[y]
     return out_a, out_b
 
 
-SMALL = 2 * LEAF
-_UNIT = ["cls", "token", "i", "j"]
-
-
-def _in_leaves(start, size, n, maps, root, percent: int, optimistic: bool) -> tuple[list[int], list[int]]:
-    """The same for units of at most a few leaves, which need no tree: many at once."""
+def _leaf_pairs(start, size, n, maps, root, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Possible pairs, and their unit, of units of a few leaves, which need no tree: many at once."""
     pairs_a, pairs_b = [], []
     for m in np.unique(size):
         x, y = np.triu_indices(m, 1)
@@ -336,14 +360,16 @@ def _in_leaves(start, size, n, maps, root, percent: int, optimistic: bool) -> tu
     leaves.maps, leaves.low, leaves.high, leaves.extra = [maps], [n], [n], [n - _popcount(maps)]
     keep = _possible(leaves, leaves, 0, 0, a, b, percent)
     a, b = a[keep], b[keep]
-    if not optimistic:
-        return a.tolist(), b.tolist()
-    # A node stands in many buckets: each has its own joins.
-    unit = np.searchsorted(start, a, side="right") - 1
-    order = np.argsort(unit, kind="stable")
+    return a, b, np.searchsorted(start, a, side="right") - 1
+
+
+def _joining_leaves(start, size, n, maps, root, percent: int) -> Pairs:
+    a, b, unit = _leaf_pairs(start, size, n, maps, root, percent)
+    order = np.lexsort((-_alike(maps, a, b), unit))
     a, b, unit = a[order], b[order], unit[order]
     out_a: list[int] = []
     out_b: list[int] = []
+    # A node stands in many buckets: each has its own joins.
     cuts = np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit)) if len(unit) else []
     for at, end in zip(cuts[:-1], cuts[1:], strict=True):
         x, y = _forest(a[at:end], b[at:end], root)
@@ -352,89 +378,199 @@ def _in_leaves(start, size, n, maps, root, percent: int, optimistic: bool) -> tu
     return out_a, out_b
 
 
-def _propose(percent: int, optimistic: bool):
-    """Pairs of the units of a partition, sorted by unit and then by size."""
+SMALL = 2 * LEAF
+_UNIT = ["cls", "token", "i", "j"]
 
-    def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        unit = [rows.column(x).to_numpy() for x in _UNIT]
-        node, n, root = (rows.column(x).to_numpy() for x in ("node", "n", "root"))
-        root = np.unique(root, return_inverse=True)[1]
-        left, right = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("left", "right"))
-        edge = np.zeros(len(node), bool)
-        edge[0] = True
-        for x in unit:
-            edge[1:] |= x[1:] != x[:-1]
-        start = np.flatnonzero(edge)
-        end = np.append(start[1:], len(node))
-        cls = unit[0][start]
-        small = (end - start <= SMALL) & np.logical_and.reduceat(left & right, start)
+
+def _by_unit(columns: list[str], flush):
+    """Give ``flush`` tables of whole units of a partition that is sorted by ``columns``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            held.append(batch)
+            first, last = ([x.column(c)[at].as_py() for c in columns] for x, at in ((held[0], 0), (batch, batch.num_rows - 1)))
+            if first == last:
+                continue
+            rows = pa.Table.from_batches(held)
+            same = np.ones(rows.num_rows, bool)
+            for x, value in zip(columns, last, strict=True):
+                same &= rows.column(x).to_numpy() == value
+            cut = int(np.argmax(same))
+            if cut:
+                yield from flush(rows.slice(0, cut))
+            held = rows.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from flush(pa.Table.from_batches(held))
+
+    return run
+
+
+def _starts(columns: list[np.ndarray]) -> np.ndarray:
+    edge = np.zeros(len(columns[0]), bool)
+    edge[0] = True
+    for x in columns:
+        edge[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(edge)
+
+
+class _Units:
+    """Columns of whole units, and where the units of each class begin."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows
+        self.unit = [rows.column(x).to_numpy() for x in _UNIT]
+        self.node, self.n, self.root = (rows.column(x).to_numpy() for x in ("node", "n", "root"))
+        self.label = np.unique(self.root, return_inverse=True)[1]
+        self.left, self.right = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("left", "right"))
+        self.start = _starts(self.unit)
+        self.end = np.append(self.start[1:], len(self.node))
+        self.small = (self.end - self.start <= SMALL) & np.logical_and.reduceat(self.left & self.right, self.start)
+
+    def classes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(first row, bitmaps, units)`` of each size class."""
+        cls = self.unit[0][self.start]
         for c in np.unique(cls):
             of = np.flatnonzero(cls == c)
-            lo, hi = start[of[0]], end[of[-1]]
-            maps = _bitmaps(rows.column("bitmap").slice(lo, hi - lo), bits_of(c) // 64)
+            lo, hi = self.start[of[0]], self.end[of[-1]]
+            yield lo, _bitmaps(self.rows.column("bitmap").slice(lo, hi - lo), bits_of(c) // 64), of
+
+
+def _propose(percent: int):
+    def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        u = _Units(rows)
+        for lo, maps, of in u.classes():
+            hi = lo + len(maps)
             out_a: list[int] = []
             out_b: list[int] = []
-            few = of[small[of]]
+            few = of[u.small[of]]
             if len(few):
-                out_a, out_b = _in_leaves(
-                    start[few] - lo, (end - start)[few], n[lo:hi], maps, root[lo:hi], percent, optimistic
+                out_a, out_b = _joining_leaves(
+                    u.start[few] - lo, (u.end - u.start)[few], u.n[lo:hi], maps, u.label[lo:hi], percent
                 )
-            for g in of[~small[of]]:
-                s, e = start[g] - lo, end[g] - lo
-                at = slice(start[g], end[g])
-                a, b = _in_tree(n[at], maps[s:e], root[at], left[at], right[at], percent, optimistic)
+            for g in of[~u.small[of]]:
+                at = slice(u.start[g], u.end[g])
+                s, e = u.start[g] - lo, u.end[g] - lo
+                a, b = _joining(u.n[at], maps[s:e], u.label[at], u.left[at], u.right[at], percent)
                 out_a += [x + s for x in a]
                 out_b += [x + s for x in b]
             x, y = np.array(out_a, np.int64) + lo, np.array(out_b, np.int64) + lo
             if len(x):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(unit[1][x]), pa.array(unit[0][x]),
-                        pa.array(np.minimum(node[x], node[y])), pa.array(np.maximum(node[x], node[y])),
+                        pa.array(u.unit[1][x]), pa.array(u.unit[0][x]),
+                        pa.array(np.minimum(u.node[x], u.node[y])), pa.array(np.maximum(u.node[x], u.node[y])),
                     ],
                     names=["token", "cls", "a", "b"],
                 )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(batch)
-            rows = pa.Table.from_batches(held)
-            last = [rows.column(x)[-1].as_py() for x in _UNIT]
-            if [rows.column(x)[0].as_py() for x in _UNIT] == last:
-                continue
-            same = np.ones(rows.num_rows, bool)
-            for x, value in zip(_UNIT, last, strict=True):
-                same &= rows.column(x).to_numpy() == value
-            cut = int(np.argmax(same))
-            yield from flush(rows.slice(0, cut))
-            held = rows.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield from flush(pa.Table.from_batches(held))
+    return _by_unit(_UNIT, flush)
 
-    return run
+
+def _ask(percent: int):
+    """Which larger component each node may link with."""
+
+    def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        u = _Units(rows)
+        size = rows.column("size").to_numpy()
+
+        def asked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            down = (size[a] > size[b]) | ((size[a] == size[b]) & (u.root[a] > u.root[b]))
+            return np.unique(np.stack([u.node[np.where(down, b, a)], u.root[np.where(down, a, b)]]), axis=1)
+
+        found = [np.zeros((2, 0), np.int64)]
+        for lo, maps, of in u.classes():
+            hi = lo + len(maps)
+            few = of[u.small[of]]
+            if len(few):
+                a, b, _ = _leaf_pairs(
+                    u.start[few] - lo, (u.end - u.start)[few], u.n[lo:hi], maps, u.label[lo:hi], percent
+                )
+                found.append(asked(a + lo, b + lo))
+            for g in of[~u.small[of]]:
+                at, first = slice(u.start[g], u.end[g]), u.start[g]
+                label = u.label[at]
+                trees = _trees(u.n[at], maps[first - lo : u.end[g] - lo], u.left[at], u.right[at])
+                if trees is None:
+                    continue
+                one, other, la, ra, same = trees
+                for a, b in walk(one, other, same, percent, lambda a, b, x=label, la=la, ra=ra: x[la[a]] != x[ra[b]]):
+                    found.append(asked(la[a] + first, ra[b] + first))
+        node, root = np.unique(np.concatenate(found, axis=1), axis=1)
+        if len(node):
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["node", "root"])
+
+    return _by_unit(_UNIT, flush)
 
 
 def _blocks(rows: DataFrame, block: int) -> DataFrame:
-    """Each row once per pair of blocks of its bucket: columns unit, left, right."""
+    """Each row once per pair of blocks of its bucket: columns i, j, left, right."""
     of = F.pmod(F.xxhash64("node"), F.col("parts"))
     pairs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     rows = rows.withColumn("parts", F.ceil(F.col("members") / block)).withColumn("mine", of)
     rows = rows.withColumn("other", pairs)
-    return rows.select(
-        "token", "cls", "node", "n", "bitmap", "root",
-        F.least("mine", "other").alias("i"),
-        F.greatest("mine", "other").alias("j"),
-        (F.col("mine") <= F.col("other")).alias("left"),
-        (F.col("mine") >= F.col("other")).alias("right"),
-    )
+    rows = rows.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
+    rows = rows.withColumn("left", F.col("mine") <= F.col("other"))
+    rows = rows.withColumn("right", F.col("mine") >= F.col("other"))
+    rows = rows.drop("members", "parts", "mine", "other")
+    return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "n", "node")
+
 
+#: Nodes of a component that are compared at once with as many that ask for it.
+COMPARED = 256
+_MEETING = ["comp", "i", "j"]
 
-def _pairs(rows: DataFrame, percent: int, optimistic: bool, block: int) -> DataFrame:
-    units = _blocks(rows, block).repartition(*_UNIT).sortWithinPartitions(*_UNIT, "n", "node")
-    return units.mapInArrow(_propose(percent, optimistic), "token long, cls int, a long, b long")
+
+def _meet(k: int, percent: int):
+    """Links between the nodes that ask for a component and its nodes, by whole sets."""
+
+    def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        start = _starts([rows.column(x).to_numpy() for x in _MEETING])
+        for s, e in zip(start, np.append(start[1:], rows.num_rows), strict=True):
+            unit = rows.slice(s, e - s)
+            node = unit.column("node").to_numpy()
+            asks = unit.column("asks").to_numpy(zero_copy_only=False)
+            if asks.all() or not asks.any():
+                continue
+            data, offsets = W.text_bytes(unit.column("text"))
+            hashes, n = shingle_sets(W.words_of(data, offsets, W.NOT_SPACE), k)
+            a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+            common = _overlaps(hashes, n, a, b)
+            x, y = np.nonzero(common * (100 + percent) >= (n[a][:, None] + n[b][None, :]) * percent)
+            x, y = _forest(a[x], b[y], np.arange(len(node)))
+            if x:
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
+
+    return _by_unit(_MEETING, flush)
+
+
+def _overlaps(hashes: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of sets a with sets b: products of their incidence matrices."""
+    owner = np.repeat(np.arange(len(n)), n)
+    side = np.zeros(len(n), bool)
+    side[a] = True
+    one = side[owner]
+    shared = np.intersect1d(hashes[one], hashes[~one])
+    at = np.searchsorted(shared, hashes)
+    keep = (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == hashes) if len(shared) else np.zeros(len(hashes), bool)
+    at, owner = at[keep], owner[keep]
+    place = np.zeros(len(n), np.int64)
+    place[a], place[b] = np.arange(len(a)), np.arange(len(b))
+    out = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    for lo in range(0, len(shared), step):
+        s, e = np.searchsorted(at, [lo, lo + step])
+        col, row, left = at[s:e] - lo, place[owner[s:e]], side[owner[s:e]]
+        x = np.zeros((len(a), step), np.float32)
+        y = np.zeros((len(b), step), np.float32)
+        x[row[left], col[left]] = 1
+        y[row[~left], col[~left]] = 1
+        out += x @ y.T
+    return out.astype(np.int64)
 
 
 def _comparer(k: int):
@@ -464,14 +600,18 @@ def _identity(k: int):
     return node
 
 
+def _texts(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """``(node, text)`` of the wanted nodes, written."""
+    wanted = stored(nodes.select("node", "key").join(wanted.distinct(), "node"), "jaccard-wanted")
+    texts = narrowed(docs, wanted, ["key"])
+    texts = texts.where(_identity(k)("text") == F.col("node")).select("node", "text")
+    return stored(texts.dropDuplicates(["node"]), "jaccard-texts")
+
+
 def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """``(a, b, linked)`` for distinct pairs of nodes, by their whole sets."""
     pairs = stored(pairs.select("a", "b").distinct(), "jaccard-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.select("node", "key").join(wanted, "node")
-    texts = narrowed(docs, stored(wanted, "jaccard-wanted"), ["key"])
-    texts = texts.where(_identity(k)("text") == F.col("node")).select("node", "text")
-    texts = stored(texts.dropDuplicates(["node"]), "jaccard-texts")
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), docs, nodes, k)
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
     rows = pairs.join(first, "a").join(second, "b")
@@ -480,6 +620,30 @@ def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, perce
     return stored(rows.select("a", "b", linked.alias("linked")), "jaccard-compared")
 
 
+def _met(asks: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` of nodes with the components they ask for.
+
+    ``asks(node, root)``; ``members(node, root, size)``.  Both sides are cut into blocks,
+    and every block of the one meets every block of the other.
+    """
+    asks = stored(asks.distinct(), "jaccard-asks")
+    asking = asks.groupBy("root").agg(F.ceil(F.count("*") / COMPARED).alias("askers"))
+    members = members.join(asking, "root").withColumn("blocks", F.ceil(F.col("size") / COMPARED))
+    sizes = members.select("root", "askers", "blocks").distinct()
+    count = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    one = asks.join(sizes, "root").select(
+        F.col("root").alias("comp"), own("askers").alias("i"), count("blocks").alias("j"), "node", F.lit(True).alias("asks")
+    )
+    other = members.select(
+        F.col("root").alias("comp"), count("askers").alias("i"), own("blocks").alias("j"), "node", F.lit(False).alias("asks")
+    )
+    rows = stored(one.union(other), "jaccard-meetings")
+    rows = rows.join(_texts(rows.select("node"), docs, nodes, k), "node")
+    rows = rows.repartition(*_MEETING).sortWithinPartitions(*_MEETING, "node")
+    return stored(rows.mapInArrow(_meet(k, percent), "a long, b long"), "jaccard-met")
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK,
 ) -> DataFrame:
@@ -506,17 +670,22 @@ def near_duplicates(
     rows = rows.join(buckets.select("token", "cls", "members"), ["token", "cls"])
     rows = rows.join(nodes.select("node", "n", "bitmap"), "node").withColumn("root", F.col("node"))
 
-    first = stored(_pairs(rows, percent, True, block), "jaccard-first")
-    compared = _compared(first, docs, nodes, k, percent)
+    proposals = _blocks(rows, block).mapInArrow(_propose(percent), "token long, cls int, a long, b long")
+    proposals = stored(proposals, "jaccard-proposals")
+    compared = _compared(proposals, docs, nodes, k, percent)
     links = compared.where("linked").select("a", "b")
     # Where a proposed pair did not link, its bucket may hide pairs behind it.
-    again = first.join(compared.where("not linked").select("a", "b"), ["a", "b"]).select("token", "cls").distinct()
+    again = proposals.join(compared.where("not linked").select("a", "b"), ["a", "b"]).select("token", "cls").distinct()
+    roots = components(links)
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    members = nodes.select("node").join(roots.join(sizes, "root"), "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
+    )
+    members = stored(members, "jaccard-members")
+    open_ = _blocks(rows.drop("root").join(again, ["token", "cls"]).join(members, "node"), block)
+    asks = open_.mapInArrow(_ask(percent), "node long, root long")
+    links = links.union(_met(asks, members, docs, nodes, k, percent))
     roots = components(links)
-    open_ = rows.drop("root").join(again, ["token", "cls"]).join(roots, "node", "left")
-    open_ = open_.withColumn("root", F.coalesce("root", "node"))
-    second = _pairs(open_, percent, False, block).select("a", "b").distinct()
-    second = _compared(second.join(compared, ["a", "b"], "left_anti"), docs, nodes, k, percent)
-    roots = components(links.union(second.where("linked").select("a", "b")))
 
     of = nodes.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of.groupBy("root").agg(F.min("key").alias("component"))
