@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, language, lm, packing, pii, quality
+from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality
 from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lattice_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v,
+         embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS valid
+  FROM embeddings
+),
+links AS (
+  SELECT x.r AS a, y.r AS b FROM vectors x JOIN vectors y
+    ON x.r <> y.r AND x.valid AND y.valid AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+),
+reach AS (
+  SELECT r AS a, r AS b FROM vectors
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+least AS (SELECT a AS r, min(v.vec_id) AS component_id FROM reach JOIN vectors v ON v.r = reach.b GROUP BY a),
+counted AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of documents and where each stands, with the checksum of their ids."""
     import public_tokenizers
@@ -156,6 +184,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lattice_near_duplicates": op1_lattice_near_duplicates,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_lm_scores": op5_lm_scores,
@@ -166,6 +195,7 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_lattice_near_duplicates": OP1_SQL,
     "op3_jaccard_join": OP3_SQL,
     "op6_decontamination": OP6_SQL,
 }
