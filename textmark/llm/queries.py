@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality
+from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality, secret_scan, warc
 from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,27 @@ FROM docs LEFT JOIN sizes USING (r) JOIN least USING (r)
 """
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.new_folder(spark)
+    index = warc.write(table(spark, folder, "pages"), archives)
+    return warc.read(index, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST(((('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '')"""
+OP4_SQL = f"""
+WITH pages_ AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT html, min(page_id) AS f FROM pages_ GROUP BY html HAVING count(*) > 1),
+marked AS (SELECT p.*, f, f IS NOT NULL AND page_id IS DISTINCT FROM f AS again FROM pages_ p LEFT JOIN firsts USING (html))
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN f END AS refers_to
+FROM marked
+"""
+
+
 def op5_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     out = lm.scores(table(spark, folder, "documents"), fold("doc_id", 10) != 0)
     held_out = (fold("doc_id", 10) == 0).alias("held_out")
@@ -154,6 +175,16 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secret_scan.described(secret_scan.findings(docs.where(fold("doc_id", 4) != 2)))
+    forest = secret_scan.train(found.withColumn("label", secret_scan.weak_label()))
+    return secret_scan.scan(docs, forest).select(
+        "doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"),
+        "probability", "is_secret",
+    )
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     predict = language.predictor(language.fit(docs.where(fold("doc_id", 4) != 2)))
@@ -187,9 +218,11 @@ QUERIES: dict[str, Query] = {
     "op1_lattice_near_duplicates": op1_lattice_near_duplicates,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_warc": op4_warc,
     "op5_lm_scores": op5_lm_scores,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
+    "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
@@ -197,5 +230,6 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op1_lattice_near_duplicates": OP1_SQL,
     "op3_jaccard_join": OP3_SQL,
+    "op4_warc": OP4_SQL,
     "op6_decontamination": OP6_SQL,
 }
