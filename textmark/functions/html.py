@@ -6,36 +6,21 @@ Right for containers that do not nest an element of their own name; see
 
 from __future__ import annotations
 
-import html as html_lib
+import json
 import re
+import zlib
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
-
-# The entities decoded without leaving the JVM, in the order they
-# are replaced.  The old names also stand without their semicolon.  &amp; is last,
-# so "&amp;lt;" becomes "&lt;".
-COMMON_ENTITIES = (
-    ("&lt;", "<"),
-    ("&lt", "<"),
-    ("&gt;", ">"),
-    ("&gt", ">"),
-    ("&quot;", '"'),
-    ("&quot", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&nbsp", "\u00a0"),
-    ("&copy;", "©"),
-    ("&copy", "©"),
-    ("&middot;", "·"),
-    ("&middot", "·"),
-    ("&amp;", "&"),
-    ("&amp", "&"),
-)
+
+# Names that also stand without a semicolon, longest first.
+_OLD_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+_REFERENCE = r"&(?:#[0-9]{1,9}+;?|#[xX][0-9a-fA-F]{1,8}+;?|[A-Za-z][A-Za-z0-9]{1,31}+;|(?:%s)%s)"
+_IN_TEXT = _REFERENCE % ("|".join(_OLD_NAMES), "")
+# In an attribute such a name is left alone before a letter, a digit or "=".
+_IN_ATTRIBUTE = _REFERENCE % ("|".join(_OLD_NAMES), "(?![=A-Za-z0-9])")
+_NOT_SHOWN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 
 
 def _opening(tag: str | None, css_class: str | None) -> str:
@@ -51,12 +36,23 @@ def _closing(tag: str | None) -> str:
     return r"</\1>" if tag is None else f"</(?i:{re.escape(tag)})>"
 
 
-def hrefs(page: Column, css_class: str | None = None) -> Column:
-    """All link targets in page order, of links of one class when given."""
-    opening = _opening("a", css_class).removesuffix("[^>]*>")
-    pattern = rf"""{opening}[^>]*?\s(?i:href)=["']([^"']*)["']"""
-    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
-    return F.transform(found, lambda link: decoded(link))
+def hrefs(page: Column, css_class: str | None = None, tag: str | None = "a") -> Column:
+    """All link targets in page order, of elements of one class when given.
+
+    ``tag=None`` takes elements of any name.  Values may stand in either kind of quotes
+    or bare; links inside comments and scripts are none.
+    """
+    opening = _opening(tag, css_class).removesuffix("[^>]*>").replace(r"(\w+)", r"\w+", 1)
+    value = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    pattern = rf"""{opening}[^>]*?\s(?i:href)\s*=\s*{value}"""
+    found = F.regexp_extract_all(F.regexp_replace(page, _NOT_SHOWN, ""), F.lit(pattern), F.lit(1))
+    quoted = lambda link: F.substring(link, 1, 1).isin('"', "'")
+    return F.transform(
+        found,
+        lambda link: decoded(
+            F.when(quoted(link), F.substring(link, F.lit(2), F.length(link) - 2)).otherwise(link), attribute=True
+        ),
+    )
 
 
 def from_element(page: Column, css_class: str) -> Column:
@@ -81,22 +77,47 @@ def containers(page: Column, tag: str | None, css_class: str | None = None) -> C
     return F.array_join(F.transform(found, _inside), "\n")
 
 
-def decoded(text: Column, entities: str = "common") -> Column:
-    """Replace character references; ``"all"`` knows every named and numeric one."""
-    if entities == "all":
+def _named(reference: Column) -> Column:
+    """Characters of a named reference; NULL for a name that is none.
+
+    The names travel as one folded literal: small maps by checksum.
+    """
+    buckets: list[dict[str, str]] = [{} for _ in html5]
+    for name, characters in html5.items():
+        buckets[zlib.crc32(f"&{name}".encode()) % len(buckets)][f"&{name}"] = characters
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+    slot = F.pmod(F.crc32(reference.cast("binary")), F.lit(len(buckets))).cast("int")
+    return F.try_element_at(F.get(table, slot), reference)
+
+
+def _numbered(reference: Column) -> Column:
+    """The character of a numeric reference; what is no character becomes U+FFFD."""
+    digits = F.regexp_extract(reference, "[0-9a-fA-F]+", 0)
+    code = F.when(reference.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    data = F.unhex(F.lpad(F.hex(F.when(real, code).otherwise(F.lit(0xFFFD))), 8, "0"))
+    return F.decode(data, "UTF-32")
+
+
+def decoded(text: Column, attribute: bool = False) -> Column:
+    """Replace every numeric and named character reference; unknown names stay.
 
-        @pandas_udf(StringType())
-        def unescape(texts: pd.Series) -> pd.Series:
-            return texts.map(html_lib.unescape, na_action="ignore")
+    The text is cut at its references and put together again, all inside Catalyst.
+    """
+    pattern = _IN_ATTRIBUTE if attribute else _IN_TEXT
+    parts = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    characters = F.transform(
+        found, lambda r: F.when(r.startswith("&#"), _numbered(r)).otherwise(F.coalesce(_named(r), r))
+    )
+    whole = F.zip_with(parts, F.concat(characters, F.array(F.lit(""))), lambda part, c: F.concat(part, c))
+    return F.when(text.contains("&"), F.array_join(whole, "")).otherwise(text)
 
-        return unescape(text)
-    for name, character in COMMON_ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(character))
-    return text
 
+def visible_text(fragment: Column, scripts: str = "first") -> Column:
+    """Text of a fragment: no script, no comment, no tag, references decoded.
 
-def visible_text(fragment: Column, scripts: str = "first", entities: str = "common") -> Column:
-    """Text of a fragment: no script, no comment, no tag, entities decoded.
+    A ``<`` opens a tag only before a letter, ``/``, ``!`` or ``?``.
 
     ``scripts="first"`` drops only the first script of the fragment, the text of
     later ones stays; ``"all"`` drops every script.
@@ -108,7 +129,7 @@ def visible_text(fragment: Column, scripts: str = "first", entities: str = "comm
     else:
         raise ValueError(f"scripts is 'first' or 'all', not {scripts!r}")
     fragment = F.regexp_replace(fragment, r"(?s)<!--.*?-->", "")
-    return decoded(F.regexp_replace(fragment, r"<[^>]+>", ""), entities)
+    return decoded(F.regexp_replace(fragment, r"<[A-Za-z/!?][^>]*>", ""))
 
 
 def field(page: Column, pattern: str) -> Column:
@@ -124,9 +145,25 @@ def tagged_field(page: Column, tag: str, attribute: str, value: str) -> Column:
 
 def site(url: Column) -> Column:
     """Scheme and host."""
-    return F.regexp_extract(url, r"^(https?://[^/]+)", 1)
+    return F.regexp_extract(url, r"^((?i:https?)://[^/?#]+)", 1)
 
 
 def absolute_url(page_url: Column, href: Column) -> Column:
-    """Site of the page and the link's path; absolute links stay."""
-    return F.when(href.rlike(r"^https?://"), href).otherwise(F.concat(site(page_url), href))
+    """Where a link of a page leads.
+
+    A link with a scheme stays; ``//host`` takes the page's scheme; a path, a query or a
+    fragment replaces that part of the page's address; anything else stands beside the
+    page.  Dot segments stay as they are.
+    """
+    before = lambda marks: F.regexp_extract(page_url, rf"^[^{marks}]*", 0)
+    folder = F.regexp_extract(before("?#"), r"^(\w+://[^/]*/(?:.*/)?)", 1)
+    beside = F.when(folder != "", folder).otherwise(F.concat(site(page_url), F.lit("/")))
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(page_url, r"^(\w+:)", 1), href))
+        .when(href.startswith("/"), F.concat(site(page_url), href))
+        .when(href.startswith("?"), F.concat(before("?#"), href))
+        .when(href.startswith("#"), F.concat(before("#"), href))
+        .when(href == "", page_url)
+        .otherwise(F.concat(beside, href))
+    )

@@ -14,19 +14,19 @@ from textmark.settings import LITERAL_ENTRIES
 # A token is a whole word made only of letters.  A word is a run of letters,
 # digits, underscores and combining marks; a combining mark belongs to it only
 # when it sits on a letter or digit.  The first branch captures pure-letter
-# words, the second swallows every other run so that no part of it matches.
-# Each branch is possessive and free of nested groups: one pass over the text,
-# no backtracking and no recursion however long a run is.  The meaning of \b
-# depends on the Java version, so it is not used.
-_WORDS = (
-    r"(?=\p{L})(?:(?<!\p{Mn})|(?<![\p{L}\p{Nd}]\p{Mn}{1,16}))"
-    r"(\p{L}++)(?![\p{Nd}\p{Mn}_])"
-    r"|[\p{L}\p{Nd}_]++"
-)
+# words, the second swallows every other word whole, however many marks it
+# holds, so that no part of it matches.  Each branch is possessive and free of
+# nested groups: one pass over the text, no backtracking and no recursion however
+# long a run is.  The meaning of \b depends on the Java version, so it is not used.
+_WORDS = r"(\p{L}++)(?![\p{Nd}\p{Mn}_])|[\p{L}\p{Nd}_][\p{L}\p{Nd}\p{Mn}_]*+"
+# A mark behind an underscore sits on nothing and ends the word: a blank instead
+# makes that so.  Such texts are rare and only they are rewritten.
+_LOOSE_MARKS = r"(?<=_)\p{Mn}+"
 
 
 def raw_tokens(text: Column) -> Column:
     """Letter-only words of a text, in order, case kept."""
+    text = F.when(text.rlike(r"_\p{Mn}"), F.regexp_replace(text, _LOOSE_MARKS, " ")).otherwise(text)
     return F.array_remove(F.regexp_extract_all(text, F.lit(_WORDS), F.lit(1)), "")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from textmark.operators.lookup import lookup_join
 from textmark.operators.ranking import row_index
 from textmark.operators.tokens import words_only
-from textmark.runtime import cut_lineage
+from textmark.runtime import cut_lineage, written
 from textmark.settings import HASH_BUCKETS, TOP_K_ROWS, TREE_MAX_CATEGORIES, VOCABULARY_SIZE
 
 
@@ -34,16 +34,63 @@ def term_counts(df: DataFrame, words: str = "words") -> DataFrame:
     return exploded.groupBy("term").agg(F.count("*").alias("n"))
 
 
-def vocabulary(
-    df: DataFrame, size: int = VOCABULARY_SIZE, words: str = "words"
-) -> DataFrame:
-    """``(index, term, n)``: the most frequent terms, ties in term order.
+def bag_of_words(df: DataFrame, key: str, words: str = "words") -> DataFrame:
+    """``(key, term, n)`` for every term of every text; no vocabulary is needed."""
+    exploded = words_only(df, key, words=words, token="term")
+    return exploded.groupBy(key, "term").agg(F.count("*").cast("double").alias("n"))
+
+
+def document_frequencies(bag: DataFrame) -> DataFrame:
+    """``(term, texts)``: in how many texts each term stands."""
+    return bag.groupBy("term").agg(F.count("*").alias("texts"))
+
+
+def tfidf(bag: DataFrame, key: str, texts: int) -> DataFrame:
+    """``(key, term, weight)``: counts times ``ln((texts + 1) / (texts with the term + 1))``.
+
+    Weights are joined to the counts by term: broadcast if they fit, else salted.
+    """
+    idf = document_frequencies(bag).select(
+        "term", F.log(F.lit(texts + 1.0) / (F.col("texts") + 1)).alias("idf")
+    )
+    joined = lookup_join(bag, idf, ["term"], "inner", [key])
+    return joined.select(key, "term", (F.col("n") * F.col("idf")).alias("weight"))
+
+
+def category_codes(bag: DataFrame, texts: int) -> DataFrame:
+    """``(term, value, category)`` of the terms whose counts take at most four values.
+
+    A text without the term counts as value 0.  Zero keeps code 0, as sparse vectors
+    need it; the other values follow in order.  Terms with more values drop out after
+    their distinct values were counted, so no term gathers more than four rows.
+    """
+    seen = bag.groupBy("term", F.col("n").alias("value")).agg(F.count("*").alias("texts"))
+    held = F.sum("texts").alias("held")
+    terms = seen.groupBy("term").agg(F.count("*").alias("values"), held)
+    absent = F.col("held") < texts
+    terms = terms.withColumn("absent", absent).where(
+        F.col("values") + absent.cast("long") <= TREE_MAX_CATEGORIES
+    )
+    zero = terms.where("absent").select("term", F.lit(0.0).alias("value"))
+    kept = seen.join(terms.select("term"), "term", "left_semi").select("term", "value").union(zero)
+    code = F.row_number().over(Window.partitionBy("term").orderBy("value")) - 1
+    return kept.select("term", "value", code.cast("long").alias("category"))
+
+
+def vocabulary(df: DataFrame, size: int | None = None, words: str = "words") -> DataFrame:
+    """``(index, term, n)``: all terms, or the most frequent ones, ties in term order.
 
     The order is total, so the same corpus always gives the same indices.  The
-    table is computed here, once, and read back from the shared folder.
+    table is computed here, once, and read back from the shared folder.  With a size,
+    terms rarer than any wanted one are dropped by count before the sort.
     """
     counts = term_counts(df, words)
     order = [F.desc("n"), F.asc("term")]
+    if size is not None:
+        counts = written(counts, "term-counts")
+        counts = counts.where(F.col("n") >= least_count(counts, size))
+    if size is None:
+        return row_index(counts, order, "_row").select(F.col("_row").cast("int").alias("index"), "term", "n")
     if size <= TOP_K_ROWS:
         top = counts.orderBy(*order).limit(size)
         number = F.row_number().over(Window.orderBy(*order)) - 1
@@ -52,6 +99,17 @@ def vocabulary(
     return numbered.select(F.col("_row").cast("int").alias("index"), "term", "n")
 
 
+def least_count(counts: DataFrame, size: int) -> int:
+    """A count that at least ``size`` terms reach, as high as powers of two tell."""
+    steps = counts.groupBy(F.floor(F.log2("n")).alias("step")).agg(F.count("*").alias("terms"))
+    so_far = 0
+    for row in sorted(steps.collect(), key=lambda row: -row["step"]):
+        so_far += row["terms"]
+        if so_far >= size:
+            return 1 << int(row["step"])
+    return 1
+
+
 def term_list(terms: DataFrame) -> list[str]:
     """The terms in index order, on the driver.
 

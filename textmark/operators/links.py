@@ -53,10 +53,12 @@ def until_empty(
     """Listing pages before the first one of their group that has no links.
 
     The stop number folds map-side to one row per group; a group that holds most
-    pages is not gathered anywhere.
+    pages is not gathered anywhere.  Pages without a group are a group too.
     """
     empty_at = F.min(F.when(F.col(n_links) == 0, F.col(number)))
-    stops = listing.groupBy(group).agg(empty_at.alias("_stop"))
-    joined = lookup_join(listing, stops, [group], "inner", [key])
+    # A row of one column equals another even where the column is NULL.
+    stops = listing.groupBy(F.struct(group).alias("_group")).agg(empty_at.alias("_stop"))
+    grouped = listing.withColumn("_group", F.struct(group))
+    joined = lookup_join(grouped, stops, ["_group"], "inner", [key])
     open_end = F.col("_stop").isNull()
-    return joined.where(open_end | (F.col(number) < F.col("_stop"))).drop("_stop")
+    return joined.where(open_end | (F.col(number) < F.col("_stop"))).select(*listing.columns)

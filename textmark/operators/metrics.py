@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 def accuracy(prediction: str = "prediction", label: str = "label") -> Column:
-    return F.avg((F.col(prediction) == F.col(label)).cast("double"))
+    """Share of all labelled rows; a row without a prediction is a miss."""
+    hit = F.coalesce(F.col(prediction) == F.col(label), F.lit(False)).cast("double")
+    return F.avg(F.when(F.col(label).isNotNull(), hit))
 
 
 def mean_error(prediction: str = "prediction", label: str = "label") -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textmark.functions import text as T
 from textmark.operators.lookup import lookup_join
+from textmark.settings import LITERAL_ENTRIES
 
 
 # Exploding with an inner explode makes the optimiser test the array for emptiness
@@ -67,14 +68,20 @@ def prepare_words(
 ) -> DataFrame:
     """Replace ``text`` by the array ``words``: tokens, stems, no stop words.
 
-    Texts without a word left keep their row, with an empty array.
+    Texts without a word left keep their row, with an empty array.  Lists that are
+    too long for a literal become tables and take the join.
     """
-    if isinstance(lemmas, DataFrame) or isinstance(stop_words, DataFrame):
+    if any(needs_table(words) for words in (lemmas, stop_words)):
         return _prepare_by_join(df, key, text, lemmas, stop_words, filter_on)
     words = T.prepared(F.col(text), lemmas or {}, stop_words or (), filter_on)
     return df.withColumn("words", words).drop(text)
 
 
+def needs_table(words: Mapping | Collection | DataFrame | None) -> bool:
+    """Whether a word list is a table, or too long to be a literal."""
+    return words is not None and (isinstance(words, DataFrame) or len(words) > LITERAL_ENTRIES)
+
+
 def _prepare_by_join(df, key, text, lemmas, stop_words, filter_on) -> DataFrame:
     spark = df.sparkSession
     if lemmas is None or isinstance(lemmas, Mapping):
@@ -83,13 +90,13 @@ def _prepare_by_join(df, key, text, lemmas, stop_words, filter_on) -> DataFrame:
     if not isinstance(stop_words, DataFrame):
         rows = [(word,) for word in (stop_words or ())]
         stop_words = spark.createDataFrame(rows, "word string")
-    texts = df.repartition(key)
-    words = attach_stems(token_rows(texts, key, text), lemmas, key)
-    kept = drop_stop_rows(words, stop_words, key, "stem" if filter_on == "stem" else "token")
+    # Words are gathered by row, so rows that share a key stay apart.
+    row = "_row"
+    texts = df.withColumn(row, F.monotonically_increasing_id()).repartition(row)
+    words = attach_stems(token_rows(texts, row, text), lemmas, row)
+    kept = drop_stop_rows(words, stop_words, row, "stem" if filter_on == "stem" else "token")
     # One group is one text, which fitted a row before.
-    gathered = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("w"))
-    arrays = gathered.select(key, F.col("w.stem").alias("words"))
-    empty = F.array().cast("array<string>")
-    return (
-        texts.drop(text).join(arrays, key, "left").withColumn("words", F.coalesce("words", empty))
-    )
+    gathered = kept.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("w"))
+    arrays = gathered.select(row, F.col("w.stem").alias("words"))
+    joined = texts.drop(text).join(arrays, row, "left").drop(row)
+    return joined.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))

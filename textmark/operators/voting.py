@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmark.functions.votes import valid_mark
+from textmark.operators.sampling import whole_mark
 from textmark.settings import HIGHEST_MARK, LOWEST_MARK
 
 
@@ -14,16 +15,21 @@ def vote_whole_marks(df: DataFrame, key: str, mark: str = "mark") -> DataFrame:
 
     Ten counters per key fold map-side and cross the network once, so a key with
     any number of votes costs one row per task.  Keys whose members all failed
-    keep their row, with NULL.
+    keep their row, with NULL.  A mark that is no whole one from 1 to 10 is refused:
+    it is counted beside the others, and the key that holds one fails the query.
+    Such marks are for ``vote``.
     """
     value = F.col(mark)
     marks = list(range(LOWEST_MARK, HIGHEST_MARK + 1))
-    counted = df.groupBy(key).agg(*[F.count_if(value == m).alias(f"_{m}") for m in marks])
+    strange = F.count_if(valid_mark(value) & ~whole_mark(value)).alias("_strange")
+    counted = df.groupBy(key).agg(*[F.count_if(value == m).alias(f"_{m}") for m in marks], strange)
     most = F.greatest(*[F.col(f"_{m}") for m in marks])
     tied = [F.col(f"_{m}") == most for m in marks]
     total = sum((F.when(t, F.lit(float(m))).otherwise(0.0) for t, m in zip(tied, marks)), F.lit(0.0))
     n_tied = sum((t.cast("double") for t in tied), F.lit(0.0))
-    return counted.select(key, F.when(most > 0, total / n_tied).alias("mark"))
+    refused = F.raise_error(F.concat(F.col("_strange"), F.lit(" marks are not whole ones from 1 to 10")))
+    voted = F.when(most > 0, total / n_tied)
+    return counted.select(key, F.when(F.col("_strange") > 0, refused.cast("double")).otherwise(voted).alias("mark"))
 
 
 def vote(df: DataFrame, key: str, mark: str = "mark") -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
+from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from textmark.functions.votes import plurality
 from textmark.operators import metrics, sampling
 from textmark.plans.learners import LearnerSpec, TrainedMember, train
-
-log = logging.getLogger(__name__)
-
+from textmark.runtime import written
 
 def train_members(
     df: DataFrame,
@@ -23,7 +21,7 @@ def train_members(
     key: str = "doc_id",
     mark: str = "rating",
     width: int | None = None,
-    parallelism: int = 1,
+    parallelism: int = 4,
 ) -> list[TrainedMember]:
     """Train every spec on ``df``; persist ``df`` first, each member reads it.
 
@@ -45,15 +43,13 @@ def train_members(
 def with_member_marks(df: DataFrame, members: Sequence[TrainedMember]) -> DataFrame:
     """One ``mark_<member>`` column per member, in one projection.
 
-    A member that cannot read these rows gives NULL, the others still vote.
+    Members read the vectors of one extractor, which stand in every row.  An error
+    in a member's plan, such as vectors of another width, raises: a misconfigured
+    member is no missing vote.
     """
     marked = df
     for member in members:
-        try:
-            marked = member.mark(marked)
-        except Exception as error:  # any failure of one member is its missing vote
-            log.warning("member %s gives no mark: %s", member.spec.member, error)
-            marked = marked.withColumn(member.spec.mark_column, F.lit(None).cast("double"))
+        marked = member.mark(marked)
     return marked
 
 
@@ -88,5 +84,15 @@ def tested_rows(members: Sequence[TrainedMember]) -> DataFrame:
     )
 
 
+def with_written_tests(members: Sequence[TrainedMember]) -> list[TrainedMember]:
+    """The members with their scored test rows computed now, all in one job."""
+    rows = written(tested_rows(members), "tested-rows")
+
+    def of(member: TrainedMember) -> DataFrame:
+        return rows.where(F.col("member") == member.spec.member).drop("member")
+
+    return [replace(member, tested=of(member)) for member in members]
+
+
 def mean_accuracy(members: Sequence[TrainedMember]) -> DataFrame:
     return metrics.mean_member_accuracy(tested_rows(members))

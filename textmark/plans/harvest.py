@@ -29,16 +29,19 @@ class PageLayout:
     within: str | None = "reviewPage"
     rating: tuple[str, str, str] = ("span", "itemprop", "ratingValue")
     scripts: str = "first"
-    entities: str = "common"
     parse: bool = False
 
+    def __post_init__(self) -> None:
+        if self.parse and self.tag is None:
+            raise ValueError("a parsed layout needs a tag")
+
     def text(self, page: Column) -> Column:
         if self.within is not None:
             page = html.from_element(page, self.within)
         if self.parse:
             return html_parser.element_text(page, self.tag, self.css_class)
         inside = html.container(page, self.tag, self.css_class)
-        return html.visible_text(inside, self.scripts, self.entities)
+        return html.visible_text(inside, self.scripts)
 
 
 def review_records(pages: DataFrame, layout: PageLayout = PageLayout()) -> DataFrame:

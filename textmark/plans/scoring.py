@@ -18,7 +18,7 @@ from textmark.functions.keys import in_share
 from textmark.operators import features as V
 from textmark.operators.sampling import drop_incomplete
 from textmark.operators.tokens import prepare_words
-from textmark.plans.ensemble import mark_with_members, train_members
+from textmark.plans.ensemble import mark_with_members, train_members, with_written_tests
 from textmark.plans.learners import LearnerSpec, TrainedMember, raw_column
 
 
@@ -108,12 +108,14 @@ def fit_scorer(
     vocabulary_size: int = settings.VOCABULARY_SIZE,
     extractor: str = "counts",
     fit_scope: str = "train",
-    parallelism: int = 1,
+    parallelism: int = 4,
 ) -> Scorer:
     """Clean, prepare, fit the extractor and train every member.
 
     ``extractor`` is ``"counts"`` (bag of words) or ``"hashed_tfidf"``.
-    The vectors are kept once for all members and released afterwards.
+    The vectors are kept once for all members; before they are released every
+    member's test rows are scored from them and written, so figures about members
+    read narrow rows, never the texts again.
     """
     lemmas = {} if lemmas is None else lemmas
     stop_words = () if stop_words is None else stop_words
@@ -123,7 +125,7 @@ def fit_scorer(
     fitted = V.fit_extractor(extractor, seen, vocabulary_size)
     vectors = V.extract(fitted, words).drop("words").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        members = train_members(vectors, specs, key, mark, None, parallelism)
+        members = with_written_tests(train_members(vectors, specs, key, mark, None, parallelism))
     finally:
         vectors.unpersist()
     return Scorer(fitted, tuple(members), lemmas, stop_words, filter_on)

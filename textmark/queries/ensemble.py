@@ -59,15 +59,13 @@ def vote_with_failures(spark, folder):
 @query(
     "vote_per_row",
     _rounded_sql(
-        """SELECT vec_id, floor(abs(unnest(embedding[1:7])) * 20)::DOUBLE AS mark FROM embeddings""",
+        """SELECT vec_id, floor(abs(unnest(embedding)) * 20)::DOUBLE AS mark FROM embeddings""",
         "vec_id",
     ),
 )
 def vote_per_row(spark, folder):
     """Vote of an array of marks inside its row."""
-    marks = F.transform(
-        F.slice("embedding", 1, 7), lambda x: F.floor(F.abs(x) * F.lit(20)).cast("double")
-    )
+    marks = F.transform("embedding", lambda x: F.floor(F.abs(x) * F.lit(20)).cast("double"))
     vectors = tables.table(spark, folder, "embeddings")
     return vectors.select("vec_id", F.round(plurality(marks), 9).alias("mark"))
 

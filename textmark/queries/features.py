@@ -1,4 +1,4 @@
-"""Vocabulary, vectors, TF-IDF, indexers."""
+"""Vocabulary, counts per text, TF-IDF, indexers."""
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -7,20 +7,21 @@ from textmark.operators import features as V
 from textmark.queries import sql as S
 from textmark.queries.registry import query
 from textmark.queries.text import prepared_documents
-from textmark.settings import TREE_MAX_CATEGORIES, VOCABULARY_SIZE
+from textmark.runtime import written
+from textmark.settings import TREE_MAX_CATEGORIES
 from textmark.sources import tables
 
 _TERMS = "SELECT word AS term, count(*) AS n FROM words GROUP BY word"
 
 
-def _vocabulary_sql(size):
+def _vocabulary_sql(size=None):
     return f"""vocabulary AS (
         SELECT term, n, (row_number() OVER (ORDER BY n DESC, term) - 1)::INTEGER AS index
-        FROM ({_TERMS}) ORDER BY n DESC, term LIMIT {size})"""
+        FROM ({_TERMS}) ORDER BY n DESC, term {"" if size is None else f"LIMIT {size}"})"""
 
 
-_COUNTS = """counts AS (SELECT w.doc_id, w.word AS term, count(*)::DOUBLE AS n
-    FROM words w JOIN vocabulary v ON v.term = w.word GROUP BY w.doc_id, w.word)"""
+_COUNTS = """counts AS (SELECT doc_id, word AS term, count(*)::DOUBLE AS n
+    FROM words GROUP BY doc_id, word)"""
 
 
 @query("term_counts", f"WITH {S.word_rows()} {_TERMS}")
@@ -30,7 +31,7 @@ def term_counts(spark, folder):
 
 @query(
     "vocabulary",
-    f"WITH {S.word_rows()}, {_vocabulary_sql(VOCABULARY_SIZE)} SELECT index, term, n FROM vocabulary",
+    f"WITH {S.word_rows()}, {_vocabulary_sql()} SELECT index, term, n FROM vocabulary",
 )
 def vocabulary(spark, folder):
     return V.vocabulary(prepared_documents(spark, folder))
@@ -44,55 +45,46 @@ def vocabulary_top(spark, folder):
     return V.vocabulary(prepared_documents(spark, folder), 500)
 
 
-def _count_vectors(spark, folder, size=VOCABULARY_SIZE):
-    prepared = prepared_documents(spark, folder)
-    terms = V.vocabulary(prepared, size)
-    return V.vectoriser(V.term_list(terms)).transform(prepared).drop("words"), terms
+def _bag(spark, folder):
+    return V.bag_of_words(prepared_documents(spark, folder), "doc_id")
 
 
-@query(
-    "bag_of_words",
-    f"WITH {S.word_rows()}, {_vocabulary_sql(VOCABULARY_SIZE)}, {_COUNTS} "
-    "SELECT doc_id, term, n FROM counts",
-)
+@query("bag_of_words", f"WITH {S.word_rows()}, {_COUNTS} SELECT doc_id, term, n FROM counts")
 def bag_of_words(spark, folder):
-    vectors, terms = _count_vectors(spark, folder)
-    rows = V.with_terms(V.vector_rows(vectors, ["doc_id"]), terms, ["doc_id"])
-    return rows.select("doc_id", "term", F.col("value").alias("n"))
+    return _bag(spark, folder)
 
 
 @query(
     "count_vector_stats",
-    f"""WITH {S.word_rows()}, {_vocabulary_sql(VOCABULARY_SIZE)}, {_COUNTS}
+    f"""WITH {S.word_rows()}, {_COUNTS}
     SELECT d.doc_id, count(c.term)::INTEGER AS n_terms, coalesce(sum(c.n), 0)::DOUBLE AS n_words,
-           (SELECT count(*) FROM vocabulary)::INTEGER AS width
+           (SELECT count(DISTINCT word) FROM words)::INTEGER AS width
     FROM documents d LEFT JOIN counts c ON c.doc_id = d.doc_id GROUP BY d.doc_id""",
 )
 def count_vector_stats(spark, folder):
-    vectors, _ = _count_vectors(spark, folder)
-    inner = F.unwrap_udt("features")
-    total = F.aggregate(inner["values"], F.lit(0.0), lambda total, value: total + value)
-    return vectors.select(
+    """Entries, sum and width of every text's count vector, over all terms."""
+    prepared = prepared_documents(spark, folder)
+    width = V.term_counts(prepared).agg(F.count("*").cast("int").alias("width"))
+    stats = prepared.select(
         "doc_id",
-        F.size(inner["indices"]).alias("n_terms"),
-        total.alias("n_words"),
-        inner["size"].alias("width"),
+        F.size(F.array_distinct("words")).alias("n_terms"),
+        F.size("words").cast("double").alias("n_words"),
     )
+    return stats.crossJoin(F.broadcast(width))
 
 
 @query(
     "tfidf",
-    f"""WITH {S.word_rows()}, {_vocabulary_sql(VOCABULARY_SIZE)}, {_COUNTS},
+    f"""WITH {S.word_rows()}, {_COUNTS},
     spread AS (SELECT term, count(*) AS df FROM counts GROUP BY term)
     SELECT doc_id, term, round(n * ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (df + 1)), 6)
            AS weight
     FROM counts JOIN spread USING (term)""",
 )
 def tfidf(spark, folder):
-    vectors, terms = _count_vectors(spark, folder)
-    weighted = V.inverse_document_frequency(vectors).transform(vectors)
-    rows = V.with_terms(V.vector_rows(weighted, ["doc_id"], "weighted"), terms, ["doc_id"])
-    return rows.select("doc_id", "term", F.round("value", 6).alias("weight"))
+    bag = written(_bag(spark, folder), "bag-of-words")
+    texts = tables.table(spark, folder, "documents").count()
+    return V.tfidf(bag, "doc_id", texts).withColumn("weight", F.round("weight", 6))
 
 
 @query("hashing_tf")
@@ -162,38 +154,23 @@ def index_to_string(spark, folder):
     return named.select("vec_id", "mark_name")
 
 
-_VECTOR_WIDTH = 300
-
-
 @query(
     "vector_index",
-    f"""WITH {S.word_rows()}, {_vocabulary_sql(_VECTOR_WIDTH)}, {_COUNTS},
+    f"""WITH {S.word_rows()}, {_COUNTS},
     seen AS (SELECT term, n FROM counts
              UNION SELECT term, 0 FROM counts GROUP BY term
              HAVING count(*) < (SELECT count(*) FROM documents))
-    SELECT v.term, s.n AS value, row_number() OVER (PARTITION BY v.term ORDER BY s.n <> 0, s.n) - 1
+    SELECT s.term, s.n AS value, row_number() OVER (PARTITION BY s.term ORDER BY s.n <> 0, s.n) - 1
            AS category
-    FROM vocabulary v JOIN seen s ON s.term = v.term
-    WHERE v.term IN (SELECT term FROM seen GROUP BY term HAVING count(*) <= {TREE_MAX_CATEGORIES})""",
+    FROM seen s
+    WHERE s.term IN (SELECT term FROM seen GROUP BY term HAVING count(*) <= {TREE_MAX_CATEGORIES})""",
 )
 def vector_index(spark, folder):
-    """Which of the most frequent terms are categories, and their value codes.
-
-    The fitted maps hold at most ``features * 4`` values.
-    """
-    vectors, terms = _count_vectors(spark, folder, _VECTOR_WIDTH)
-    maps = V.category_indexer().fit(vectors).categoryMaps
-    rows = [(int(i), float(v), int(c)) for i, codes in maps.items() for v, c in codes.items()]
-    codes = spark.createDataFrame(rows, "index int, value double, category long")
-    return V.with_terms(codes, terms, ["value"]).select("term", "value", "category")
+    """Which terms are categories, and the codes of their values, over all terms."""
+    bag = written(_bag(spark, folder), "bag-of-words")
+    return V.category_codes(bag, tables.table(spark, folder, "documents").count())
 
 
-@query(
-    "feature_count",
-    f"WITH {S.word_rows()} SELECT least(count(DISTINCT word), {VOCABULARY_SIZE}) AS n_features FROM words",
-)
+@query("feature_count", f"WITH {S.word_rows()} SELECT count(DISTINCT word) AS n_features FROM words")
 def feature_count(spark, folder):
-    """Vector width, from a vector as a learner sees it."""
-    vectors, _ = _count_vectors(spark, folder)
-    width = F.unwrap_udt("features")["size"].cast("long")
-    return vectors.agg(F.max(width).alias("n_features"))
+    return V.term_counts(prepared_documents(spark, folder)).agg(F.count("*").alias("n_features"))

@@ -21,6 +21,22 @@ def error_stats(spark, folder):
     return _rounded(metrics.error_report(tables.event_results(spark, folder)))
 
 
+_MISSING = f"""SELECT * REPLACE (CASE WHEN member = 'view' THEN NULL ELSE prediction END AS prediction)
+    FROM ({S.EVENT_RESULTS})"""
+
+
+@query(
+    "accuracy_with_missing",
+    f"""SELECT member, count(*) AS n, sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) / count(label) AS accuracy
+        FROM ({_MISSING}) GROUP BY member""",
+)
+def accuracy_with_missing(spark, folder):
+    """Rows without a prediction count as misses."""
+    given = F.when(F.col("member") != "view", F.col("prediction"))
+    rows = tables.event_results(spark, folder).withColumn("prediction", given)
+    return metrics.error_report(rows, ["member"]).select("member", "n", "accuracy")
+
+
 @query("accuracy_report", f"SELECT member, {_FIGURES} FROM ({S.EVENT_RESULTS}) GROUP BY member")
 def accuracy_report(spark, folder):
     return _rounded(metrics.error_report(tables.event_results(spark, folder), ["member"]))

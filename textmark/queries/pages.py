@@ -11,35 +11,46 @@ from textmark.sources import tables
 
 _ARTICLE = PageLayout(tag="article", css_class=None, within=None)
 
-_HREFS = """regexp_extract_all({html}, '<a\\b[^>]*?\\shref="([^"]*)"', 1)"""
+# The references that the given pages hold; the ampersand comes last.
+_SQL_REFERENCES = (("quot", '"'), ("copy", "©"), ("middot", "·"), ("nbsp", "\u00a0"), ("lt", "<"), ("gt", ">"), ("amp", "&"))
+_SHOWN = "regexp_replace({html}, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g')"
+_HREFS = """regexp_extract_all({html}, '<a\\b[^>]*?\\shref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1)"""
 _NAV = "array_to_string(regexp_extract_all(html, '(?s)<nav\\b[^>]*>(.*?)</nav>', 1), chr(10))"
 
 
-def _decoded_sql(text):
-    for name, character in html.COMMON_ENTITIES:
-        escaped = character.replace("'", "''")
-        text = f"replace({text}, '{name}', '{escaped}')"
+def _decoded_sql(text, semicolon=";"):
+    for name, character in _SQL_REFERENCES:
+        text = f"regexp_replace({text}, '&{name}{semicolon}', '{character}', 'g')"
     return text
 
 
 def _link_rows_sql(source):
     return f"""SELECT page_id, url, pos, {_decoded_sql("href")} AS href FROM (
-        SELECT page_id, url, (generate_subscripts(h, 1) - 1)::INTEGER AS pos, unnest(h) AS href
-        FROM (SELECT page_id, url, {_HREFS.format(html=source)} AS h FROM pages))"""
+        SELECT page_id, url, (generate_subscripts(h, 1) - 1)::INTEGER AS pos,
+               regexp_replace(unnest(h), '^["''](.*)["'']$', '\\1', 's') AS href
+        FROM (SELECT page_id, url, {_HREFS.format(html=_SHOWN.format(html=source))} AS h FROM pages))"""
 
 
 _LINKS = _link_rows_sql("html")
-_SITE = "regexp_extract({url}, '^(https?://[^/]+)', 1)"
-_TARGETS = f"""SELECT page_id, url, pos, href, CASE WHEN regexp_matches(href, '^https?://') THEN href
-    ELSE {_SITE.format(url="url")} || href END AS target FROM ({_LINKS})"""
+_SITE = "regexp_extract({url}, '^((?i:https?)://[^/?#]+)', 1)"
+_TARGETS = f"""SELECT page_id, url, pos, href, CASE
+    WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+    WHEN starts_with(href, '//') THEN split_part(url, '//', 1) || href
+    WHEN starts_with(href, '/') THEN {_SITE.format(url="url")} || href
+    WHEN starts_with(href, '?') THEN regexp_replace(url, '[?#].*', '') || href
+    WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*', '') || href
+    WHEN href = '' THEN url
+    ELSE regexp_replace(regexp_replace(url, '[?#].*', ''), '^(\\w+://[^/]*)(/.*/|/)?[^/]*$', '\\1') ||
+         coalesce(nullif(regexp_extract(regexp_replace(url, '[?#].*', ''), '^\\w+://[^/]*(/(?:.*/)?)', 1), ''), '/') || href
+    END AS target FROM ({_LINKS})"""
 
 _STRIPPED = "regexp_replace(regexp_replace(regexp_replace({inner}, '(?s)<script\\b.*?</script>', ''), \
-'(?s)<!--.*?-->', '', 'g'), '<[^>]+>', '', 'g')"
+'(?s)<!--.*?-->', '', 'g'), '<[A-Za-z/!?][^>]*>', '', 'g')"
 _ARTICLE_SQL = "nullif(regexp_extract(html, '(?s)<article\\b[^>]*>(.*?)</article>', 1), '')"
 
 
 def _text_sql():
-    return _decoded_sql(_STRIPPED.format(inner=_ARTICLE_SQL))
+    return _decoded_sql(_STRIPPED.format(inner=_ARTICLE_SQL), ";?")
 
 
 def _links(spark, folder):
@@ -141,6 +152,21 @@ def link_join(spark, folder):
     return L.follow(links, stored).select("page_id", "pos", "target", "target_page")
 
 
+@query(
+    "link_join_sites",
+    f"""SELECT l.page_id, l.pos, l.site, p.target_page
+        FROM (SELECT *, {_SITE.format(url="target")} AS site FROM ({_TARGETS})) l
+        JOIN (SELECT {_SITE.format(url="url")} AS site, min(page_id) AS target_page FROM pages GROUP BY 1) p
+        USING (site)""",
+)
+def link_join_sites(spark, folder):
+    """Links beside the first stored page of the site they lead to."""
+    stored = tables.table(spark, folder, "pages").select("page_id", html.site(F.col("url")).alias("url"))
+    links = L.absolute_links(_links(spark, folder)).withColumn("target", html.site(F.col("target")))
+    found = L.follow(links.select("page_id", "pos", "target"), stored)
+    return found.select("page_id", "pos", F.col("target").alias("site"), "target_page")
+
+
 @query(
     "link_missing",
     f"SELECT page_id, pos, target FROM ({_TARGETS}) WHERE target NOT IN (SELECT url FROM pages)",
@@ -165,7 +191,7 @@ def link_site(spark, folder):
     return L.with_site(links, stored).select("page_id", "pos", "site", "site_pages", "first_page")
 
 
-_LISTING = """SELECT page_id, regexp_extract(html, '<html\\b[^>]*\\blang="([^"]*)"', 1) AS lang,
+_LISTING = """SELECT page_id, nullif(regexp_extract(html, '<html\\b[^>]*\\blang="([^"]*)"', 1), '') AS lang,
     len(regexp_extract_all(html, '<a\\b[^>]*?\\shref="(/[a-m][^"]*)"', 1)) AS n_links FROM pages"""
 
 
@@ -173,7 +199,7 @@ _LISTING = """SELECT page_id, regexp_extract(html, '<html\\b[^>]*\\blang="([^"]*
     "listing_until_empty",
     f"""SELECT l.page_id, l.lang, l.n_links FROM ({_LISTING}) l
         JOIN (SELECT lang, min(CASE WHEN n_links = 0 THEN page_id END) AS stop
-              FROM ({_LISTING}) GROUP BY lang) s ON s.lang = l.lang
+              FROM ({_LISTING}) GROUP BY lang) s ON s.lang IS NOT DISTINCT FROM l.lang
         WHERE s.stop IS NULL OR l.page_id < s.stop""",
 )
 def listing_until_empty(spark, folder):

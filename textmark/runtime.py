@@ -41,6 +41,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back, whatever its partitions."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when the scan has fewer partitions than cores.
 

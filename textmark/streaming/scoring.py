@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import OneVsRestModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from textmark.plans.scoring import Scorer, score_table
 
 
-def _joins_or_caches(scorer: Scorer) -> bool:
-    """Table word lists need joins and groups, and a one-vs-rest model looks at
-    the storage level of its input; neither works on a stream itself."""
-    tables = isinstance(scorer.lemmas, DataFrame) or isinstance(scorer.stop_words, DataFrame)
-    return tables or any(
-        isinstance(stage, OneVsRestModel)
-        for member in scorer.members
-        for stage in member.model.stages
-    )
-
-
 def score_stream(
     arriving: DataFrame,
     scorer: Scorer,
@@ -32,22 +20,20 @@ def score_stream(
 ) -> StreamingQuery:
     """Append a mark for every arriving text to parquet below ``out``.
 
-    Stateless, so there is nothing to grow.  A restart from ``checkpoint``
-    repeats no row: the file sink commits whole batches, and the batch form
-    overwrites its own batch folder.  ``partitions`` spreads the texts of a source
+    Stateless, so there is nothing to grow.  Each batch has a folder of its own,
+    ``batch=<number>``, whatever the scorer holds; a restart from ``checkpoint``
+    overwrites the folder of the batch it repeats, so no row comes twice.  ``partitions`` spreads the texts of a source
     that has fewer files than the cluster has cores.
     """
     if partitions:
         arriving = arriving.repartition(partitions)
-    if _joins_or_caches(scorer):
 
-        def write(batch: DataFrame, number: int) -> None:
-            scored = score_table(batch, scorer, key, text)
-            scored.write.mode("overwrite").parquet(f"{out}/batch={number}")
+    def write(batch: DataFrame, number: int) -> None:
+        scored = score_table(batch, scorer, key, text)
+        scored.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-        writer = arriving.writeStream.foreachBatch(write)
-    else:
-        scored = score_table(arriving, scorer, key, text)
-        writer = scored.writeStream.format("parquet").option("path", out).outputMode("append")
+    # One form for all scorers: word tables need joins, some models cache their input,
+    # and neither works on a stream itself.
+    writer = arriving.writeStream.foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
