@@ -75,10 +75,44 @@ def test_links_of_all_containers(spark):
     assert by_page(pages, html_parser.element_links(F.col("html"), "div", "text"))[1] == ["/1?a=1&b=2", "/2"]
 
 
-def test_entities(spark):
-    row = spark.createDataFrame([("&amp;lt; &eacute; &#233; &quot; R&ampD",)], "t string")
-    assert row.select(html.decoded(F.col("t"))).first()[0] == '&lt; &eacute; &#233; " R&D'
-    assert row.select(html.decoded(F.col("t"), "all")).first()[0] == '&lt; é é " R&D'
+def test_every_kind_of_reference(spark):
+    text = "&amp;lt; &eacute; &#233; &#xE9; &quot; R&ampD &oacute;&#8222; &nosuch; &#0; &#xD800; & &&amp;"
+    row = spark.createDataFrame([(text,), ("plain",), (None,)], "t string").select(html.decoded(F.col("t")))
+    assert [r[0] for r in row.collect()] == ['&lt; é é é " R&D ó„ &nosuch; \ufffd \ufffd & &&', "plain", None]
+
+
+def test_links_in_any_quotes(spark):
+    page = """<a href="/o'brien"></a><a href='/"x"'></a><a class=c href=/bare></a><!-- <a href="/no"></a> -->
+    <script>'<a href="/no"></a>'</script><a href="/f?a=1&copy=2&lt=3&amp;b=&eacute;"></a><area class="c d" href="/any">"""
+    row = spark.createDataFrame([(page,)], "t string")
+    assert row.select(html.hrefs(F.col("t"))).first()[0] == [
+        "/o'brien", '/"x"', "/bare", "/f?a=1&copy=2&lt=3&b=é",
+    ]
+    assert row.select(html.hrefs(F.col("t"), "c", None)).first()[0] == ["/any"]
+
+
+def test_where_links_lead(spark):
+    base = "https://h.pl/a/b?q=1#f"
+    expected = {
+        "p2.html": "https://h.pl/a/p2.html", "/x": "https://h.pl/x", "//cdn.pl/x": "https://cdn.pl/x",
+        "mailto:a@b.pl": "mailto:a@b.pl", "HTTP://X.pl/": "HTTP://X.pl/", "?p=2": "https://h.pl/a/b?p=2",
+        "#t": "https://h.pl/a/b?q=1#t", "": base,
+    }
+    rows = spark.createDataFrame([(base, link) for link in expected], "url string, href string")
+    found = rows.select("href", html.absolute_url(F.col("url"), F.col("href")).alias("to"))
+    assert {r["href"]: r["to"] for r in found.collect()} == expected
+    bare = spark.createDataFrame([("https://h.pl", "x")], "url string, href string")
+    assert bare.select(html.absolute_url(F.col("url"), F.col("href"))).first()[0] == "https://h.pl/x"
+
+
+def test_a_less_than_sign_is_no_tag(spark):
+    row = spark.createDataFrame([("3 < 5 i 7 > 2 <b>x</b><!DOCTYPE y>",)], "t string")
+    assert row.select(html.visible_text(F.col("t"))).first()[0] == "3 < 5 i 7 > 2 x"
+
+
+def test_a_parsed_layout_needs_a_tag():
+    with pytest.raises(ValueError):
+        PageLayout(parse=True)
 
 
 def test_records(pages):
@@ -114,3 +148,9 @@ def test_listing_stops_at_the_first_empty_page(spark):
     listing = spark.createDataFrame(rows, "site string, page int, n_links int")
     kept = L.until_empty(listing, "site", "page", "n_links", key="page")
     assert {(r["site"], r["page"]) for r in kept.collect()} == {("a", 1), ("b", 1), ("b", 9)}
+
+
+def test_pages_without_a_group_are_one(spark):
+    listing = spark.createDataFrame([(None, 1, 5), (None, 2, 0), (None, 3, 1)], "site string, page int, n_links int")
+    kept = L.until_empty(listing, "site", "page", "n_links", key="page")
+    assert [tuple(r) for r in kept.collect()] == [(None, 1, 5)]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textmark import LearnerSpec, Scorer, fit_scorer, score_stream, score_table, score_text, train
 from textmark.operators import features as V
+from textmark.plans import ensemble
 from textmark.plans.ensemble import mark_with_members, train_members
 
 KINDS = ["naive_bayes", "one_vs_rest", "perceptron", "tree"]
@@ -173,6 +174,13 @@ def test_stream_equals_batch(spark, reviews, folder, specs):
     assert rows_of(streamed) == rows_of(score_table(texts, scorer).select("doc_id", "mark"))
 
 
+def test_figures_about_members_read_no_text(spark, reviews):
+    scorer = fit_scorer(reviews, SPECS[:2])
+    tested = ensemble.tested_rows(scorer.members)
+    plan = tested._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and tested.count() > 0
+
+
 def test_hashed_tfidf_scorer(reviews):
     scorer = fit_scorer(reviews, SPECS[:1], extractor="hashed_tfidf", vocabulary_size=1 << 10)
     assert score_table(reviews.dropna(), scorer).where("mark = rating").count() > 100

@@ -135,3 +135,22 @@ def test_rating_parse(spark):
 def test_fingerprint(spark):
     row = spark.createDataFrame([("abc",)], "t string")
     assert row.select(T.fingerprint(F.col("t"))).first()[0] == "900150983cd24fb0d6963f7d28e17f72"
+
+
+def test_any_number_of_marks(spark):
+    marks = "\u0301"
+    texts = ["1" + n * marks + "abc def" for n in (1, 3, 20, 500)] + ["a" + 40 * marks + "b c", "_" + marks + "abc", marks + "abc"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    found = [r[0] for r in rows.orderBy("id").select(T.raw_tokens(F.col("text"))).collect()]
+    assert found == [["def"]] * 4 + [["c"], ["abc"], ["abc"]]
+
+
+def test_long_lists_and_repeated_keys_take_the_join(spark):
+    stops = {f"w{i}" for i in range(10_001)} | {"the"}
+    lemmas = {f"l{i}": "x" for i in range(10_001)} | {"cats": "cat"}
+    rows = spark.createDataFrame([(1, "the cats"), (1, "cats run the"), (2, "the")], "doc_id long, text string")
+    short = W.prepare_words(rows, "doc_id", lemmas={"cats": "cat"}, stop_words={"the"})
+    long = W.prepare_words(rows, "doc_id", lemmas=lemmas, stop_words=stops)
+    expected = [(1, ["cat", "run"]), (1, ["cat"]), (2, [])]
+    for df in (short, long):
+        assert sorted((r["doc_id"], r["words"]) for r in df.collect()) == sorted(expected)

@@ -48,6 +48,19 @@ def test_vote_of_fractional_marks(spark):
     assert voting.vote(rows, "id").first()["mark"] == 2.5
 
 
+@pytest.mark.parametrize("marks", [(5.5, 5.5, 3.0), (11.0,), (0.0, 2.0)])
+def test_marks_that_are_not_whole_are_refused(spark, marks):
+    rows = spark.createDataFrame([(1, m) for m in marks], "id int, mark double")
+    with pytest.raises(Exception, match="not whole"):
+        voting.vote_whole_marks(rows, "id").collect()
+    assert voting.vote(rows, "id").first()["mark"] == brute_force(marks)
+
+
+def test_a_missing_prediction_is_a_miss(spark):
+    rows = spark.createDataFrame([(1.0, 1.0), (None, 2.0), (None, 3.0), (4.0, None)], "prediction double, label double")
+    assert rows.agg(metrics.accuracy()).first()[0] == pytest.approx(1 / 3)
+
+
 def test_a_hot_key_votes_once_per_task(spark):
     rows = spark.range(100_000).select(F.lit(1).alias("id"), (1.0 + F.col("id") % 4).alias("mark"))
     assert voting.vote_whole_marks(rows, "id").first()["mark"] == 2.5

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from textmark.operators import metrics, sampling
 from textmark.plans.learners import LearnerSpec, TrainedMember, train
 from textmark.runtime import written
 
+log = logging.getLogger(__name__)
+
 def train_members(
     df: DataFrame,
     specs: Sequence[LearnerSpec],
@@ -43,13 +47,19 @@ def train_members(
 def with_member_marks(df: DataFrame, members: Sequence[TrainedMember]) -> DataFrame:
     """One ``mark_<member>`` column per member, in one projection.
 
-    Members read the vectors of one extractor, which stand in every row.  An error
-    in a member's plan, such as vectors of another width, raises: a misconfigured
-    member is no missing vote.
+    A member that is lost, so that its model cannot be applied, gives NULL and the
+    others still vote.  A member that is misconfigured, such as one of another width or
+    without its columns, raises instead: that is no missing vote.
     """
     marked = df
     for member in members:
-        marked = member.mark(marked)
+        try:
+            marked = member.mark(marked)
+        except (ValueError, TypeError, AnalysisException, IllegalArgumentException):
+            raise
+        except Exception as error:
+            log.warning("member %s gives no mark: %s", member.spec.member, error)
+            marked = marked.withColumn(member.spec.mark_column, F.lit(None).cast("double"))
     return marked
 
 
