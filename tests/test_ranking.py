@@ -148,3 +148,18 @@ def test_lookup_join_beyond_the_bound_does_not_broadcast(spark):
     assert not lookup.fits_broadcast(small, max_bytes=10)
     joined = lookup.lookup_join(large, small, ["k"], "left", ["id"], max_rows=4)
     assert joined.count() == 100 and joined.where("v = 'x'").count() == 100
+
+
+def test_many_classes_split_without_a_broadcast(spark, monkeypatch):
+    from textmark.operators import sampling
+
+    rows = spark.range(4000).select(F.col("id").alias("key"), (F.col("id") % 400).alias("label"))
+    wide = sampling.stratified_split(rows, "key").where("in_train").count()
+    monkeypatch.setattr(sampling, "fits_broadcast", lambda df: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = sampling.stratified_split(rows, "key")
+        assert split.where("in_train").count() == wide == 2400
+        assert "BroadcastHashJoin" not in split._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -104,3 +104,9 @@ def test_sample_files(spark, tmp_path):
 def test_work_folders_are_below_the_shared_one(spark):
     first, second = work_folder(spark, "x"), work_folder(spark, "x")
     assert first != second and first.startswith(shared_folder(spark))
+
+
+def test_keys_follow_the_content(spark):
+    rows = spark.createDataFrame([(1.0, "a"), (1.0, "a"), (None, "a"), (1.0, None), (2.0, "b")] * 3, "rating double, text string")
+    one, two = (sorted(map(tuple, reviews.with_key(rows.repartition(n)).collect()), key=repr) for n in (1, 7))
+    assert one == two and len({r[-1] for r in one}) == 15

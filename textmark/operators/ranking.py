@@ -83,8 +83,8 @@ def hash_cutoffs(
 
     ``quota`` is an expression over ``_in_group``, the size of the group.  Only
     the one bucket of each group in which the quota ends is ranked; every other
-    row takes part in nothing but the counting.  Meant for few groups, such as
-    class labels: their cutoffs are broadcast.
+    row takes part in nothing but the counting.  One row per group and bucket is
+    joined back, by the plan that their number asks for.
     """
     bucketed = _with_bucket(df.select(*by, key), key, salt)
     offsets = bucket_offsets(bucketed, by).withColumn("_quota", F.floor(quota))
@@ -92,7 +92,7 @@ def hash_cutoffs(
         (F.col("_before") < F.col("_quota"))
         & (F.col("_quota") <= F.col("_before") + F.col("_in_bucket"))
     )
-    ranked = bucketed.join(F.broadcast(ends), [*by, "_bucket"]).withColumn(
+    ranked = bucketed.join(ends, [*by, "_bucket"]).withColumn(
         "_position", _rank_in_bucket(by, key)
     )
     last = F.struct(F.col("_digest").alias("digest"), F.col(key).alias("key"))

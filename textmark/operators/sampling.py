@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmark.functions.keys import in_share, key_digest
 from textmark.functions.votes import valid_mark
+from textmark.operators.lookup import fits_broadcast
 from textmark.operators.ranking import hash_cutoffs, hash_positions, in_hash_order, row_index
+from textmark.runtime import written
 from textmark.settings import HIGHEST_MARK, LOWEST_MARK, SHUFFLE_SEED, TRAIN_SHARE
 
 
@@ -66,19 +68,26 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``in_train``: exactly the first ``share`` of every class in hash order.
 
-    Rows are compared with their class's cutoff where they are; none moves.
+    Rows are compared with their class's cutoff where they are; none moves unless the
+    classes are too many to broadcast.
     """
     cutoffs = hash_cutoffs(df, key, [label], F.col("_in_group") * F.lit(share), salt)
-    joined = df.join(F.broadcast(cutoffs), label, "left")
+    joined = df.join(_small(cutoffs), label, "left")
     chosen = F.coalesce(in_hash_order(key, salt) <= F.col("_last"), F.lit(False))
     return joined.select(*df.columns, chosen.alias("in_train"))
 
 
+def _small(cutoffs: DataFrame) -> DataFrame:
+    """The cutoffs, computed once, and marked for broadcast if they fit."""
+    cutoffs = written(cutoffs, "cutoffs")
+    return F.broadcast(cutoffs) if fits_broadcast(cutoffs) else cutoffs
+
+
 def balance(df: DataFrame, key: str, label: str = "label", salt: str = "") -> DataFrame:
     """As many rows of every class as the smallest class has, first in hash order."""
-    smallest = F.min("_in_group").over(Window.partitionBy())
-    cutoffs = hash_cutoffs(df, key, [label], smallest, salt)
-    joined = df.join(F.broadcast(cutoffs), label)
+    least = smallest_class(df, label).first()["n"]
+    cutoffs = hash_cutoffs(df, key, [label], F.lit(least or 0), salt)
+    joined = df.join(_small(cutoffs), label)
     return joined.where(in_hash_order(key, salt) <= F.col("_last")).select(*df.columns)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.functions.text import parsed_rating
-from textmark.runtime import cut_lineage
 
 REVIEW_COLUMNS = ("rating", "text")
 RESULT_COLUMNS = ("prediction", "label")
@@ -59,12 +58,18 @@ def read_positional(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def with_key(reviews: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Number reviews that come without a key.
+    """Name reviews that come without a key by what they hold.
 
-    The rows are written once to the shared folder, so a row keeps its number
-    however often it is read; numbering itself needs no shuffle and no order.
+    The key is a hash of the row and of its number among equal rows, so it is the same
+    however the rows are partitioned.  Equal rows are counted map-side and told apart
+    afterwards; they never meet in one task.
     """
-    return cut_lineage(reviews).withColumn(key, F.monotonically_increasing_id())
+    columns = reviews.columns
+    counted = reviews.groupBy(*columns).agg(F.count("*").alias("_n"))
+    numbered = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_nth"))
+    # Nulls leave a hash unchanged, so each column says whether it holds one.
+    content = [x for name in columns for x in (F.col(name).isNull(), F.col(name))]
+    return numbered.withColumn(key, F.xxhash64(*content, "_nth")).drop("_nth")
 
 
 def rejected(reviews: DataFrame) -> DataFrame:
