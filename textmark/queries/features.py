@@ -118,6 +118,28 @@ def hashed_tfidf(spark, folder):
     )
 
 
+@query(
+    "hashing_tf_texts",
+    f"""WITH {S.word_rows()}, {_COUNTS}
+    SELECT doc_id, sum(n) AS n_words, TRUE AS within_terms, TRUE AS weighted FROM counts GROUP BY doc_id""",
+)
+def hashing_tf_texts(spark, folder):
+    """Per text: words in all buckets, no more buckets than terms, and a weight for each."""
+    prepared = prepared_documents(spark, folder)
+    counts = hashing_tf(spark, folder).groupBy("doc_id").agg(
+        F.sum("n").alias("n_words"), F.count("*").alias("buckets")
+    )
+    weights = hashed_tfidf(spark, folder).groupBy("doc_id").agg(
+        F.count("*").alias("weights"), F.min("weight").alias("least")
+    )
+    terms = prepared.select("doc_id", F.size(F.array_distinct("words")).alias("terms"))
+    joined = counts.join(weights, "doc_id").join(terms, "doc_id")
+    return joined.select(
+        "doc_id", "n_words", (F.col("buckets") <= F.col("terms")).alias("within_terms"),
+        ((F.col("weights") == F.col("buckets")) & (F.col("least") >= 0)).alias("weighted"),
+    )
+
+
 @query(
     "vector_conversion",
     """SELECT vec_id, (i - 1)::INTEGER AS pos, embedding[i]::DOUBLE AS value FROM (

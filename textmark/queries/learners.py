@@ -131,3 +131,49 @@ def mlp_text(spark, folder):
     """A perceptron on bag-of-words vectors of the 1000 most frequent terms."""
     reviews = tables.language_rated(spark, folder)
     return _tested(reviews, LearnerSpec("perceptron", "mlp"), vocabulary_size=1000)
+
+
+# What SQL can check of the learners it cannot repeat: which rows are tested, their
+# labels, and that every prediction is one of the labels.
+
+_MARK_ROWS = f"""SELECT vec_id, (label + 1)::DOUBLE AS label, TRUE AS known FROM embeddings
+    WHERE NOT substring(md5(vec_id::VARCHAR), 1, 8) < '{S.TRAIN_LIMIT}'"""
+
+
+def _known(tested, key, labels):
+    known = F.col("prediction").isin([float(label) for label in labels])
+    return tested.select(key, "label", F.coalesce(known, F.lit(False)).alias("known"))
+
+
+@query("ovr_mark_rows", _MARK_ROWS)
+def ovr_mark_rows(spark, folder):
+    return _known(ovr_marks(spark, folder), "vec_id", range(1, 11))
+
+
+@query("mlp_mark_rows", _MARK_ROWS)
+def mlp_mark_rows(spark, folder):
+    return _known(mlp_marks(spark, folder), "vec_id", range(1, 11))
+
+
+@query("tree_mark_rows", _MARK_ROWS)
+def tree_mark_rows(spark, folder):
+    return _known(tree_marks(spark, folder), "vec_id", range(1, 11))
+
+
+@query(
+    "mlp_text_rows",
+    f"""SELECT doc_id, rating AS label, TRUE AS known FROM ({S.LANGUAGE_RATED})
+        WHERE rating IS NOT NULL AND text IS NOT NULL
+          AND NOT substring(md5(doc_id::VARCHAR), 1, 8) < '{S.TRAIN_LIMIT}'""",
+)
+def mlp_text_rows(spark, folder):
+    return _known(mlp_text(spark, folder), "doc_id", range(1, len(tables.LANGUAGE_MARKS) + 1))
+
+
+@query(
+    "svm_target_rows",
+    f"""WITH {S.bayes(S.QUALITY_RATED, [("svm", "")], _TARGET)}
+    SELECT doc_id, label, TRUE AS known FROM labelled WHERE NOT in_train""",
+)
+def svm_target_rows(spark, folder):
+    return _known(svm_target(spark, folder), "doc_id", (0, 1))

@@ -66,6 +66,20 @@ def random_split(spark, folder):
     )
 
 
+@query(
+    "random_split_sizes",
+    "SELECT count(*) AS n, count(DISTINCT doc_id) AS n_keys, TRUE AS near_share FROM documents",
+)
+def random_split_sizes(spark, folder):
+    """Both sides together hold every row once; the share is about the wanted one."""
+    parts = random_split(spark, folder)
+    off = F.abs(F.avg((F.col("part") == "train").cast("double")) - TRAIN_SHARE)
+    return parts.agg(
+        F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_keys"),
+        (off * F.sqrt(F.count("*")) < 3).alias("near_share"),
+    )
+
+
 @query(
     "stratified_split",
     f"""SELECT doc_id, label, place <= {TRAIN_SHARE}::DOUBLE * n AS in_train FROM (
