@@ -106,56 +106,51 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return table[at] == wanted, at
 
 
-def mark(index: Index, texts: pa.Array, before: pa.Array | None = None) -> pa.Array:
-    """Results for a batch of texts; ``before`` holds those of earlier blocks."""
-    parts = []
+_EMPTY = pa.struct(
+    [("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))]
+)
+
+
+def mark(blocks: Callable[[], Iterator[Index]], texts: pa.Array) -> pa.Array:
+    """Results for a batch of texts; ``blocks`` gives the indexes one after another."""
+    runs = []
     for start, stop, data, offsets in W.chunks(texts):
         words = W.words_of(data, offsets, W.ALNUM)
-        total = len(words.hashes)
-        change = np.zeros(total + 1, np.int64)
-        items: list[set[str]] = [set() for _ in range(stop - start)]
-        first = words.first
-        for length, at, which in index.hits(words):
-            np.add.at(change, at, 1)
-            np.add.at(change, at + length, -1)
-            _, begins, owners = index.tables[length]
-            for text, window in set(zip(words.text[at].tolist(), which.tolist(), strict=True)):
-                items[text].update(
-                    index.ids[i] for i in owners[begins[window] : begins[window + 1]] if index.ids[i] is not None
-                )
-        if before is not None:
-            old = before.slice(start, stop - start)
-            for row, value in enumerate(old.to_pylist()):
-                items[row].update(value["items"])
-                for span in value["spans"]:
-                    change[first[row] + span["start"]] += 1
-                    change[first[row] + span["stop"]] -= 1
-        hit = np.cumsum(change[:-1]) > 0
-        edge = np.ones(total, bool)
-        if total:
-            edge[1:] = (hit[1:] != hit[:-1]) | (words.text[1:] != words.text[:-1])
-        begin = np.flatnonzero(edge)
-        end = np.append(begin[1:], total)
-        begin, end = begin[hit[begin]], end[hit[begin]]
-        owner = words.text[begin]
-        spans = pa.StructArray.from_arrays(
-            [pa.array(begin - first[owner], pa.int64()), pa.array(end - first[owner], pa.int64())],
-            fields=list(_SPAN),
-        )
-        parts.append(
-            pa.StructArray.from_arrays(
-                [
-                    pa.array(words.counts, pa.int64()),
-                    pa.array(np.bincount(words.text[hit], minlength=stop - start), pa.int64()),
-                    W.list_array(spans, np.bincount(owner, minlength=stop - start)),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                ],
-                names=["n_words", "n_hit", "spans", "items"],
-            )
-        )
-    if not parts:
-        return pa.array([], pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))]))
-    return pa.concat_arrays(parts)
+        runs.append((stop - start, words, np.zeros(len(words.hashes) + 1, np.int64), [set() for _ in range(start, stop)]))
+    for index in blocks():
+        for _, words, change, items in runs:
+            for length, at, which in index.hits(words):
+                np.add.at(change, at, 1)
+                np.add.at(change, at + length, -1)
+                _, begins, owners = index.tables[length]
+                for text, window in set(zip(words.text[at].tolist(), which.tolist(), strict=True)):
+                    found = owners[begins[window] : begins[window + 1]]
+                    items[text].update(index.ids[i] for i in found if index.ids[i] is not None)
+    return pa.concat_arrays([_results(*run) for run in runs]) if runs else pa.array([], _EMPTY)
+
+
+def _results(rows: int, words: W.Words, change: np.ndarray, items: list[set[str]]) -> pa.Array:
+    total, first = len(words.hashes), words.first
+    hit = np.cumsum(change[:-1]) > 0
+    edge = np.ones(total, bool)
+    if total:
+        edge[1:] = (hit[1:] != hit[:-1]) | (words.text[1:] != words.text[:-1])
+    begin = np.flatnonzero(edge)
+    end = np.append(begin[1:], total)
+    begin, end = begin[hit[begin]], end[hit[begin]]
+    owner = words.text[begin]
+    spans = pa.StructArray.from_arrays(
+        [pa.array(begin - first[owner], pa.int64()), pa.array(end - first[owner], pa.int64())], fields=list(_SPAN)
+    )
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(words.counts, pa.int64()),
+            pa.array(np.bincount(words.text[hit], minlength=rows), pa.int64()),
+            W.list_array(spans, np.bincount(owner, minlength=rows)),
+            pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+        ],
+        names=["n_words", "n_hit", "spans", "items"],
+    )
 
 
 def contamination(
@@ -164,34 +159,28 @@ def contamination(
 ) -> Callable[[Column], Column]:
     """A function from a text column to ``RESULT``: hit words, their spans, and the items.
 
-    Reads the benchmark once to size the blocks and once per block.
+    Reads the benchmark once to size the blocks and once per block.  Tasks hold one block
+    at a time, however large the benchmark is.
     """
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // (block_words * 4)))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-
-    def udf(number: int) -> Callable:
-        index = spark.sparkContext.broadcast(Index(items.where(part == number).toArrow(), window, k))
-
-        @F.arrow_udf(RESULT)
-        def first(texts: pa.Array) -> pa.Array:
-            return mark(index.value, texts)
-
-        @F.arrow_udf(RESULT)
-        def later(texts: pa.Array, before: pa.Array) -> pa.Array:
-            return mark(index.value, texts, before)
-
-        return later if number else first
-
-    steps = [udf(number) for number in range(blocks)]
-
-    def result(column: Column) -> Column:
-        out = steps[0](column)
-        for step in steps[1:]:
-            out = step(column, out)
-        return out
+    shared = [
+        spark.sparkContext.broadcast(Index(items.where(part == number).toArrow(), window, k))
+        for number in range(blocks)
+    ]
+
+    def one_by_one() -> Iterator[Index]:
+        for block in shared:
+            yield block.value
+            if len(shared) > 1:  # read again from the local copy for the next batch
+                block.__dict__.pop("_value", None)
+
+    @F.arrow_udf(RESULT)
+    def result(texts: pa.Array) -> pa.Array:
+        return mark(one_by_one, texts)
 
     return result
 
