@@ -96,8 +96,9 @@ def test_tree_walk_finds_every_possible_pair():
     words = jaccard.bits_of(6) // 64
     maps = rng.integers(0, 1 << 63, (700, words), np.uint64) & rng.integers(0, 1 << 63, (700, words), np.uint64)
     maps[350:] = maps[:350]
-    n = np.sort(jaccard._popcount(maps) + rng.integers(0, 3, 700))
-    tree = jaccard.Tree(maps, n)
+    extra = rng.integers(0, 3, 700)
+    n = jaccard._popcount(maps) + extra
+    tree = jaccard.Tree(maps, n, n + rng.integers(0, 9, 700), extra)
     pairs = {(x, y) for a, b in jaccard.walk(tree, tree, True, 75, lambda a, b: a >= 0) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
     a, b = np.triu_indices(700, 1)
     keep = jaccard._possible(tree, tree, 0, 0, a, b, 75)

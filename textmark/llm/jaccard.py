@@ -12,11 +12,13 @@ A document is the set of its distinct 5-word shingles.  Two documents link when
    set, nodes above hold the OR of the bitmaps and the range of sizes.  Two trees are
    walked together; a pair of nodes is left when the largest overlap that its bitmaps and
    sizes permit is too small.  A bucket larger than a block is walked block by block.
-4. A bucket first proposes only as many pairs as join its nodes, the most similar bitmaps
-   first; they are compared shingle by shingle and make components.  Buckets in which a
-   proposed pair did not link are walked again: each node names the larger components in
-   which some node may link with it, and is compared with all their nodes.  A group of m
-   near copies so costs rows in proportion to m, however many of its pairs link.
+4. First the buckets of each node's ``SEEDS`` lowest shared shingles propose pairs, only as
+   many as join their nodes and the most similar bitmaps first.  These are compared shingle
+   by shingle and make components, which hold most links.
+5. Then all buckets are searched, with one row per component in place of its nodes.  A
+   component that may hold a link with a larger one asks for it, and the nodes of both are
+   compared by whole sets.  A group of m near copies so costs rows in proportion to m,
+   however many of its pairs link and however many shingles they share.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing;
 a text of one to four words is one shingle; a null key gets no component and links
@@ -30,14 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmark.llm import words as W
 from textmark.llm.frames import components, narrowed, stored
+from textmark.operators.lookup import fits_broadcast
 
 SHINGLE = 5
 PERCENT = 75
+SEEDS = 4
 BLOCK = 2048
 LEAF = 16
 FANOUT = 8
@@ -165,9 +169,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Tree:
     """Levels of a signature tree, leaves first; each level halves little and ORs much."""
 
-    def __init__(self, maps: np.ndarray, sizes: np.ndarray):
-        collisions = sizes - _popcount(maps)
-        self.maps, self.low, self.high, self.extra = [maps], [sizes], [sizes], [collisions]
+    def __init__(self, maps: np.ndarray, low: np.ndarray, high: np.ndarray, extra: np.ndarray):
+        self.maps, self.low, self.high, self.extra = [maps], [low], [high], [extra]
         step = LEAF
         while len(self.maps[-1]) > 1:
             cuts = np.arange(0, len(self.maps[-1]), step)
@@ -256,11 +259,12 @@ def _expand(a: np.ndarray, b: np.ndarray, step: int, size: int) -> tuple[np.ndar
 
 
 def _bitmaps(array: pa.Array, width: int) -> np.ndarray:
-    """Bitmaps as rows of ``width`` 64-bit numbers.
+    """Bitmaps as rows of ``width`` 64-bit numbers; for a null one, all bits.
 
     Bits stand in hash order modulo the size, so the halves of a bitmap twice as wide are
     laid onto each other.
     """
+    array = array.fill_null(b"\xff" * (8 * width))
     array = array.cast(pa.large_binary())
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
@@ -307,22 +311,27 @@ def _forest(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> tuple[list[int],
 Pairs = tuple[list[int], list[int]]
 
 
-def _trees(n, maps, left, right) -> tuple[Tree, Tree, np.ndarray, np.ndarray, bool] | None:
+#: Columns of the leaves: bitmaps, least and largest size, and most bit collisions.
+Leaves = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _trees(leaves: Leaves, left, right) -> tuple[Tree, Tree, np.ndarray, np.ndarray, bool] | None:
     la, ra = np.flatnonzero(left), np.flatnonzero(right)
     if len(la) == 0 or len(ra) == 0:
         return None
     same = len(la) == len(ra) and bool((la == ra).all())
-    one = Tree(maps[la], n[la])
-    return one, one if same else Tree(maps[ra], n[ra]), la, ra, same
+    one = Tree(*(x[la] for x in leaves))
+    return one, one if same else Tree(*(x[ra] for x in leaves)), la, ra, same
 
 
-def _joining(n, maps, root, left, right, percent: int) -> Pairs:
+def _joining(leaves: Leaves, root, left, right, percent: int) -> Pairs:
     """Pairs that join the rows of a unit, likely ones first, as if each linked."""
     out_a: list[int] = []
     out_b: list[int] = []
-    trees = _trees(n, maps, left, right)
+    trees = _trees(leaves, left, right)
     if trees is None:
         return out_a, out_b
+    maps = leaves[0]
     one, other, la, ra, same = trees
     root = root.copy()
     for least in (0.7, 0.55, 0.4, 0.0):
@@ -345,7 +354,7 @@ def _joining(n, maps, root, left, right, percent: int) -> Pairs:
     return out_a, out_b
 
 
-def _leaf_pairs(start, size, n, maps, root, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _leaf_pairs(start, size, leaves: Leaves, root, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Possible pairs, and their unit, of units of a few leaves, which need no tree: many at once."""
     pairs_a, pairs_b = [], []
     for m in np.unique(size):
@@ -356,16 +365,16 @@ def _leaf_pairs(start, size, n, maps, root, percent: int) -> tuple[np.ndarray, n
     a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
     open_ = root[a] != root[b]
     a, b = a[open_], b[open_]
-    leaves = Tree.__new__(Tree)
-    leaves.maps, leaves.low, leaves.high, leaves.extra = [maps], [n], [n], [n - _popcount(maps)]
-    keep = _possible(leaves, leaves, 0, 0, a, b, percent)
+    flat = Tree.__new__(Tree)
+    flat.maps, flat.low, flat.high, flat.extra = ([x] for x in leaves)
+    keep = _possible(flat, flat, 0, 0, a, b, percent)
     a, b = a[keep], b[keep]
     return a, b, np.searchsorted(start, a, side="right") - 1
 
 
-def _joining_leaves(start, size, n, maps, root, percent: int) -> Pairs:
-    a, b, unit = _leaf_pairs(start, size, n, maps, root, percent)
-    order = np.lexsort((-_alike(maps, a, b), unit))
+def _joining_leaves(start, size, leaves: Leaves, root, percent: int) -> Pairs:
+    a, b, unit = _leaf_pairs(start, size, leaves, root, percent)
+    order = np.lexsort((-_alike(leaves[0], a, b), unit))
     a, b, unit = a[order], b[order], unit[order]
     out_a: list[int] = []
     out_b: list[int] = []
@@ -422,85 +431,86 @@ class _Units:
     def __init__(self, rows: pa.Table):
         self.rows = rows
         self.unit = [rows.column(x).to_numpy() for x in _UNIT]
-        self.node, self.n, self.root = (rows.column(x).to_numpy() for x in ("node", "n", "root"))
-        self.label = np.unique(self.root, return_inverse=True)[1]
+        self.node, self.low, self.high = (rows.column(x).to_numpy() for x in ("node", "n", "high"))
+        self.label = np.unique(self.node, return_inverse=True)[1]
         self.left, self.right = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("left", "right"))
         self.start = _starts(self.unit)
         self.end = np.append(self.start[1:], len(self.node))
         self.small = (self.end - self.start <= SMALL) & np.logical_and.reduceat(self.left & self.right, self.start)
 
-    def classes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``(first row, bitmaps, units)`` of each size class."""
+    def classes(self) -> Iterator[tuple[int, Leaves, np.ndarray]]:
+        """``(first row, leaves, units)`` of each size class."""
         cls = self.unit[0][self.start]
         for c in np.unique(cls):
             of = np.flatnonzero(cls == c)
             lo, hi = self.start[of[0]], self.end[of[-1]]
-            yield lo, _bitmaps(self.rows.column("bitmap").slice(lo, hi - lo), bits_of(c) // 64), of
+            given = self.rows.column("bitmap").slice(lo, hi - lo)
+            maps, low = _bitmaps(given, bits_of(c) // 64), self.low[lo:hi]
+            # Without a bitmap nothing is known but the sizes: any overlap is possible.
+            extra = np.where(given.is_valid().to_numpy(), low - _popcount(maps), 1 << 40)
+            yield lo, (maps, low, self.high[lo:hi], extra), of
 
 
 def _propose(percent: int):
     def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         u = _Units(rows)
-        for lo, maps, of in u.classes():
-            hi = lo + len(maps)
+        for lo, leaves, of in u.classes():
+            hi = lo + len(leaves[0])
             out_a: list[int] = []
             out_b: list[int] = []
             few = of[u.small[of]]
             if len(few):
                 out_a, out_b = _joining_leaves(
-                    u.start[few] - lo, (u.end - u.start)[few], u.n[lo:hi], maps, u.label[lo:hi], percent
+                    u.start[few] - lo, (u.end - u.start)[few], leaves, u.label[lo:hi], percent
                 )
             for g in of[~u.small[of]]:
                 at = slice(u.start[g], u.end[g])
                 s, e = u.start[g] - lo, u.end[g] - lo
-                a, b = _joining(u.n[at], maps[s:e], u.label[at], u.left[at], u.right[at], percent)
+                a, b = _joining(tuple(x[s:e] for x in leaves), u.label[at], u.left[at], u.right[at], percent)
                 out_a += [x + s for x in a]
                 out_b += [x + s for x in b]
             x, y = np.array(out_a, np.int64) + lo, np.array(out_b, np.int64) + lo
             if len(x):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(u.unit[1][x]), pa.array(u.unit[0][x]),
                         pa.array(np.minimum(u.node[x], u.node[y])), pa.array(np.maximum(u.node[x], u.node[y])),
                     ],
-                    names=["token", "cls", "a", "b"],
+                    names=["a", "b"],
                 )
 
     return _by_unit(_UNIT, flush)
 
 
 def _ask(percent: int):
-    """Which larger component each node may link with."""
+    """Pairs of components ``(asker, root)`` that may hold a link; the smaller one asks."""
 
     def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         u = _Units(rows)
         size = rows.column("size").to_numpy()
 
         def asked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            down = (size[a] > size[b]) | ((size[a] == size[b]) & (u.root[a] > u.root[b]))
-            return np.unique(np.stack([u.node[np.where(down, b, a)], u.root[np.where(down, a, b)]]), axis=1)
+            down = (size[a] > size[b]) | ((size[a] == size[b]) & (u.node[a] > u.node[b]))
+            return np.unique(np.stack([u.node[np.where(down, b, a)], u.node[np.where(down, a, b)]]), axis=1)
 
         found = [np.zeros((2, 0), np.int64)]
-        for lo, maps, of in u.classes():
-            hi = lo + len(maps)
+        for lo, leaves, of in u.classes():
+            hi = lo + len(leaves[0])
             few = of[u.small[of]]
             if len(few):
-                a, b, _ = _leaf_pairs(
-                    u.start[few] - lo, (u.end - u.start)[few], u.n[lo:hi], maps, u.label[lo:hi], percent
-                )
+                a, b, _ = _leaf_pairs(u.start[few] - lo, (u.end - u.start)[few], leaves, u.label[lo:hi], percent)
                 found.append(asked(a + lo, b + lo))
             for g in of[~u.small[of]]:
-                at, first = slice(u.start[g], u.end[g]), u.start[g]
-                label = u.label[at]
-                trees = _trees(u.n[at], maps[first - lo : u.end[g] - lo], u.left[at], u.right[at])
+                at, first = slice(u.start[g] - lo, u.end[g] - lo), u.start[g]
+                label = u.label[u.start[g] : u.end[g]]
+                trees = _trees(tuple(x[at] for x in leaves), u.left[u.start[g] : u.end[g]], u.right[u.start[g] : u.end[g]])
                 if trees is None:
                     continue
                 one, other, la, ra, same = trees
                 for a, b in walk(one, other, same, percent, lambda a, b, x=label, la=la, ra=ra: x[la[a]] != x[ra[b]]):
                     found.append(asked(la[a] + first, ra[b] + first))
-        node, root = np.unique(np.concatenate(found, axis=1), axis=1)
-        if len(node):
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["node", "root"])
+        asker, root = np.unique(np.concatenate(found, axis=1), axis=1)
+        if len(asker):
+            yield pa.RecordBatch.from_arrays([pa.array(asker), pa.array(root)], names=["asker", "root"])
 
     return _by_unit(_UNIT, flush)
 
@@ -609,15 +619,26 @@ def _texts(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, k: int) -> Data
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``(a, b, linked)`` for distinct pairs of nodes, by their whole sets."""
-    pairs = stored(pairs.select("a", "b").distinct(), "jaccard-pairs")
+    """Of pairs of nodes, those ``(a, b)`` that link by their whole sets."""
+    pairs = stored(pairs.distinct(), "jaccard-pairs")
     texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), docs, nodes, k)
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
     rows = pairs.join(first, "a").join(second, "b")
     rows = rows.select("a", "b", _comparer(k)("one", "other").alias("r"))
-    linked = F.col("r.common") * 100 >= F.col("r.either") * percent
-    return stored(rows.select("a", "b", linked.alias("linked")), "jaccard-compared")
+    return stored(rows.where(F.col("r.common") * 100 >= F.col("r.either") * percent).select("a", "b"), "jaccard-links")
+
+
+def _kept_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` of buckets that hold several nodes, once for buckets with the same ones.
+
+    ``rows`` is dealt by bucket and holds a node of a bucket once.
+    """
+    buckets = rows.groupBy("token", "cls").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("which")
+    )
+    buckets = buckets.where("members > 1").groupBy("cls", "members", "which").agg(F.min("token").alias("token"))
+    return rows.join(buckets.select("token", "cls", "members"), ["token", "cls"])
 
 
 def _met(asks: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -663,28 +684,33 @@ def near_duplicates(
     classes = F.array_distinct(F.array(size(F.col("n")), size(F.ceil(F.col("n") * percent / 100))))
     rows = rows.join(nodes.select("node", classes.alias("classes")), "node")
     rows = stored(rows.select("token", F.explode("classes").alias("cls"), "node"), "jaccard-rows")
-    buckets = rows.groupBy("token", "cls").agg(
-        F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("which")
-    )
-    buckets = buckets.where("members > 1").groupBy("cls", "members", "which").agg(F.min("token").alias("token"))
-    rows = rows.join(buckets.select("token", "cls", "members"), ["token", "cls"])
-    rows = rows.join(nodes.select("node", "n", "bitmap"), "node").withColumn("root", F.col("node"))
-
-    proposals = _blocks(rows, block).mapInArrow(_propose(percent), "token long, cls int, a long, b long")
-    proposals = stored(proposals, "jaccard-proposals")
-    compared = _compared(proposals, docs, nodes, k, percent)
-    links = compared.where("linked").select("a", "b")
-    # Where a proposed pair did not link, its bucket may hide pairs behind it.
-    again = proposals.join(compared.where("not linked").select("a", "b"), ["a", "b"]).select("token", "cls").distinct()
+    lowest = F.row_number().over(Window.partitionBy("node", "cls").orderBy("token"))
+    seeds = rows.withColumn("nth", lowest).where(F.col("nth") <= SEEDS).drop("nth")
+    seeds = _kept_buckets(stored(seeds, "jaccard-seeds"))
+    seeds = seeds.join(nodes.select("node", "n", F.col("n").alias("high"), "bitmap"), "node")
+    proposals = _blocks(seeds, block).mapInArrow(_propose(percent), "a long, b long")
+    links = _compared(proposals, docs, nodes, k, percent)
+
     roots = components(links)
     sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    members = nodes.select("node").join(roots.join(sizes, "root"), "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
+    joined = stored(roots.join(sizes, "root"), "jaccard-roots")
+    members = nodes.select("node", "n", "bitmap").join(joined, "node", "left").select(
+        "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size"),
+        F.when(F.col("size").isNull(), F.col("bitmap")).alias("bitmap"),
     )
     members = stored(members, "jaccard-members")
-    open_ = _blocks(rows.drop("root").join(again, ["token", "cls"]).join(members, "node"), block)
-    asks = open_.mapInArrow(_ask(percent), "node long, root long")
-    links = links.union(_met(asks, members, docs, nodes, k, percent))
+    whole = members.groupBy("root", "size").agg(
+        F.min("n").alias("n"), F.max("n").alias("high"), F.max("bitmap").alias("bitmap")
+    )
+    changed = joined.where("node <> root").select("node", "root")
+    kept = F.broadcast(changed) if fits_broadcast(changed) else changed
+    rows = rows.join(kept, "node", "left").select("token", "cls", F.coalesce("root", "node").alias("node"))
+    rows = _kept_buckets(rows.repartition("token", "cls").distinct())
+    rows = rows.join(whole.withColumnRenamed("root", "node"), "node")
+    asks = _blocks(rows, block).mapInArrow(_ask(percent), "asker long, root long").distinct()
+    own = members.select("node", F.col("root").alias("asker"))
+    asks = asks.join(own, "asker").select("node", "root")
+    links = links.union(_met(asks, members.select("node", "root", "size"), docs, nodes, k, percent))
     roots = components(links)
 
     of = nodes.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
