@@ -154,3 +154,14 @@ def test_long_lists_and_repeated_keys_take_the_join(spark):
     expected = [(1, ["cat", "run"]), (1, ["cat"]), (2, [])]
     for df in (short, long):
         assert sorted((r["doc_id"], r["words"]) for r in df.collect()) == sorted(expected)
+
+
+def test_a_large_dictionary_shuffles_no_tokens(spark):
+    lemmas = spark.range(400_000).selectExpr("concat('w', id) token", "1 rank", "concat('s', id) stem")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string").crossJoin(spark.range(50))
+    rows = rows.selectExpr("doc_id * 100 + id as doc_id", "concat(text, ' cats w') as text")
+    lemmas = lemmas.union(spark.createDataFrame([("cats", 1, "cat"), ("w", 1, "v")], lemmas.schema))
+    words = W.prepare_words(rows, "doc_id", lemmas=lemmas, stop_words=spark.createDataFrame([("v",)], "word string"))
+    assert {tuple(r["words"]) for r in words.collect()} == {("a", "cat"), ("b", "cat")}
+    plan = words._jdf.queryExecution().executedPlan().toString()
+    assert "token" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmark.functions import text as T
-from textmark.operators.lookup import lookup_join
+from textmark.operators.lookup import fits_broadcast, lookup_join
+from textmark.runtime import written
 from textmark.settings import LITERAL_ENTRIES
 
 
@@ -47,8 +48,16 @@ def first_stems(lemmas: DataFrame) -> DataFrame:
 
 
 def attach_stems(rows: DataFrame, lemmas: DataFrame, key: str) -> DataFrame:
-    """Add the stem of every token; a token without one is its own stem."""
-    joined = lookup_join(rows, first_stems(lemmas), ["token"], "left", [key, "pos"])
+    """Add the stem of every token; a token without one is its own stem.
+
+    A dictionary too large to broadcast is first cut down to the words that the corpus
+    holds, which are counted map-side; token rows are shuffled only if those are too many.
+    """
+    known = first_stems(lemmas).where("stem <> token")
+    if not fits_broadcast(known):
+        seen = rows.select("token").distinct()
+        known = written(known.join(seen, "token", "left_semi"), "lemmas-in-use")
+    joined = lookup_join(rows, known, ["token"], "left", [key, "pos"])
     return joined.withColumn("stem", F.coalesce("stem", "token"))
 
 
