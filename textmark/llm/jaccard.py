@@ -15,9 +15,9 @@ A document is the set of its distinct 5-word shingles.  Two documents link when
 4. First the buckets of each node's ``SEEDS`` lowest shared shingles propose pairs, only as
    many as join their nodes and the most similar bitmaps first.  These are compared shingle
    by shingle and make components, which hold most links.
-5. Then all buckets are searched, with one row per component in place of its nodes.  A
-   component that may hold a link with a larger one asks for it, and the nodes of both are
-   compared by whole sets.  A group of m near copies so costs rows in proportion to m,
+5. Then all buckets are searched, with one row per component in place of its nodes: itself
+   a node of a signature tree, the OR of their bitmaps.  A component that may hold a link
+   with a larger one asks for it, and the nodes of both are compared by whole sets.  A group of m near copies so costs rows in proportion to m,
    however many of its pairs link and however many shingles they share.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing;
@@ -259,12 +259,11 @@ def _expand(a: np.ndarray, b: np.ndarray, step: int, size: int) -> tuple[np.ndar
 
 
 def _bitmaps(array: pa.Array, width: int) -> np.ndarray:
-    """Bitmaps as rows of ``width`` 64-bit numbers; for a null one, all bits.
+    """Bitmaps as rows of ``width`` 64-bit numbers.
 
     Bits stand in hash order modulo the size, so the halves of a bitmap twice as wide are
     laid onto each other.
     """
-    array = array.fill_null(b"\xff" * (8 * width))
     array = array.cast(pa.large_binary())
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
@@ -431,7 +430,7 @@ class _Units:
     def __init__(self, rows: pa.Table):
         self.rows = rows
         self.unit = [rows.column(x).to_numpy() for x in _UNIT]
-        self.node, self.low, self.high = (rows.column(x).to_numpy() for x in ("node", "n", "high"))
+        self.node, self.low, self.high, self.extra = (rows.column(x).to_numpy() for x in ("node", "n", "high", "extra"))
         self.label = np.unique(self.node, return_inverse=True)[1]
         self.left, self.right = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("left", "right"))
         self.start = _starts(self.unit)
@@ -444,11 +443,9 @@ class _Units:
         for c in np.unique(cls):
             of = np.flatnonzero(cls == c)
             lo, hi = self.start[of[0]], self.end[of[-1]]
-            given = self.rows.column("bitmap").slice(lo, hi - lo)
-            maps, low = _bitmaps(given, bits_of(c) // 64), self.low[lo:hi]
-            # Without a bitmap nothing is known but the sizes: any overlap is possible.
-            extra = np.where(given.is_valid().to_numpy(), low - _popcount(maps), 1 << 40)
-            yield lo, (maps, low, self.high[lo:hi], extra), of
+            maps = _bitmaps(self.rows.column("bitmap").slice(lo, hi - lo), bits_of(c) // 64)
+            low, extra = self.low[lo:hi], self.extra[lo:hi]
+            yield lo, (maps, low, self.high[lo:hi], np.where(extra < 0, low - _popcount(maps), extra)), of
 
 
 def _propose(percent: int):
@@ -515,6 +512,55 @@ def _ask(percent: int):
     return _by_unit(_UNIT, flush)
 
 
+_SUMMARY = "node long, cls int, n long, high long, extra long, bitmap binary, size long"
+_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+
+
+def _united(most: int):
+    """Rows of one component and class as one: OR of the bitmaps, range of sizes, most collisions.
+
+    Holds ``most`` of them at a time; rows that come apart are united by a later pass over
+    sorted rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {}
+
+        def flush() -> pa.RecordBatch:
+            rows = [(*key, *x[:3], x[3].tobytes(), x[4]) for key, x in held.items()]
+            held.clear()
+            columns = zip(zip(*rows, strict=True), _KINDS, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], names=batch.schema.names)
+
+        for batch in batches:
+            for node, cls, n, high, extra, bitmap, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                map_ = np.bitwise_or.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, bits_of(cls) // 64), axis=0)
+                extra = n - int(np.bitwise_count(map_).sum()) if extra < 0 else extra
+                x = held.get((node, cls))
+                if x is None:
+                    if len(held) >= most:
+                        yield flush()
+                    held[node, cls] = [n, high, extra, map_, size]
+                else:
+                    held[node, cls] = [min(x[0], n), max(x[1], high), max(x[2], extra), x[3] | map_, size]
+        if held:
+            yield flush()
+
+    return run
+
+
+def _summaries(members: DataFrame, classes) -> DataFrame:
+    """``_SUMMARY`` of every component in each size class that its nodes are routed to."""
+    rows = members.withColumn("cls", F.explode(classes))
+    rows = rows.select(
+        F.col("root").alias("node"), "cls", "n", F.col("n").alias("high"), F.lit(-1).cast("long").alias("extra"), "bitmap", "size"
+    )
+    # Copies of a large component unite in each task before they meet.
+    several = rows.where("size > 1").mapInArrow(_united(4096), _SUMMARY)
+    several = several.repartition("node", "cls").sortWithinPartitions("node", "cls").mapInArrow(_united(1), _SUMMARY)
+    return rows.where("size = 1").union(several)
+
+
 def _blocks(rows: DataFrame, block: int) -> DataFrame:
     """Each row once per pair of blocks of its bucket: columns i, j, left, right."""
     of = F.pmod(F.xxhash64("node"), F.col("parts"))
@@ -687,7 +733,8 @@ def near_duplicates(
     lowest = F.row_number().over(Window.partitionBy("node", "cls").orderBy("token"))
     seeds = rows.withColumn("nth", lowest).where(F.col("nth") <= SEEDS).drop("nth")
     seeds = _kept_buckets(stored(seeds, "jaccard-seeds"))
-    seeds = seeds.join(nodes.select("node", "n", F.col("n").alias("high"), "bitmap"), "node")
+    alone = nodes.select("node", "n", F.col("n").alias("high"), F.lit(-1).cast("long").alias("extra"), "bitmap")
+    seeds = seeds.join(alone, "node")
     proposals = _blocks(seeds, block).mapInArrow(_propose(percent), "a long, b long")
     links = _compared(proposals, docs, nodes, k, percent)
 
@@ -695,18 +742,14 @@ def near_duplicates(
     sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
     joined = stored(roots.join(sizes, "root"), "jaccard-roots")
     members = nodes.select("node", "n", "bitmap").join(joined, "node", "left").select(
-        "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size"),
-        F.when(F.col("size").isNull(), F.col("bitmap")).alias("bitmap"),
+        "node", "n", "bitmap", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
     )
     members = stored(members, "jaccard-members")
-    whole = members.groupBy("root", "size").agg(
-        F.min("n").alias("n"), F.max("n").alias("high"), F.max("bitmap").alias("bitmap")
-    )
     changed = joined.where("node <> root").select("node", "root")
     kept = F.broadcast(changed) if fits_broadcast(changed) else changed
     rows = rows.join(kept, "node", "left").select("token", "cls", F.coalesce("root", "node").alias("node"))
     rows = _kept_buckets(rows.repartition("token", "cls").distinct())
-    rows = rows.join(whole.withColumnRenamed("root", "node"), "node")
+    rows = rows.join(_summaries(members, classes), ["node", "cls"])
     asks = _blocks(rows, block).mapInArrow(_ask(percent), "asker long, root long").distinct()
     own = members.select("node", F.col("root").alias("asker"))
     asks = asks.join(own, "asker").select("node", "root")
