@@ -74,6 +74,9 @@ def near_copies(seed, groups=6, each=45, size=40):
 @pytest.mark.parametrize("block", [16, 2048])
 def test_jaccard_loses_no_link(spark, block, monkeypatch):
     monkeypatch.setattr(jaccard, "COMPARED", 8)
+    if block == 16:  # every shared shingle counts as frequent
+        monkeypatch.setattr(jaccard, "SPARSE", 1)
+        monkeypatch.setattr(jaccard, "FREQUENT", 2)
     rows = near_copies(block)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = jaccard.near_duplicates(df, block=block).collect()

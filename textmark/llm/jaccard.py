@@ -5,7 +5,10 @@ A document is the set of its distinct 5-word shingles.  Two documents link when
 
 1. Sets are hashed from whole texts; equal sets become one node.
 2. Two sets that link share one of their first ``n - ceil(n * percent / 100) + 1``
-   shingles in hash order.  Each shingle that several nodes have there is a bucket;
+   shingles, in any one order of all shingles.  The order is that of their hashes, but
+   shingles that are frequent in one of ``SPARSE`` documents come last: a passage that
+   very many documents share then makes no bucket of theirs.  The order decides only how
+   much is compared, never what links.  Each shingle that several nodes have there is a bucket;
    buckets with the same nodes are searched once.  Nodes are also split by set size, so
    that only sizes that can link meet.
 3. Each bucket is a signature tree: leaves hold the bitmap, size and bit collisions of a
@@ -42,6 +45,10 @@ from textmark.operators.lookup import fits_broadcast
 SHINGLE = 5
 PERCENT = 75
 SEEDS = 4
+#: One document in so many is asked which shingles are frequent, and how many may be listed.
+SPARSE = 32
+FREQUENT = 4
+LISTED = 20_000
 BLOCK = 2048
 LEAF = 16
 FANOUT = 8
@@ -94,7 +101,32 @@ def node_ids(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 _SETS = "key long, n long, node long, bitmap binary, tokens array<long>"
 
 
-def _sets(k: int, percent: int):
+def _frequent(docs: DataFrame, k: int) -> np.ndarray:
+    """Sorted shingles that several of the asked documents hold; a bounded list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.zeros(0, np.uint64)]
+            for _, _, data, offsets in W.chunks(batch.column("text")):
+                held.append(shingle_sets(W.words_of(data, offsets, W.NOT_SPACE), k)[0])
+            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], names=["token", "n"])
+
+    asked = docs.where(F.pmod(F.xxhash64("text"), F.lit(SPARSE)) == 0).select("text").distinct()
+    counts = asked.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(LISTED).toArrow()
+    return np.sort(counts["token"].to_numpy().view(np.uint64))
+
+
+def _last(hashes: np.ndarray, n: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Shingles of each text in order, frequent ones behind the others."""
+    if len(frequent) == 0 or len(hashes) == 0:
+        return hashes
+    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+    return hashes[np.lexsort((frequent[at] == hashes, np.repeat(np.arange(len(n)), n)))]
+
+
+def _sets(k: int, percent: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in one split need their shingles once
         for batch in batches:
@@ -115,6 +147,7 @@ def _sets(k: int, percent: int):
                     map_ = np.zeros(bits, bool)
                     map_[(hashes[first[i] : first[i] + n[i]] >> np.uint64(17)) & np.uint64(bits - 1)] = True
                     bitmaps.append(np.packbits(map_).tobytes())
+                hashes = _last(hashes, n, shared.value)
                 prefix = np.where(new, n - (n * percent + 99) // 100 + 1, 0)
                 text = np.repeat(np.arange(len(n)), n)
                 chosen = np.arange(len(hashes)) - first[text] < prefix[text]
@@ -718,7 +751,8 @@ def near_duplicates(
     if percent < 50:
         raise ValueError("sizes that link must lie in neighbouring classes: percent from 50 on")
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    sets = stored(docs.mapInArrow(_sets(k, percent), _SETS), "jaccard-sets")
+    frequent = df.sparkSession.sparkContext.broadcast(_frequent(docs, k))
+    sets = stored(docs.mapInArrow(_sets(k, percent, frequent), _SETS), "jaccard-sets")
     nodes = sets.where("n > 0 and key is not null").groupBy("node").agg(
         F.min("key").alias("key"), F.min("n").alias("n"), F.max("bitmap").alias("bitmap")
     )
