@@ -49,6 +49,9 @@ SEEDS = 4
 SPARSE = 32
 FREQUENT = 4
 LISTED = 20_000
+#: Tasks over which the buckets of one group are dealt, and pairs a task remembers.
+LANES = 8
+REMEMBERED = 500_000
 BLOCK = 2048
 LEAF = 16
 FANOUT = 8
@@ -513,6 +516,7 @@ def _propose(percent: int):
 
 def _ask(percent: int):
     """Pairs of components ``(asker, root)`` that may hold a link; the smaller one asks."""
+    said: set[tuple[int, int]] = set()
 
     def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         u = _Units(rows)
@@ -538,9 +542,13 @@ def _ask(percent: int):
                 one, other, la, ra, same = trees
                 for a, b in walk(one, other, same, percent, lambda a, b, x=label, la=la, ra=ra: x[la[a]] != x[ra[b]]):
                     found.append(asked(la[a] + first, ra[b] + first))
-        asker, root = np.unique(np.concatenate(found, axis=1), axis=1)
-        if len(asker):
-            yield pa.RecordBatch.from_arrays([pa.array(asker), pa.array(root)], names=["asker", "root"])
+        pairs = set(zip(*np.concatenate(found, axis=1).tolist(), strict=True)) - said
+        if len(said) + len(pairs) > REMEMBERED:
+            said.clear()  # a pair may then be said again, which is harmless
+        said.update(pairs)
+        if pairs:
+            asker, root = zip(*sorted(pairs), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(asker, pa.int64()), pa.array(root, pa.int64())], names=["asker", "root"])
 
     return _by_unit(_UNIT, flush)
 
@@ -604,7 +612,10 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
     rows = rows.withColumn("left", F.col("mine") <= F.col("other"))
     rows = rows.withColumn("right", F.col("mine") >= F.col("other"))
     rows = rows.drop("members", "parts", "mine", "other")
-    return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "n", "node")
+    # Buckets of one group hold the same nodes: they go to a few tasks, each of which says
+    # once what it finds in many of them.
+    lane = F.pmod(F.xxhash64("token"), F.lit(LANES))
+    return rows.repartition("least", "cls", lane, "i", "j").drop("least").sortWithinPartitions(*_UNIT, "n", "node")
 
 
 #: Nodes of a component that are compared at once with as many that ask for it.
@@ -714,10 +725,11 @@ def _kept_buckets(rows: DataFrame) -> DataFrame:
     ``rows`` is dealt by bucket and holds a node of a bucket once.
     """
     buckets = rows.groupBy("token", "cls").agg(
-        F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("which")
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("which"), F.min("node").alias("least")
     )
-    buckets = buckets.where("members > 1").groupBy("cls", "members", "which").agg(F.min("token").alias("token"))
-    return rows.join(buckets.select("token", "cls", "members"), ["token", "cls"])
+    same = ["cls", "members", "which", "least"]
+    buckets = buckets.where("members > 1").groupBy(*same).agg(F.min("token").alias("token"))
+    return rows.join(buckets.select("token", "cls", "members", "least"), ["token", "cls"])
 
 
 def _met(asks: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
