@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality, secret_scan, warc
+from textmark.llm.frames import stored
 from textmark.llm.labelled import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,10 +177,11 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    found = secret_scan.described(secret_scan.findings(docs.where(fold("doc_id", 4) != 2)))
-    forest = secret_scan.train(found.withColumn("label", secret_scan.weak_label()))
-    return secret_scan.scan(docs, forest).select(
+    found = secret_scan.described(secret_scan.findings(table(spark, folder, "documents")))
+    found = stored(found, "secrets-findings")  # texts are read once, for training and scoring
+    labelled = found.where(fold("key", 4) != 2).withColumn("label", secret_scan.weak_label())
+    scored = secret_scan.scored(found, secret_scan.train(labelled), "doc_id")
+    return scored.select(
         "doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"),
         "probability", "is_secret",
     )

@@ -184,9 +184,13 @@ def train(labelled: DataFrame, per_label: int = PER_LABEL, trees: int = TREES, d
     return Forest(forest.fit(_features(rows.orderBy("key")).select("label", "features")))
 
 
-def scan(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """Every finding with its probability: ``key, start, candidate, probability, is_secret``."""
-    rows = forest.probability(described(findings(docs, key, text, path)))
-    return rows.select(
+def scored(found: DataFrame, forest: Forest, key: str = "doc_id") -> DataFrame:
+    """Described findings as ``key, start, candidate, probability, is_secret``."""
+    return forest.probability(found).select(
         F.col("key").alias(key), "start", "candidate", "probability", (F.col("probability") >= KEPT).alias("is_secret")
     )
+
+
+def scan(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+    """Every finding of ``docs`` with its probability, as ``scored``."""
+    return scored(described(findings(docs, key, text, path)), forest, key)
