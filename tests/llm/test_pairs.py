@@ -83,6 +83,17 @@ def test_jaccard_loses_no_link(spark, block, monkeypatch):
     assert sorted((tuple(x) for x in found), key=repr) == brute_jaccard(rows)
 
 
+def test_jaccard_null_key_before_its_copies(spark):
+    """The first copies of a text in the only split have no key; those behind them still link."""
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base[:i], f"n{i}", *base[i + 1 :]]) for i in (0, 59)]
+    rows = [(None, " ".join(base)), (None, near[0]), (5, " ".join(base)), (9, near[0]), (7, " ".join(base)), (None, near[1]), (11, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = sorted((tuple(x) for x in jaccard.near_duplicates(df).collect()), key=repr)
+    assert found == brute_jaccard(rows)
+    assert {x[0]: x[2] for x in found if x[0] is not None} == {5: 5, 7: 5, 9: 5, 11: 11}
+
+
 def test_jaccard_edges(spark, edges, nothing):
     from conftest import TEXTS
 

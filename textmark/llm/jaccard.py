@@ -133,6 +133,7 @@ def _sets(k: int, percent: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in one split need their shingles once
         for batch in batches:
+            keyed = batch.column("key").is_valid().to_numpy(zero_copy_only=False)
             for start, stop, data, offsets in W.chunks(batch.column("text")):
                 words = W.words_of(data, offsets, W.NOT_SPACE)
                 hashes, n = shingle_sets(words, k)
@@ -141,7 +142,8 @@ def _sets(k: int, percent: int, shared):
                 bitmaps: list[bytes | None] = []
                 new = np.zeros(len(n), bool)
                 for i, node in enumerate(nodes.tolist()):
-                    if n[i] == 0 or node in seen:
+                    # A row without a key links nothing and must not stand for copies that do.
+                    if n[i] == 0 or node in seen or not keyed[start + i]:
                         bitmaps.append(None)
                         continue
                     seen.add(node)
