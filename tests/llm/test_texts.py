@@ -338,6 +338,23 @@ def test_secret_findings_forest_and_edges(spark, nothing):
     assert "Python" not in secret_scan.scan(docs, forest)._jdf.queryExecution().toString()
 
 
+def test_secret_findings_of_prefixed_and_quoted_cues(spark, nothing):
+    forms = {
+        "DB_PASSWORD=hunter2x!": "hunter2x!", "client_secret: s3cr3t-v4lue": "s3cr3t-v4lue", "my_api_key=abc12345!x@y": "abc12345!x@y",
+        '{"password": "hunter22"}': "hunter22", "{'auth-token':'tok-12345'}": "tok-12345", "export A_LONG_SERVICE_NAME_PASSWORD=hunter2x!": "hunter2x!",
+        '"a_long_service_name_password": "hunter22"': "hunter22", "token=0123456789abcdef0123456789abcdef": "0123456789abcdef0123456789abcdef",
+        "x " * 10 + "MY-SECRET = 'p4ssw0rd,'": "p4ssw0rd,", "AB12" * 20_000 + " pwd=s3cr3t-v4lue": "s3cr3t-v4lue",
+    }
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(forms)], "doc_id long, text string, source string")
+    found = secret_scan.described(secret_scan.findings(docs)).withColumn("label", secret_scan.weak_label()).collect()
+    for i, (text, value) in enumerate(forms.items()):
+        hits = [x for x in found if x["key"] == i and x["candidate"] == value]
+        assert len(hits) == 1, text
+        assert text[hits[0]["start"] :].startswith(value)
+        assert hits[0]["cue"] == hits[0]["assigned"] == hits[0]["label"] == 1, text
+    assert max(len(x["candidate"]) for x in found) == 80_000
+
+
 # Language and quality
 
 

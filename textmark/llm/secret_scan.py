@@ -54,11 +54,14 @@ WORDS = (
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "xoxb-", "xoxp-", "sk_live_", "rk_live_", "glpat-", "AIza", "eyJ")
 
 _KEY = "A-Za-z0-9_+/=-"
-_RUN = rf"(?<![{_KEY}])[{_KEY}]{{{LEAST},}}+"
 _CUE = "|".join(CUES)
-_ASSIGNED = rf"(?i:(?<=\b(?:{_CUE})[ ]{{0,2}}[=:][ ]{{0,2}}[\"']?))[^\s\"'<>]{{8,}}+"
+_SIGN = "[\"']?[ ]{0,2}[=:][ ]{0,2}"
+#: A cue may end a longer name (``DB_PASSWORD``, ``client_secret``) and be quoted, as in JSON.
+_ASSIGNED = rf"(?i:(?<=(?:{_CUE}){_SIGN}[\"']?))[^\s\"'<>]{{8,}}+"
+#: ``=``, ``_`` and ``-`` are key characters: a run stops where an assigned value starts.
+_RUN = rf"(?<![{_KEY}])(?=[{_KEY}]{{{LEAST}}})(?:(?!{_ASSIGNED})[{_KEY}]){{{LEAST},}}+"
 CANDIDATE = f"{_ASSIGNED}|{_RUN}"
-_MIGHT = rf"[{_KEY}]{{{LEAST}}}|(?i:{_CUE})[ ]{{0,2}}[=:]"
+_MIGHT = rf"[{_KEY}]{{{LEAST}}}|(?i:{_CUE}){_SIGN}"
 
 NUMBERS = (
     "length", "digits", "upper", "lower", "other", "runs", "letter_digit", "digit_letter", "case_changes", "distinct",
@@ -79,11 +82,13 @@ def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
         F.split("text", CANDIDATE, -1).alias("between"),
     )
     place = F.posexplode("found").alias("place", "candidate")
-    rows = rows.select("key", "path", "row", "between", place)
+    # A long name is a run itself: what precedes its value is the name, not only the sign.
+    rows = rows.select("key", "path", "row", "between", "found", place)
+    earlier = F.when(F.col("place") > 0, F.get("found", F.col("place") - 1)).otherwise("")
     rows = rows.select(
         "key", "path", "row", "place", "candidate",
         F.length(F.get("between", F.col("place"))).alias("gap"),
-        F.substring(F.get("between", F.col("place")), -CONTEXT, CONTEXT).alias("before"),
+        F.substring(F.concat(earlier, F.get("between", F.col("place"))), -CONTEXT, CONTEXT).alias("before"),
         F.substring(F.get("between", F.col("place") + 1), 1, CONTEXT).alias("after"),
     )
     so_far = Window.partitionBy("row").orderBy("place")
