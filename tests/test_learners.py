@@ -188,6 +188,29 @@ def test_hashed_tfidf_scorer(reviews):
         fit_scorer(reviews, SPECS[:1], extractor="pixels")
 
 
+@pytest.mark.parametrize("name", ["mlp_text", "tree_text", "ovr_text"])
+def test_text_learners_see_rare_terms(spark, folder, name):
+    """What tells the marks apart stands behind more than 1000 frequent terms."""
+    from textmark.queries.registry import queries
+
+    common = " ".join(a + b + c for a in "bcdfghjklm" for b in "aeiouxyzvw" for c in "bcdfghjklmnp")
+    rows = []
+    for key in range(80):
+        lang = ("de", "en")[key % 2]
+        rows.append((key, lang, f"{common} {common} {('qdequ', 'qenqu')[key % 2]}"))
+    documents = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    documents.write.parquet(f"{folder}/documents.parquet")
+    tested = rows_of(queries()[name](spark, str(folder)))
+    assert len(tested) > 15 and all(label == prediction for _, label, prediction in tested)
+
+
+def test_terms_beyond_the_width_are_counted(spark, caplog):
+    words = spark.createDataFrame([(0, ["a", "a", "b", "c"])], "doc_id long, words array<string>")
+    with caplog.at_level("WARNING"):
+        assert V.vocabulary(words, 2).count() == 2
+    assert "1 of 3 terms are beyond" in caplog.text
+
+
 def test_fit_scope(reviews):
     spec = LearnerSpec("naive_bayes", "nb")
     only = reviews.unionByName(reviews.limit(1).selectExpr("doc_id + 5000 as doc_id", "9.0D as rating", "'unique' as text"))

@@ -6,6 +6,7 @@ text becomes a vector without a shuffle, and a vector becomes rows without one.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,6 +28,8 @@ from textmark.operators.tokens import words_only
 from textmark.runtime import cut_lineage, written
 from textmark.settings import HASH_BUCKETS, TOP_K_ROWS, TREE_MAX_CATEGORIES, VOCABULARY_SIZE
 
+log = logging.getLogger(__name__)
+
 
 def term_counts(df: DataFrame, words: str = "words") -> DataFrame:
     """Corpus count of every term; hot terms combine before the shuffle."""
@@ -82,12 +85,16 @@ def vocabulary(df: DataFrame, size: int | None = None, words: str = "words") ->
 
     The order is total, so the same corpus always gives the same indices.  The
     table is computed here, once, and read back from the shared folder.  With a size,
-    terms rarer than any wanted one are dropped by count before the sort.
+    terms rarer than any wanted one are dropped by count before the sort, and the number
+    of terms beyond the size is logged.
     """
     counts = term_counts(df, words)
     order = [F.desc("n"), F.asc("term")]
     if size is not None:
         counts = written(counts, "term-counts")
+        terms = counts.count()
+        if terms > size:
+            log.warning("%d of %d terms are beyond the vocabulary size %d", terms - size, terms, size)
         counts = counts.where(F.col("n") >= least_count(counts, size))
     if size is None:
         return row_index(counts, order, "_row").select(F.col("_row").cast("int").alias("index"), "term", "n")
@@ -172,6 +179,13 @@ def fit_counts(
     return PipelineModel([vectoriser(listed, words, features)])
 
 
+def fit_hashed_counts(
+    df: DataFrame, size: int = HASH_BUCKETS, words: str = "words", features: str = "features"
+) -> PipelineModel:
+    """Extractor of hashed counts: every term has a place, however few places there are."""
+    return PipelineModel([hashed_counts(words, features, size)])
+
+
 def fit_hashed_tfidf(
     df: DataFrame, size: int = HASH_BUCKETS, words: str = "words", features: str = "features"
 ) -> PipelineModel:
@@ -181,7 +195,11 @@ def fit_hashed_tfidf(
     return Pipeline(stages=[hashed_counts(words, raw, size), idf]).fit(df.select(words))
 
 
-EXTRACTORS = {"counts": fit_counts, "hashed_tfidf": fit_hashed_tfidf}
+EXTRACTORS = {
+    "counts": fit_counts,
+    "hashed_counts": fit_hashed_counts,
+    "hashed_tfidf": fit_hashed_tfidf,
+}
 
 
 def fit_extractor(kind: str, df: DataFrame, size: int) -> PipelineModel:

@@ -112,7 +112,8 @@ def fit_scorer(
 ) -> Scorer:
     """Clean, prepare, fit the extractor and train every member.
 
-    ``extractor`` is ``"counts"`` (bag of words) or ``"hashed_tfidf"``.
+    ``extractor`` is ``"counts"`` (bag of words), ``"hashed_counts"`` or ``"hashed_tfidf"``.
+    Hashed vectors cover every term in any ``vocabulary_size``; counts drop those beyond it.
     The vectors are kept once for all members; before they are released every
     member's test rows are scored from them and written, so figures about members
     read narrow rows, never the texts again.

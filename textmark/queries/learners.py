@@ -3,6 +3,7 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from textmark import settings
 from textmark.plans.learners import LearnerSpec, train
 from textmark.plans.scoring import fit_scorer
 from textmark.queries import sql as S
@@ -126,11 +127,29 @@ def tree_marks(spark, folder):
     return train(vectors, LearnerSpec("tree", "tree"), "vec_id").tested
 
 
+# Text learners read every term: hashed counts, in a width that suits the learner.
+_DENSE = {"extractor": "hashed_counts", "vocabulary_size": settings.DENSE_BUCKETS}
+
+
 @query("mlp_text")
 def mlp_text(spark, folder):
-    """A perceptron on bag-of-words vectors of the 1000 most frequent terms."""
+    """A perceptron on hashed counts of all terms."""
+    reviews = tables.language_rated(spark, folder)
+    return _tested(reviews, LearnerSpec("perceptron", "mlp"), **_DENSE)
+
+
+@query("tree_text")
+def tree_text(spark, folder):
+    """A tree on hashed counts of all terms."""
+    reviews = tables.language_rated(spark, folder)
+    return _tested(reviews, LearnerSpec("tree", "tree"), **_DENSE)
+
+
+@query("ovr_text")
+def ovr_text(spark, folder):
+    """One-vs-rest on hashed counts of all terms; its vectors stay sparse."""
     reviews = tables.language_rated(spark, folder)
-    return _tested(reviews, LearnerSpec("perceptron", "mlp"), vocabulary_size=1000)
+    return _tested(reviews, LearnerSpec("one_vs_rest", "ovr"), extractor="hashed_counts")
 
 
 # What SQL can check of the learners it cannot repeat: which rows are tested, their

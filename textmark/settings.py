@@ -25,6 +25,8 @@ SHUFFLE_SEED = 1234
 # Width of count and hashed vectors (Spark's own defaults).
 VOCABULARY_SIZE = 1 << 18
 HASH_BUCKETS = 1 << 18
+# Width of hashed vectors for learners that hold dense values per place.
+DENSE_BUCKETS = 1 << 12
 
 # Size bounds.  Anything that may be larger takes a distributed path instead.
 BROADCAST_ROWS = 300_000
