@@ -436,6 +436,17 @@ def test_quality_learns_and_edges(spark, edges, nothing):
     assert quality.fit(docs, labels.where("quality = 1")).constant == 1.0
 
 
+def test_quality_trains_on_every_passage(spark, monkeypatch):
+    """No passage of a sampled text is left out, however long the text."""
+    texts = {1: "plain words here. " * 2000, 2: "a", 3: "x " * 30_000 + "!!!! $$$$ " * 40 + "x " * 9_000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda bags, labels: seen.update(bags=[len(x) for x in bags]))
+    quality.fit(docs, labels)
+    assert seen["bags"] == [-(-len(t) // quality.PASSAGE) for t in texts.values()]
+
+
 def test_samples_are_bounded_and_repeat(spark):
     rows = spark.range(20_000).select(F.col("id").alias("k"), F.expr("case when id % 10 = 0 then null when id % 3 = 0 then 'a' else 'b' end").alias("l"))
     rows = rows.union(rows).union(spark.sql("select null, 'a'"))

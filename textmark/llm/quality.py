@@ -6,8 +6,8 @@ encodes every passage, gated attention weighs the passages of a text, and the we
 mean is scored.  Only texts carry labels; the attention learns which passages matter.
 
 The network is trained in numpy on a bounded, documented number of labelled texts
-(``per_label`` of each label, ``train_passages`` evenly spaced passages of each).  Scoring
-reads every passage of every text.
+(``per_label`` of each label), on every passage of each.  Scoring reads every passage of
+every text.
 
 Defined results: null, empty and blank texts are one passage without bytes and get that
 passage's score; without any training label the score is 0.5; with one label only, that
@@ -30,7 +30,6 @@ from textmark.llm.labelled import sampled
 
 PASSAGE = 512
 PER_LABEL = 4000
-TRAIN_PASSAGES = 24
 ENCODED = 24
 GATED = 12
 EPOCHS = 12
@@ -177,16 +176,13 @@ def train(
     return model
 
 
-def _encoder(most: int):
+def _encoder():
     @F.arrow_udf(T.BinaryType())
     def encode(texts: pa.Array) -> pa.Array:
         out = []
         for _, _, data, offsets in W.chunks(texts):
             table, counts = passages(data, offsets)
-            for rows in np.split(table, np.cumsum(counts)[:-1]):
-                if len(rows) > most:
-                    rows = rows[np.linspace(0, len(rows) - 1, most).astype(np.int64)]
-                out.append(rows.astype(np.float16).tobytes())
+            out += [rows.astype(np.float16).tobytes() for rows in np.split(table, np.cumsum(counts)[:-1])]
         return pa.array(out, pa.binary())
 
     return encode
@@ -194,13 +190,13 @@ def _encoder(most: int):
 
 def fit(
     texts: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    per_label: int = PER_LABEL, train_passages: int = TRAIN_PASSAGES,
+    per_label: int = PER_LABEL,
 ) -> Model:
     """Train on at most ``per_label`` texts of each label (0 or 1)."""
     labels = labels.where(F.col(label).isin(0, 1))
     rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = narrowed(rows, sampled(labels, key, label, per_label), ["key"])
-    rows = rows.select("key", "label", _encoder(train_passages)("text").alias("bag")).toArrow()
+    rows = rows.select("key", "label", _encoder()("text").alias("bag")).toArrow()
     rows = rows.sort_by([("key", "ascending"), ("bag", "ascending")])
     bags = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, FEATURES).astype(np.float32) for x in rows["bag"]]
     return train(bags, rows["label"].to_numpy().astype(np.int64))
