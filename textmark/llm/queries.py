@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality, secret_scan, warc
+from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality, secret_scan, spiece, warc
 from textmark.llm.frames import stored
 from textmark.llm.labelled import fold
 
@@ -216,6 +216,20 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = spiece.encoded(table(spark, folder, "documents"), path).select(
+        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.concat("begins", "ends"), 256).alias("spans_sha256"),
+    )
+    rows = spiece.decoded(rows, path, ["doc_id", "n_tokens", "ids_sha256", "spans_sha256"])
+    return rows.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"), "spans_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_lattice_near_duplicates": op1_lattice_near_duplicates,
     "op2_packing": op2_packing,
@@ -227,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 SQL: dict[str, str] = {
