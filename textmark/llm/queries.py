@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, language, lattice, lm, packing, pii, quality, secret_scan, spiece, warc
+from textmark.llm import decontaminate, jaccard, language, lattice, lm, negatives, packing, pii, quality, secret_scan, spiece, warc
 from textmark.llm.frames import stored
 from textmark.llm.labelled import fold
 
@@ -216,6 +216,39 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, folder, "embeddings"), label, F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.r AS r, b.vec_id AS vec_id,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r) AS INT) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
 def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -241,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -249,4 +283,5 @@ SQL: dict[str, str] = {
     "op3_jaccard_join": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op6_decontamination": OP6_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
