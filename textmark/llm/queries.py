@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmark.llm import decontaminate, jaccard, language, lattice, lm, negatives, packing, pii, quality, secret_scan, spiece, warc
+from textmark.llm import decontaminate, jaccard, language, lattice, lm, negatives, packing, pii, prefix_trie, quality, secret_scan, spiece, warc
 from textmark.llm.frames import stored
 from textmark.llm.labelled import fold
 
@@ -216,6 +216,64 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    base = F.col("conv") - F.col("conv") % 100
+    taken = F.crc32(F.col("conv").cast("string")) % 6
+    turns = prefix_trie.turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, base, taken))
+
+
+# DuckDB has no crc32: one bit at a time over the digits.
+_CRC32 = """list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+  lambda crc, d: list_reduce(list_prepend(xor(crc, d), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+OP11_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(coalesce(role, ''), 32),
+           left(coalesce(text, ''), 32), md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor({_CRC32}, 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, t.pos, 0 AS own, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos, 1, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+),
+listed AS (
+  SELECT c.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY own, pos) FILTER (WHERE pos IS NOT NULL), []) AS x
+  FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id
+),
+keyed AS (
+  SELECT conv_id, x, list_transform(range(0, len(x) + 1),
+    lambda d: sha256(CAST(d AS VARCHAR) || CAST(list_transform(list_slice(x, 1, d), lambda t: md5(len(t.role) || ':' || t.role || t.text)) AS VARCHAR))) AS keys
+  FROM listed
+),
+members AS (SELECT conv_id, x, keys, unnest(range(0, len(x) + 1)) AS depth FROM keyed),
+nodes AS (
+  SELECT keys[depth + 1] AS key, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(x) = depth) AS ends
+  FROM members GROUP BY 1, 2
+),
+placed AS (
+  SELECT n.*, k.keys, CASE WHEN n.depth > 0 THEN k.keys[n.depth] END AS parent,
+         CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * len(k.x[n.depth].text) ELSE 0 END AS own
+  FROM nodes n JOIN keyed k USING (conv_id)
+),
+children AS (SELECT parent AS key, count(*) AS n_children FROM placed WHERE parent IS NOT NULL GROUP BY 1),
+full_ AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM placed p LEFT JOIN children USING (key)),
+below AS (
+  SELECT key, sum(leaf) AS n_leaves, sum(own) AS saved_tokens
+  FROM (SELECT unnest(list_slice(keys, 1, depth + 1)) AS key, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, own FROM full_)
+  GROUP BY 1
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+       CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM full_ f JOIN below b USING (key) LEFT JOIN full_ up ON up.key = f.parent
+"""
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mined(table(spark, folder, "embeddings"), label, F.col("vec_id") % 50 == 0)
@@ -274,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -283,5 +342,6 @@ SQL: dict[str, str] = {
     "op3_jaccard_join": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op6_decontamination": OP6_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
 }
