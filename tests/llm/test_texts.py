@@ -447,6 +447,40 @@ def test_quality_trains_on_every_passage(spark, monkeypatch):
     assert seen["bags"] == [-(-len(t) // quality.PASSAGE) for t in texts.values()]
 
 
+def test_quality_samples_are_bound_by_passages(spark, monkeypatch):
+    texts = [(i, "word " * (2000 if i == 0 else 150 * (1 + i % 3))) for i in range(40)] + [(3, "again " * 300), (None, "x")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags, labels: seen.append((sum(map(len, bags)), labels.tolist())))
+    for most in (30, 30, 10_000):
+        quality.fit(docs, labels, most=most)
+    assert seen[0] == seen[1] and 20 <= seen[0][0] <= 30 and set(seen[0][1]) == {0, 1}
+    assert len(seen[2][1]) == 41  # both rows of a repeated key
+
+
+def test_quality_scores_beside_plain_loops():
+    """Attention and score of every text, one passage and one unit at a time."""
+    rng = np.random.default_rng(9)
+    bags = [rng.random((n, quality.FEATURES)).astype(np.float32) for n in (1, 4, 2)]
+    model = quality.train(bags, np.array([0, 1, 1]), epochs=3)
+    w = {k: v.tolist() for k, v in model.w.items()}
+    product = lambda row, matrix, j: math.fsum(x * r[j] for x, r in zip(row, matrix, strict=True))
+    for bag, score in zip(bags, model.score(np.concatenate(bags), np.array([1, 4, 2])), strict=True):
+        hidden, energy = [], []
+        for row in bag.tolist():
+            h = [math.tanh(product(row, w["enc"], j) + w["enc_b"][j]) for j in range(quality.ENCODED)]
+            gated = [
+                math.tanh(product(h, w["att"], j)) / (1 + math.exp(-product(h, w["gate"], j))) * w["pick"][j]
+                for j in range(quality.GATED)
+            ]
+            hidden.append(h)
+            energy.append(math.exp(sum(gated)))
+        z = [sum(e * h[j] for e, h in zip(energy, hidden, strict=True)) / sum(energy) for j in range(quality.ENCODED)]
+        plain = 1 / (1 + math.exp(-sum(a * b for a, b in zip(z, w["out"], strict=True)) - w["out_b"][0]))
+        assert score == pytest.approx(plain, abs=1e-5)
+
+
 def test_samples_are_bounded_and_repeat(spark):
     rows = spark.range(20_000).select(F.col("id").alias("k"), F.expr("case when id % 10 = 0 then null when id % 3 = 0 then 'a' else 'b' end").alias("l"))
     rows = rows.union(rows).union(spark.sql("select null, 'a'"))

@@ -6,7 +6,8 @@ encodes every passage, gated attention weighs the passages of a text, and the we
 mean is scored.  Only texts carry labels; the attention learns which passages matter.
 
 The network is trained in numpy on a bounded, documented number of labelled texts
-(``per_label`` of each label), on every passage of each.  Scoring reads every passage of
+(``per_label`` of each label, and ``most`` passages of all together), on every passage of
+each, in at least ``UPDATES`` steps however few they are.  Scoring reads every passage of
 every text.
 
 Defined results: null, empty and blank texts are one passage without bytes and get that
@@ -25,14 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmark.llm import words as W
-from textmark.llm.frames import narrowed
+from textmark.llm.frames import narrowed, stored
 from textmark.llm.labelled import sampled
 
 PASSAGE = 512
 PER_LABEL = 4000
 ENCODED = 24
 GATED = 12
+#: Passages of all sampled texts together; the driver holds 522 bytes of each.
+MOST_PASSAGES = 1 << 17
 EPOCHS = 12
+UPDATES = 600
 ACCEPTED = 0.7
 
 _CLASSES = 16
@@ -78,18 +82,18 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     size = np.bincount(of, minlength=total).astype(np.float32) if n else np.zeros(total, np.float32)
     np.sqrt(table[:, :square] / np.maximum(size, 1)[:, None], out=table[:, :square])
     words = W.words_of(data, offsets, W.NOT_SPACE)
-    if len(words.hashes):
-        at = of[words.starts]
-        count = np.bincount(at, minlength=total)
+    at = of[words.starts]
+    count = np.bincount(at, minlength=total)
+    some = np.maximum(count, 1)
+    table[:, square + 2] = np.minimum(np.maximum(size, 1) / some / 16, 4)
+    if len(at):
         again = np.zeros(len(at))
         again[1:] = (words.hashes[1:] == words.hashes[:-1]) & (at[1:] == at[:-1])
         pairs = np.lexsort((words.hashes, at))
         new = np.ones(len(at), bool)
         new[1:] = (words.hashes[pairs][1:] != words.hashes[pairs][:-1]) | (at[pairs][1:] != at[pairs][:-1])
-        some = np.maximum(count, 1)
         table[:, square] = np.bincount(at, weights=again, minlength=total) / some
         table[:, square + 1] = np.bincount(at[pairs][new], minlength=total) / some
-        table[:, square + 2] = np.minimum(np.maximum(size, 1) / some / 16, 4)
     table[:, square + 3] = size / PASSAGE
     table[:, square + 4] = np.repeat(np.log1p(lengths) / 12, counts)
     return table, counts
@@ -144,10 +148,13 @@ class Model:
 
 
 def train(
-    bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 4e-3,
+    bags: list[np.ndarray], labels: np.ndarray, epochs: int | None = None, batch: int = 128, rate: float = 4e-3,
     decay: float = 1e-5, seed: int = 7,
 ) -> Model:
-    """Adam on the log loss of the texts' labels; the same bags give the same model."""
+    """Adam on the log loss of the texts' labels; the same bags give the same model.
+
+    Few texts are gone through more often, so that they make ``UPDATES`` steps too.
+    """
     if len(bags) == 0:
         return Model({}, 0.5)
     if labels.min() == labels.max():
@@ -159,12 +166,14 @@ def train(
     }
     w = {k: (rng.standard_normal(s) * (1 / np.sqrt(s[0])) * (k[-2:] != "_b")).astype(np.float32) for k, s in shape.items()}
     model, m, s, t = Model(w), {k: 0.0 for k in w}, {k: 0.0 for k in w}, 0
-    steps = epochs * -(-len(bags) // batch)
+    each = -(-len(bags) // batch)
+    epochs = max(EPOCHS, -(-UPDATES // each)) if epochs is None else epochs
+    steps = epochs * each
     for _ in range(epochs):
         order = rng.permutation(len(bags))
         for i in range(0, len(order), batch):
             chosen = order[i : i + batch]
-            x = np.concatenate([bags[j] for j in chosen])
+            x = np.concatenate([bags[j] for j in chosen]).astype(np.float32)
             g = model.gradient(x, np.array([len(bags[j]) for j in chosen]), labels[chosen].astype(np.float32))
             t += 1
             now = rate * (1 - t / (steps + 1))
@@ -188,17 +197,36 @@ def _encoder():
     return encode
 
 
+def fitting(sizes: pa.Table, most: int) -> list[int]:
+    """Rows, in the order of ``nth`` within each label, whose passages are at most ``most``.
+
+    Labels share that evenly; a text that would go beyond is passed over for later ones.
+    """
+    rows, kept = sizes.to_pylist(), []
+    for label in sorted({x["label"] for x in rows}):
+        left = most // 2
+        for x in sorted((x for x in rows if x["label"] == label), key=lambda x: (x["nth"], x["key"], x["passages"])):
+            if x["passages"] <= left:
+                left -= x["passages"]
+                kept.append(x["key"])
+    return kept
+
+
 def fit(
     texts: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    per_label: int = PER_LABEL,
+    per_label: int = PER_LABEL, most: int = MOST_PASSAGES,
 ) -> Model:
-    """Train on at most ``per_label`` texts of each label (0 or 1)."""
+    """Train on at most ``per_label`` texts of each label (0 or 1), ``most`` passages together."""
     labels = labels.where(F.col(label).isin(0, 1))
     rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = narrowed(rows, sampled(labels, key, label, per_label), ["key"])
-    rows = rows.select("key", "label", _encoder()("text").alias("bag")).toArrow()
+    rows = narrowed(rows, stored(sampled(labels, key, label, per_label), "quality-sample"), ["key"])
+    passages_ = F.greatest(F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / PASSAGE), F.lit(1))
+    sizes = rows.groupBy("key", "label").agg(F.sum(passages_).alias("passages"))
+    kept = fitting(sizes.select("key", "label", "passages", F.xxhash64(F.lit("bags"), "key").alias("nth")).toArrow(), most)
+    chosen = F.broadcast(texts.sparkSession.createDataFrame([(x,) for x in kept], "key long"))
+    rows = rows.join(chosen, "key").select("key", "label", _encoder()("text").alias("bag")).toArrow()
     rows = rows.sort_by([("key", "ascending"), ("bag", "ascending")])
-    bags = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, FEATURES).astype(np.float32) for x in rows["bag"]]
+    bags = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, FEATURES) for x in rows["bag"]]
     return train(bags, rows["label"].to_numpy().astype(np.int64))
 
 
