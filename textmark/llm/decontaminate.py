@@ -29,6 +29,8 @@ WINDOW = 13
 GRAM = 8
 #: Words of the benchmark that are sent to the tasks at once.
 BLOCK_WORDS = 1_000_000
+#: Bytes of text whose words are held while several blocks pass.
+HELD_BYTES = 16 << 20
 
 RESULT = "struct<n_words:long,n_hit:long,spans:array<struct<start:long,stop:long>>,items:array<string>>"
 _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
@@ -111,13 +113,29 @@ _EMPTY = pa.struct(
 )
 
 
-def mark(blocks: Callable[[], Iterator[Index]], texts: pa.Array) -> pa.Array:
-    """Results for a batch of texts; ``blocks`` gives the indexes one after another."""
-    runs = []
+def mark(blocks: Callable[[], Iterator[Index]], texts: pa.Array, together: int = 1) -> pa.Array:
+    """Results for a batch of texts; ``blocks`` gives the indexes one after another.
+
+    Words are held for about ``together`` bytes of text at a time, for which all blocks are
+    gone through once.
+    """
+    out, held, size = [], [], 0
     for start, stop, data, offsets in W.chunks(texts):
+        held.append((stop - start, data, offsets))
+        size += len(data)
+        if size >= together:
+            out += _marked(blocks, held)
+            held, size = [], 0
+    out += _marked(blocks, held)
+    return pa.concat_arrays(out) if out else pa.array([], _EMPTY)
+
+
+def _marked(blocks: Callable[[], Iterator[Index]], chunks: list[tuple]) -> list[pa.Array]:
+    runs = []
+    for rows, data, offsets in chunks:
         words = W.words_of(data, offsets, W.ALNUM)
-        runs.append((stop - start, words, np.zeros(len(words.hashes) + 1, np.int64), [set() for _ in range(start, stop)]))
-    for index in blocks():
+        runs.append((rows, words, np.zeros(len(words.hashes) + 1, np.int32), [set() for _ in range(rows)]))
+    for index in blocks() if runs else ():
         for _, words, change, items in runs:
             for length, at, which in index.hits(words):
                 np.add.at(change, at, 1)
@@ -126,7 +144,7 @@ def mark(blocks: Callable[[], Iterator[Index]], texts: pa.Array) -> pa.Array:
                 for text, window in set(zip(words.text[at].tolist(), which.tolist(), strict=True)):
                     found = owners[begins[window] : begins[window + 1]]
                     items[text].update(index.ids[i] for i in found if index.ids[i] is not None)
-    return pa.concat_arrays([_results(*run) for run in runs]) if runs else pa.array([], _EMPTY)
+    return [_results(*run) for run in runs]
 
 
 def _results(rows: int, words: W.Words, change: np.ndarray, items: list[set[str]]) -> pa.Array:
@@ -180,7 +198,7 @@ def contamination(
 
     @F.arrow_udf(RESULT)
     def result(texts: pa.Array) -> pa.Array:
-        return mark(one_by_one, texts)
+        return mark(one_by_one, texts, 1 if len(shared) == 1 else HELD_BYTES)
 
     return result
 
