@@ -20,8 +20,12 @@ A document is the set of its distinct 5-word shingles.  Two documents link when
    by shingle and make components, which hold most links.
 5. Then all buckets are searched, with one row per component in place of its nodes: itself
    a node of a signature tree, the OR of their bitmaps.  A component that may hold a link
-   with a larger one asks for it, and the nodes of both are compared by whole sets.  A group of m near copies so costs rows in proportion to m,
-   however many of its pairs link and however many shingles they share.
+   with a larger one asks for it, and the nodes of both are compared by whole sets.
+6. In buckets of more than ``OPEN`` components each asks only for the largest one that it may
+   link with, answers contract the components, and this is repeated while it joins many.
+   Only then are all remaining pairs asked.  A group of m near copies that hang together so
+   costs rows in proportion to m, however many of its pairs link and however many shingles
+   they share.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing;
 a text of one to four words is one shingle; a null key gets no component and links
@@ -49,6 +53,10 @@ SEEDS = 4
 SPARSE = 32
 FREQUENT = 4
 LISTED = 20_000
+#: Components of a bucket from which on each asks for one other at a time, and the share of
+#: them that a round may leave if another one is to follow.
+OPEN = 32
+STILL = 0.8
 #: Tasks over which the buckets of one group are dealt, and pairs a task remembers.
 LANES = 8
 REMEMBERED = 500_000
@@ -516,8 +524,11 @@ def _propose(percent: int):
     return _by_unit(_UNIT, flush)
 
 
-def _ask(percent: int):
-    """Pairs of components ``(asker, root)`` that may hold a link; the smaller one asks."""
+def _ask(percent: int, largest: bool = False):
+    """Pairs of components ``(asker, root)`` that may hold a link; the smaller one asks.
+
+    With ``largest`` every component asks in each unit for one other at most.
+    """
     said: set[tuple[int, int]] = set()
 
     def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -526,7 +537,11 @@ def _ask(percent: int):
 
         def asked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             down = (size[a] > size[b]) | ((size[a] == size[b]) & (u.node[a] > u.node[b]))
-            return np.unique(np.stack([u.node[np.where(down, b, a)], u.node[np.where(down, a, b)]]), axis=1)
+            asker, root = np.where(down, b, a), np.where(down, a, b)
+            pairs = np.unique(np.stack([u.node[asker], -size[root] if largest else 0 * root, u.node[root]]), axis=1)
+            if largest and pairs.shape[1]:
+                pairs = pairs[:, np.append(True, pairs[0, 1:] != pairs[0, :-1])]
+            return pairs[[0, 2]]
 
         found = [np.zeros((2, 0), np.int64)]
         for lo, leaves, of in u.classes():
@@ -542,8 +557,15 @@ def _ask(percent: int):
                 if trees is None:
                     continue
                 one, other, la, ra, same = trees
+                pairs = [np.zeros((2, 0), np.int64)]
                 for a, b in walk(one, other, same, percent, lambda a, b, x=label, la=la, ra=ra: x[la[a]] != x[ra[b]]):
-                    found.append(asked(la[a] + first, ra[b] + first))
+                    pairs.append(asked(la[a] + first, ra[b] + first))
+                if largest:  # of what the parts of the walk found
+                    place = {int(n): i for i, n in zip(range(u.start[g], u.end[g]), u.node[u.start[g] : u.end[g]], strict=True)}
+                    a, b = np.concatenate(pairs, axis=1)
+                    at = [np.array([place[x] for x in side.tolist()], np.int64) for side in (a, b)]
+                    pairs = [asked(*at)] if len(a) else pairs
+                found += pairs
         pairs = set(zip(*np.concatenate(found, axis=1).tolist(), strict=True)) - said
         if len(said) + len(pairs) > REMEMBERED:
             said.clear()  # a pair may then be said again, which is harmless
@@ -758,6 +780,37 @@ def _met(asks: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame,
     return stored(rows.mapInArrow(_meet(k, percent), "a long, b long"), "jaccard-met")
 
 
+def _members(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, n, bitmap, root, size)``: the component of each node, and how many nodes it has."""
+    roots = components(links)
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    joined = stored(roots.join(sizes, "root"), "jaccard-roots")
+    members = nodes.select("node", "n", "bitmap").join(joined, "node", "left").select(
+        "node", "n", "bitmap", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
+    )
+    return stored(members, "jaccard-members")
+
+
+def _contracted(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Buckets ``(token, cls, node, members, least)`` with components in place of their nodes."""
+    changed = members.where("node <> root").select("node", "root")
+    kept = F.broadcast(changed) if fits_broadcast(changed) else changed
+    rows = rows.join(kept, "node", "left").select("token", "cls", F.coalesce("root", "node").alias("node"))
+    return _kept_buckets(rows.repartition("token", "cls").distinct())
+
+
+def _answered(
+    buckets: DataFrame, summed: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int,
+    block: int, classes, largest: bool = False,
+) -> DataFrame:
+    """Links of the nodes of components that may hold one in ``buckets``."""
+    rows = buckets.join(_summaries(summed, classes), ["node", "cls"])
+    asks = _blocks(rows, block).mapInArrow(_ask(percent, largest), "asker long, root long").distinct()
+    own = members.select("node", F.col("root").alias("asker"))
+    asks = asks.join(own, "asker").select("node", "root")
+    return _met(asks, members.select("node", "root", "size"), docs, nodes, k, percent)
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK,
 ) -> DataFrame:
@@ -786,22 +839,18 @@ def near_duplicates(
     proposals = _blocks(seeds, block).mapInArrow(_propose(percent), "a long, b long")
     links = _compared(proposals, docs, nodes, k, percent)
 
-    roots = components(links)
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    joined = stored(roots.join(sizes, "root"), "jaccard-roots")
-    members = nodes.select("node", "n", "bitmap").join(joined, "node", "left").select(
-        "node", "n", "bitmap", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
-    )
-    members = stored(members, "jaccard-members")
-    changed = joined.where("node <> root").select("node", "root")
-    kept = F.broadcast(changed) if fits_broadcast(changed) else changed
-    rows = rows.join(kept, "node", "left").select("token", "cls", F.coalesce("root", "node").alias("node"))
-    rows = _kept_buckets(rows.repartition("token", "cls").distinct())
-    rows = rows.join(_summaries(members, classes), ["node", "cls"])
-    asks = _blocks(rows, block).mapInArrow(_ask(percent), "asker long, root long").distinct()
-    own = members.select("node", F.col("root").alias("asker"))
-    asks = asks.join(own, "asker").select("node", "root")
-    links = links.union(_met(asks, members.select("node", "root", "size"), docs, nodes, k, percent))
+    before = None
+    while True:
+        members = _members(nodes, links)
+        open_ = _contracted(rows, members)
+        large = stored(open_.where(F.col("members") > OPEN), "jaccard-open")
+        now = large.select("node").distinct().count()
+        if now == 0 or (before is not None and now > before * STILL):
+            break
+        before = now
+        part = members.join(large.select(F.col("node").alias("root")).distinct(), "root", "left_semi")
+        links = links.union(_answered(large, part, members, docs, nodes, k, percent, block, classes, largest=True))
+    links = links.union(_answered(open_, members, members, docs, nodes, k, percent, block, classes))
     roots = components(links)
 
     of = nodes.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
