@@ -1,6 +1,7 @@
 """Learners by their properties: every key marked once, marks from the label
 set, same seed same result, saved and loaded same result, stream equals batch."""
 
+import functools
 import math
 import random
 from collections import Counter, defaultdict
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from textmark import LearnerSpec, Scorer, fit_scorer, score_stream, score_table, score_text, train
 from textmark.operators import features as V
-from textmark.plans import ensemble
+from textmark.operators.lookup import lookup_join
+from textmark.plans import bayes, ensemble
 from textmark.plans.ensemble import mark_with_members, train_members
 
 KINDS = ["naive_bayes", "one_vs_rest", "perceptron", "tree"]
@@ -245,3 +247,47 @@ def test_categories(spark):
     assert {int(k): dict(v) for k, v in model.categoryMaps.items()} == {0: {0.0: 0, 1.0: 1, 2.0: 2}}
     unseen = df.limit(1).select(F.lit(7.0).alias("x")).select(array_to_vector(F.array("x", "x")).alias("features"))
     assert model.transform(unseen).first()["indexed_features"][0] == 3.0
+
+
+def test_terms_beside_vectors_of_every_term(spark, reviews, folder, monkeypatch):
+    """The table of terms gives the marks that Spark's own naive Bayes gives on whole vectors."""
+    specs = [LearnerSpec("naive_bayes", "a", salt="a"), LearnerSpec("naive_bayes", "t", salt="t", target=9.0)]
+    marks = ["mark_a", "mark_t"]
+    vectors = fit_scorer(reviews, specs, stop_words=["the"])
+    terms = fit_scorer(reviews, specs, stop_words=["the"], extractor="terms")
+    assert terms.extractor is None and terms.columns == []
+    texts = reviews.dropna()
+    want = rows_of(vectors.marks(texts, "doc_id", "text").select("doc_id", *marks))
+    assert rows_of(terms.marks(texts, "doc_id", "text").select("doc_id", *marks)) == want
+    for one, other in zip(vectors.members, terms.members, strict=True):
+        assert rows_of(one.tested) == rows_of(other.tested)
+    # Beyond a broadcast the table is joined by shuffle.
+    monkeypatch.setattr(bayes, "lookup_join", functools.partial(lookup_join, max_rows=1))
+    assert rows_of(terms.marks(texts, "doc_id", "text").select("doc_id", *marks)) == want
+    terms.save(folder + "/terms")
+    loaded = Scorer.load(spark, folder + "/terms")
+    assert rows_of(loaded.marks(texts, "doc_id", "text").select("doc_id", *marks)) == want
+    # No word at all, and none that is known: the most frequent label, and rows of one key stay apart.
+    odd = spark.createDataFrame([(1, ""), (1, "zzzz qqqq"), (1, "lovely great"), (2, None)], "doc_id long, text string")
+    scored = terms.marks(odd, "doc_id", "text").select("doc_id", "mark_a").collect()
+    assert len(scored) == 4 and all(row["mark_a"] is not None for row in scored)
+
+
+def test_members_with_features_of_their_own(spark, reviews, folder):
+    specs = [
+        LearnerSpec("naive_bayes", "nb"),
+        LearnerSpec("perceptron", "mlp", places=64),
+        LearnerSpec("tree", "tree", extractor="counts", places=50),
+    ]
+    scorer = fit_scorer(reviews, specs, extractor="terms")
+    assert scorer.columns == ["features_counts_50", "features_hashed_counts_64"]
+    texts = reviews.dropna()
+    scored = score_table(texts, scorer)
+    assert scored.columns[-4:] == ["mark_nb", "mark_mlp", "mark_tree", "mark"]
+    assert scored.where("mark = rating").count() > 100
+    assert {row["member"] for row in ensemble.tested_rows(scorer.members).select("member").distinct().collect()} == {"nb", "mlp", "tree"}
+    scorer.save(folder + "/own")
+    loaded = Scorer.load(spark, folder + "/own")
+    assert rows_of(score_table(texts, loaded).select("doc_id", "mark")) == rows_of(scored.select("doc_id", "mark"))
+    with pytest.raises(ValueError, match="only naive Bayes"):
+        fit_scorer(reviews, [LearnerSpec("tree", extractor="terms")])

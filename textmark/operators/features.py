@@ -202,16 +202,16 @@ EXTRACTORS = {
 }
 
 
-def fit_extractor(kind: str, df: DataFrame, size: int) -> PipelineModel:
+def fit_extractor(kind: str, df: DataFrame, size: int, features: str = "features") -> PipelineModel:
     """A fitted extractor; ``extract`` applies it to these or any other words."""
     if kind not in EXTRACTORS:
         raise ValueError(f"no extractor {kind!r}; there are {sorted(EXTRACTORS)}")
-    return EXTRACTORS[kind](df, size)
+    return EXTRACTORS[kind](df, size, features=features)
 
 
-def extract(model: PipelineModel, df: DataFrame, features: str = "features") -> DataFrame:
-    """``df`` with its vectors; intermediate columns drop."""
-    return model.transform(df).select(*df.columns, features)
+def extract(model: PipelineModel, df: DataFrame, *features: str) -> DataFrame:
+    """``df`` with its vectors, one column or several; intermediate columns drop."""
+    return model.transform(df).select(*df.columns, *(features or ("features",)))
 
 
 def label_indexer(label: str = "label", indexed: str = "indexed_label") -> StringIndexer:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
@@ -26,17 +26,19 @@ def train_members(
     mark: str = "rating",
     width: int | None = None,
     parallelism: int = 4,
+    features: Mapping[str, str] | None = None,
 ) -> list[TrainedMember]:
     """Train every spec on ``df``; persist ``df`` first, each member reads it.
 
-    With ``parallelism`` above one the members' jobs share the cluster.
+    With ``parallelism`` above one the members' jobs share the cluster.  ``features`` names
+    the vectors of members that do not read ``features``.
     """
     names = [spec.member for spec in specs]
     if len(set(names)) != len(names):
         raise ValueError(f"members need different names: {names}")
 
     def fit(spec: LearnerSpec) -> TrainedMember:
-        return train(df, spec, key, mark, width)
+        return train(df, spec, key, mark, width, (features or {}).get(spec.member, "features"))
 
     if parallelism <= 1:
         return [fit(spec) for spec in specs]
@@ -65,7 +67,11 @@ def with_member_marks(df: DataFrame, members: Sequence[TrainedMember]) -> DataFr
 
 def mark_with_members(df: DataFrame, members: Sequence[TrainedMember]) -> DataFrame:
     """``df`` with the members' marks and the voted ``mark``; no shuffle."""
-    marked = with_member_marks(df, members)
+    return voted(with_member_marks(df, members), members)
+
+
+def voted(marked: DataFrame, members: Sequence[TrainedMember]) -> DataFrame:
+    """The ``mark`` that the members' mark columns make together."""
     votes = F.array(*[F.col(member.spec.mark_column) for member in members])
     return marked.withColumn("mark", plurality(votes))
 

@@ -38,7 +38,8 @@ class LearnerSpec:
     ``target`` turns a learner into a binary one for that mark: classes are
     balanced, labels and marks are 1.0 (target) and 0.0 (any other).  Members
     with different salts see different splits.  ``holdout=False`` fits and
-    scores on the same rows.
+    scores on the same rows.  ``extractor`` and ``places`` choose this member's own
+    features of a text (``plans/scoring.py``); empty, it takes those of its scorer.
     """
 
     kind: str
@@ -47,6 +48,8 @@ class LearnerSpec:
     salt: str = ""
     holdout: bool = True
     seed: int = settings.SHUFFLE_SEED
+    extractor: str = ""
+    places: int = 0
 
     @property
     def member(self) -> str:
@@ -59,15 +62,21 @@ class LearnerSpec:
 
 @dataclass(frozen=True)
 class TrainedMember:
-    """A fitted learner and its scored test rows ``(key, label, prediction)``."""
+    """A fitted learner and its scored test rows ``(key, label, prediction)``.
+
+    ``features`` names the vectors that it reads.  Naive Bayes over every term has its
+    model in a table of all members (``plans/bayes.py``) and none here.
+    """
 
     spec: LearnerSpec
-    model: PipelineModel
+    model: PipelineModel | None
     tested: DataFrame | None = None
+    features: str = "features"
 
     def mark(self, df: DataFrame) -> DataFrame:
         """``df`` with one more column, this member's mark for every row."""
-        scored = self.model.transform(df)
+        source = df if self.features == "features" else df.withColumn("features", F.col(self.features))
+        scored = self.model.transform(source)
         mark = F.col(f"label_{self.spec.member}").cast("double")
         return scored.select(*df.columns, mark.alias(self.spec.mark_column))
 
@@ -167,13 +176,17 @@ LEARNERS: dict[str, Callable[[LearnerSpec, int, int], list]] = {
 
 
 def labelled(df: DataFrame, spec: LearnerSpec, key: str, mark: str) -> DataFrame:
-    """``(key, label, features)``; for a binary learner relabelled and balanced."""
+    """``(key, label, features)``; for a binary learner relabelled and balanced.
+
+    Rows without vectors come without them.
+    """
+    vectors = [x for x in ("features",) if x in df.columns]
     # Only the mark is tested: a test of the vectors would be pushed below the text
     # preparation and compute it twice.
-    rows = sampling.drop_incomplete(df.select(key, mark, "features"), mark)
+    rows = sampling.drop_incomplete(df.select(key, mark, *vectors), mark)
     if spec.target is None:
-        return rows.select(key, F.col(mark).cast("double").alias("label"), "features")
-    classes = sampling.binarise(rows, spec.target, mark).select(key, "label", "features")
+        return rows.select(key, F.col(mark).cast("double").alias("label"), *vectors)
+    classes = sampling.binarise(rows, spec.target, mark).select(key, "label", *vectors)
     # Not the salt of the split: the rows kept of a large class come first in their
     # order, and in the same order they would all be training rows.
     return sampling.balance(classes, key, "label", spec.salt + BALANCE_SALT)
@@ -211,10 +224,11 @@ def train(
     key: str = "doc_id",
     mark: str = "rating",
     width: int | None = None,
+    features: str = "features",
 ) -> TrainedMember:
     """Split, fit and prepare the test scores of one learner.
 
-    ``df`` holds the key, the mark and ``features`` of every labelled row.
+    ``df`` holds the key, the mark and the vectors ``features`` of every labelled row.
     Labels are indexed on the training rows, so a mark that never occurs shifts
     no other, and predictions are turned back into marks by the same index.
     """
@@ -222,7 +236,7 @@ def train(
         raise ValueError(f"no learner {spec.kind!r}; there are {sorted(LEARNERS)}")
     if spec.kind == "linear_svm" and spec.target is None:
         raise ValueError("a linear SVM separates two classes: give a target mark")
-    rows = labelled(df, spec, key, mark)
+    rows = labelled(df.select(key, mark, F.col(features).alias("features")), spec, key, mark)
     fit_rows, test_rows = parts(rows, spec, key)
     # A filter over rows that are kept already needs no second copy of them.
     kept = df.storageLevel.useMemory or df.storageLevel.useDisk
@@ -251,4 +265,4 @@ def train(
     tested = trained.mark(test_rows).select(
         key, "label", F.col(spec.mark_column).alias("prediction")
     )
-    return TrainedMember(spec, model, tested)
+    return TrainedMember(spec, model, tested, features)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import asdict, dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -14,33 +13,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark import settings
-from textmark.functions.keys import in_share
 from textmark.operators import features as V
 from textmark.operators.sampling import drop_incomplete
 from textmark.operators.tokens import prepare_words
-from textmark.plans.ensemble import mark_with_members, train_members, with_written_tests
+from textmark.plans.bayes import TermModel, fit_terms, scope
+from textmark.plans.ensemble import train_members, voted, with_member_marks, with_written_tests
 from textmark.plans.learners import LearnerSpec, TrainedMember, raw_column
+from textmark.runtime import written
 
 
 @dataclass(frozen=True)
 class Scorer:
-    """Word lists, vocabulary and members: all that a text needs to get a mark."""
+    """Word lists, extractors and members: all that a text needs to get a mark.
 
-    extractor: PipelineModel
+    ``extractor`` makes every vector column that some member reads; ``terms`` is the table
+    of the members that read terms instead.
+    """
+
+    extractor: PipelineModel | None
     members: tuple[TrainedMember, ...]
     lemmas: Mapping[str, str] | DataFrame
     stop_words: Collection[str] | DataFrame
     filter_on: str = "stem"
+    terms: TermModel | None = None
+
+    @property
+    def columns(self) -> list[str]:
+        """The vector columns of the members."""
+        return sorted({member.features for member in self.members if member.model is not None})
+
+    def words(self, df: DataFrame, key: str, text: str) -> DataFrame:
+        return prepare_words(df, key, text, self.lemmas, self.stop_words, self.filter_on)
 
     def vectors(self, df: DataFrame, key: str, text: str) -> DataFrame:
-        words = prepare_words(df, key, text, self.lemmas, self.stop_words, self.filter_on)
-        return V.extract(self.extractor, words).drop("words")
+        return V.extract(self.extractor, self.words(df, key, text), *self.columns).drop("words")
+
+    def marks(self, df: DataFrame, key: str, text: str) -> DataFrame:
+        """``df`` without ``text``, with the mark column of every member.
+
+        Members that read vectors need no shuffle; those that read terms join their table.
+        """
+        rows = self.words(df, key, text)
+        columns = rows.drop("words").columns
+        if self.columns:
+            by_vector = [member for member in self.members if member.model is not None]
+            rows = with_member_marks(V.extract(self.extractor, rows, *self.columns), by_vector)
+            rows = rows.drop(*self.columns)
+        if self.terms is not None:
+            rows = self.terms.marked(rows)
+        return rows.select(*columns, *[member.spec.mark_column for member in self.members])
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
-        self.extractor.write().overwrite().save(f"{path}/extractor")
+        if self.extractor is not None:
+            self.extractor.write().overwrite().save(f"{path}/extractor")
         for number, member in enumerate(self.members):
-            member.model.write().overwrite().save(f"{path}/member-{number}")
+            if member.model is not None:
+                member.model.write().overwrite().save(f"{path}/member-{number}")
+        if self.terms is not None:
+            self.terms.save(f"{path}/terms")
         lemmas, stops = self.lemmas, self.stop_words
         if isinstance(lemmas, DataFrame):
             lemmas.write.mode("overwrite").parquet(f"{path}/lemmas")
@@ -48,6 +79,7 @@ class Scorer:
             stops.write.mode("overwrite").parquet(f"{path}/stop_words")
         settings_row = {
             "members": [asdict(member.spec) for member in self.members],
+            "features": [member.features if member.model is not None else None for member in self.members],
             "lemmas": None if isinstance(lemmas, DataFrame) else dict(lemmas),
             "stop_words": None if isinstance(stops, DataFrame) else sorted(stops),
             "filter_on": self.filter_on,
@@ -58,27 +90,31 @@ class Scorer:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Scorer":
         stored = json.loads(spark.read.text(f"{path}/settings", wholetext=True).first()["value"])
+        specs = [LearnerSpec(**spec) for spec in stored["members"]]
+        features = stored["features"]
         members = tuple(
-            _load_member(LearnerSpec(**spec), f"{path}/member-{number}")
-            for number, spec in enumerate(stored["members"])
+            TrainedMember(spec, None) if column is None else _load_member(spec, f"{path}/member-{number}", column)
+            for number, (spec, column) in enumerate(zip(specs, features, strict=True))
         )
+        by_term = [spec for spec, column in zip(specs, features, strict=True) if column is None]
         lemmas, stops = stored["lemmas"], stored["stop_words"]
         return cls(
-            PipelineModel.load(f"{path}/extractor"),
+            PipelineModel.load(f"{path}/extractor") if any(features) else None,
             members,
             spark.read.parquet(f"{path}/lemmas") if lemmas is None else lemmas,
             spark.read.parquet(f"{path}/stop_words") if stops is None else stops,
             stored["filter_on"],
+            TermModel.load(spark, f"{path}/terms", by_term) if by_term else None,
         )
 
 
-def _load_member(spec: LearnerSpec, path: str) -> TrainedMember:
+def _load_member(spec: LearnerSpec, path: str, features: str) -> TrainedMember:
     model = PipelineModel.load(path)
     for stage in model.stages:
         # The stored form of this model forgets its raw score column.
         if isinstance(stage, OneVsRestModel):
             stage.setRawPredictionCol(raw_column(spec))
-    return TrainedMember(spec, model)
+    return TrainedMember(spec, model, features=features)
 
 
 def fit_rows(words: DataFrame, specs: Sequence[LearnerSpec], key: str, fit_scope: str) -> DataFrame:
@@ -87,13 +123,24 @@ def fit_rows(words: DataFrame, specs: Sequence[LearnerSpec], key: str, fit_scope
     ``"train"``: rows that some member is fitted on.  ``"all"``: every labelled
     row, so test texts leak into the vocabulary.
     """
-    if fit_scope == "all" or not all(spec.holdout for spec in specs):
-        return words
-    if fit_scope != "train":
-        raise ValueError(f"fit_scope is 'train' or 'all', not {fit_scope!r}")
-    salts = sorted({spec.salt for spec in specs})
-    chosen = [in_share(F.col(key), settings.TRAIN_SHARE, salt) for salt in salts]
-    return words.where(reduce(lambda a, b: a | b, chosen))
+    return words.where(scope(key, specs, fit_scope))
+
+
+def own_features(spec: LearnerSpec, extractor: str, size: int) -> tuple[str, int]:
+    """Extractor and width of one member.
+
+    Beside members that read terms, a learner of another kind takes hashed counts, which
+    cover every term too: few places for those that hold dense values per place.
+    """
+    kind = spec.extractor or extractor
+    if kind != "terms":
+        return kind, spec.places or size
+    if spec.kind == "naive_bayes":
+        return kind, 0
+    if spec.extractor:
+        raise ValueError(f"{spec.member}: only naive Bayes reads terms, not {spec.kind}")
+    dense = spec.kind in ("perceptron", "tree")
+    return "hashed_counts", spec.places or (settings.DENSE_BUCKETS if dense else settings.HASH_BUCKETS)
 
 
 def fit_scorer(
@@ -112,32 +159,52 @@ def fit_scorer(
 ) -> Scorer:
     """Clean, prepare, fit the extractor and train every member.
 
-    ``extractor`` is ``"counts"`` (bag of words), ``"hashed_counts"`` or ``"hashed_tfidf"``.
-    Hashed vectors cover every term in any ``vocabulary_size``; counts drop those beyond it.
-    The vectors are kept once for all members; before they are released every
-    member's test rows are scored from them and written, so figures about members
-    read narrow rows, never the texts again.
+    ``extractor`` is ``"terms"`` (naive Bayes over every term, without vectors),
+    ``"counts"`` (bag of words), ``"hashed_counts"`` or ``"hashed_tfidf"``; a spec may choose
+    its own.  Terms and hashed vectors cover every term; counts drop those beyond
+    ``vocabulary_size`` and say how many.  Words are prepared once for all members.  The
+    vectors of all members are kept together; before they are released every member's test
+    rows are scored from them and written, so figures about members read narrow rows, never
+    the texts again.
     """
     lemmas = {} if lemmas is None else lemmas
     stop_words = () if stop_words is None else stop_words
     clean = drop_incomplete(reviews.select(key, mark, text), mark, text)
     words = prepare_words(clean, key, text, lemmas, stop_words, filter_on)
-    seen = fit_rows(words, specs, key, fit_scope)
-    fitted = V.fit_extractor(extractor, seen, vocabulary_size)
-    vectors = V.extract(fitted, words).drop("words").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        members = with_written_tests(train_members(vectors, specs, key, mark, None, parallelism))
-    finally:
-        vectors.unpersist()
-    return Scorer(fitted, tuple(members), lemmas, stop_words, filter_on)
+    chosen = {spec.member: own_features(spec, extractor, vocabulary_size) for spec in specs}
+    if len(chosen) != len(specs):
+        raise ValueError(f"members need different names: {[spec.member for spec in specs]}")
+    by_term = [spec for spec in specs if chosen[spec.member][0] == "terms"]
+    by_vector = [spec for spec in specs if chosen[spec.member][0] != "terms"]
+    kinds = sorted({chosen[spec.member] for spec in by_vector})
+    column = {x: "features" if len(kinds) == 1 else f"features_{x[0]}_{x[1]}" for x in kinds}
+    if len(kinds) + bool(by_term) > 1:
+        words = written(words, "prepared-words")
+    terms, fitted, done = None, None, {}
+    if by_term:
+        terms, members = fit_terms(words, by_term, key, mark, fit_scope)
+        done |= {member.spec.member: member for member in members}
+    if by_vector:
+        seen = fit_rows(words, by_vector, key, fit_scope)
+        models = [V.fit_extractor(kind, seen, size, column[kind, size]) for kind, size in kinds]
+        fitted = models[0] if len(models) == 1 else PipelineModel([stage for x in models for stage in x.stages])
+        features = {spec.member: column[chosen[spec.member]] for spec in by_vector}
+        vectors = V.extract(fitted, words, *column.values()).drop("words").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            members = train_members(vectors, by_vector, key, mark, None, parallelism, features)
+            done |= {member.spec.member: member for member in with_written_tests(members)}
+        finally:
+            vectors.unpersist()
+    return Scorer(fitted, tuple(done[spec.member] for spec in specs), lemmas, stop_words, filter_on, terms)
 
 
 def score_table(df: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Marks for a whole table; every other column, such as the truth, stays.
 
-    With literal word lists this is one projection over the scan.
+    With literal word lists and vectors this is one projection over the scan; members that
+    read terms add a join.
     """
-    return mark_with_members(scorer.vectors(df, key, text), scorer.members).drop("features")
+    return voted(scorer.marks(df, key, text), scorer.members)
 
 
 def one_text(spark: SparkSession, text: str, key: str = "doc_id") -> DataFrame:

@@ -85,7 +85,7 @@ _TESTED_SQL = S.tested(S.LANGUAGE_RATED, MEMBERS)
 def nb_ensemble_vote(spark, folder):
     reviews = tables.language_rated(spark, folder).dropna()
     scorer = _scorer(spark, folder)
-    marked = ensemble.mark_with_members(scorer.vectors(reviews, "doc_id", "text"), scorer.members)
+    marked = ensemble.voted(scorer.marks(reviews, "doc_id", "text"), scorer.members)
     return _rounded(marked.select("doc_id", "mark"))
 
 
@@ -93,7 +93,7 @@ def nb_ensemble_vote(spark, folder):
 def member_marks(spark, folder):
     reviews = tables.language_rated(spark, folder).dropna()
     scorer = _scorer(spark, folder)
-    marked = ensemble.with_member_marks(scorer.vectors(reviews, "doc_id", "text"), scorer.members)
+    marked = scorer.marks(reviews, "doc_id", "text")
     return ensemble.member_rows(marked, ["doc_id"], scorer.members)
 
 

@@ -1,6 +1,5 @@
 """Naive Bayes against its formula; the other learners by their predictions."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from textmark import settings
@@ -14,9 +13,9 @@ from textmark.sources.words import SAMPLE_STOP_WORDS, sample_lemma_map
 _TARGET = 1.0
 
 
-def text_scorer(reviews, specs, **options):
+def text_scorer(reviews, specs, extractor="terms", **options):
     return fit_scorer(
-        reviews, specs, lemmas=sample_lemma_map(), stop_words=SAMPLE_STOP_WORDS, **options
+        reviews, specs, lemmas=sample_lemma_map(), stop_words=SAMPLE_STOP_WORDS, extractor=extractor, **options
     )
 
 
@@ -59,12 +58,8 @@ def nb_multiclass_scores(spark, folder):
     """Log score of every text for every mark."""
     reviews = tables.language_rated(spark, folder)
     scorer = text_scorer(reviews, [LearnerSpec("naive_bayes", "nb")])
-    model = scorer.members[0].model
-    marks = F.array(*[F.lit(float(name)) for name in model.stages[-1].getLabels()])
-    scored = model.transform(scorer.vectors(reviews.dropna(), "doc_id", "text"))
-    raw = vector_to_array("raw_nb")
-    rows = scored.select("doc_id", F.inline(F.arrays_zip(marks.alias("mark"), raw.alias("score"))))
-    return rows.select("doc_id", "mark", F.round("score", 3).alias("score"))
+    scores = scorer.terms.scores(scorer.words(reviews.dropna(), "doc_id", "text"), "doc_id")
+    return scores.select("doc_id", F.col("label").alias("mark"), F.round("score", 3).alias("score"))
 
 
 @query(

@@ -101,7 +101,7 @@ def bayes(
     sides AS (SELECT m.member, r.doc_id, r.rating, {in_train} AS in_train
               FROM rated r CROSS JOIN members m WHERE r.rating IS NOT NULL),
     vocabulary AS (SELECT word, count(*) AS n FROM words {vocabulary_rows}
-                   GROUP BY word ORDER BY n DESC, word LIMIT {settings.VOCABULARY_SIZE}),
+                   GROUP BY word),
     counts AS (SELECT doc_id, word, count(*)::DOUBLE AS n
                FROM words JOIN vocabulary USING (word) GROUP BY doc_id, word),
     sizes AS (SELECT doc_id, sum(n) AS n FROM counts GROUP BY doc_id),
