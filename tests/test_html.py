@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from textmark.functions import html, html_parser
+from textmark.functions import elements, html, html_parser
 from textmark.operators import links as L
 from textmark.plans.harvest import PageLayout, review_records
 
@@ -154,3 +154,51 @@ def test_pages_without_a_group_are_one(spark):
     listing = spark.createDataFrame([(None, 1, 5), (None, 2, 0), (None, 3, 1)], "site string, page int, n_links int")
     kept = L.until_empty(listing, "site", "page", "n_links", key="page")
     assert [tuple(r) for r in kept.collect()] == [(None, 1, 5)]
+
+
+REVIEWS = """<body><div class="menu text"><a href="/m">m</a></div>
+<section class='reviewPage x'><div>before</div>
+<DIV id=1 class="a text b">one<div>two<div class=text>three</div><img src=x class=text>four<br></div><!-- </div> -->
+<script>var a = "</div>";</script><a href="/in">five</a></DIV> after <div class="text">second<a href="/2"></a></div></section>
+<section class="reviewPage"><p class=text>other page</p></section><div class="text">open <b>end"""
+
+
+def test_nested_void_and_hidden_tags(spark):
+    row = spark.createDataFrame([(REVIEWS,), ("no tags",), ("",), (None,)], "t string")
+
+    def of(column):
+        return [r[0] for r in row.select(column).collect()]
+
+    page = F.col("t")
+    divs = of(html.element(page, "div", "text"))
+    assert divs[0] == '<a href="/m">m</a>' and divs[1:] == [None, None, None]
+    found = of(elements.insides(page, "div", "text"))
+    assert len(found[0]) == 4 and found[1:] == [[], [], None]
+    assert found[0][1].startswith("one<div>two") and found[0][1].endswith('<a href="/in">five</a>')
+    assert found[0][3] == "open <b>end"
+    assert of(elements.insides(page, None, "reviewPage"))[0][1] == "<p class=text>other page</p>"
+    text = of(html.visible_text(html.within(page, "reviewPage", None, "text")))
+    assert text == ["onetwothreefour\nfive", None, None, None]
+    links = of(html.hrefs(html.all_elements(page, None, "reviewPage")))
+    assert links[0] == ["/in", "/2"] and links[3] is None
+    assert of(elements.insides(page, "img", None))[0] == []
+
+
+def test_very_deep_and_very_long_pages(spark):
+    deep = '<div class="text">' + "<div>x" * 3000 + "</div>" * 3000 + "</div><div>y</div>"
+    wide = '<div class="text">' + "word " * 100_000 + "</div>"
+    row = spark.createDataFrame([(deep,), (wide,)], "t string")
+    found = [r[0] for r in row.select(html.element(F.col("t"), "div", "text")).collect()]
+    assert [len(x) for x in found] == [3000 * 12, 500_000]
+
+
+def test_levels_of_links_end_at_cycles(spark):
+    links = [(1, 0, 2), (1, 1, 3), (2, 0, 4), (3, 0, 4), (4, 0, 1), (4, 1, 5), (5, 0, 5), (8, 0, 9), (2, 1, 2), (2, 2, None)]
+    edges = spark.createDataFrame(links, "page_id long, pos int, target_page long").where("target_page is not null")
+    seeds = spark.createDataFrame([(1,), (1,)], "page_id long")
+    found = {tuple(r) for r in L.traverse(edges, seeds).collect()}
+    assert found == {(1, 0), (2, 1), (3, 1), (4, 2), (5, 3)}
+    assert {tuple(r) for r in L.traverse(edges, seeds, most=1).collect()} == {(1, 0), (2, 1), (3, 1)}
+    assert [tuple(r) for r in L.traverse(edges.limit(0), seeds).collect()] == [(1, 0)]
+    assert L.traverse(edges, seeds.limit(0)).count() == 0
+    assert L.traverse(edges, spark.createDataFrame([(8,)], "page_id long")).where("level = 1").count() == 1

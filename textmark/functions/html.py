@@ -1,7 +1,7 @@
-"""Page extraction with regular expressions, inside Catalyst.
+"""Page extraction inside Catalyst: links, containers, visible text, fields.
 
-Right for containers that do not nest an element of their own name; see
-``html_parser`` for pages that do.
+``element`` and its kin scan brackets, so elements may nest others of their own name;
+``container`` takes one regular expression and ends at the first end tag of that name.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmark.functions import elements
+
 # Names that also stand without a semicolon, longest first.
 _OLD_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
 _REFERENCE = r"&(?:#[0-9]{1,9}+;?|#[xX][0-9a-fA-F]{1,8}+;?|[A-Za-z][A-Za-z0-9]{1,31}+;|(?:%s)%s)"
@@ -60,6 +62,11 @@ def from_element(page: Column, css_class: str) -> Column:
     return F.regexp_substr(page, F.lit(rf"(?s){_opening(None, css_class)}.*"))
 
 
+def from_element(page: Column, css_class: str) -> Column:
+    """The page from the first element of a class on; NULL without one."""
+    return F.regexp_substr(page, F.lit(rf"(?s){_opening(None, css_class)}.*"))
+
+
 def _inside(whole: Column) -> Column:
     return F.regexp_extract(whole, r"(?s)\A<[^>]*>(.*)</", 1)
 
@@ -77,6 +84,22 @@ def containers(page: Column, tag: str | None, css_class: str | None = None) -> C
     return F.array_join(F.transform(found, _inside), "\n")
 
 
+def element(page: Column, tag: str | None, css_class: str | None = None) -> Column:
+    """Inside of the first such element, whatever it nests; NULL when the page has none."""
+    return F.get(elements.insides(page, tag, css_class), F.lit(0))
+
+
+def all_elements(page: Column, tag: str | None, css_class: str | None = None) -> Column:
+    """Insides of all such elements, whatever they nest, joined in page order."""
+    return F.array_join(elements.insides(page, tag, css_class), "\n")
+
+
+def within(page: Column, outer: str, tag: str | None, css_class: str | None = None) -> Column:
+    """Inside of the first such element inside any element of class ``outer``."""
+    inner = F.transform(elements.insides(page, None, outer), lambda x: element(x, tag, css_class))
+    return F.get(F.filter(inner, lambda x: x.isNotNull()), F.lit(0))
+
+
 def _named(reference: Column) -> Column:
     """Characters of a named reference; NULL for a name that is none.
 

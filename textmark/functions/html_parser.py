@@ -1,99 +1,17 @@
-"""Element selection with a real parser, for pages regular expressions get wrong.
-
-One Arrow batch at a time inside the tasks; a page never leaves its row.
-"""
+"""Text and links of elements, however they nest."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable
-from html.parser import HTMLParser
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
-
-# The parser travels with the task; the executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Elements without an end tag.
-VOID_ELEMENTS = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
-
-
-class _Elements(HTMLParser):
-    """Elements with a tag and class: text of the first, links of all of them."""
-
-    def __init__(self, tag: str, css_class: str | None):
-        super().__init__(convert_charrefs=True)
-        self.wanted = (tag, css_class)
-        self.open: list[str] = []
-        self.matches = 0
-        self.scripts = 0
-        self.text: list[str] = []
-        self.links: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in VOID_ELEMENTS:
-            return
-        values = dict(attrs)
-        if self.open:
-            self.open.append(tag)
-            if tag == "script":
-                self.scripts += 1
-            if tag == "a" and values.get("href") is not None:
-                self.links.append(values["href"])
-        else:
-            wanted_tag, wanted_class = self.wanted
-            classes = (values.get("class") or "").split()
-            if tag == wanted_tag and (wanted_class is None or wanted_class in classes):
-                self.open.append(tag)
-                self.matches += 1
-
-    def handle_endtag(self, tag):
-        if tag in self.open:
-            while self.open.pop() != tag:
-                pass
 
-    def handle_data(self, data):
-        first_script = self.open and self.open[-1] == "script" and self.scripts == 1
-        if self.open and self.matches == 1 and not first_script:
-            self.text.append(data)
-
-    @classmethod
-    def of(cls, page: str, tag: str, css_class: str | None) -> "_Elements":
-        parser = cls(tag, css_class)
-        parser.feed(page)
-        parser.close()
-        return parser
-
-
-def _series(pages: pd.Series, read: Callable[[str], object]) -> pd.Series:
-    return pd.Series([None if page is None else read(page) for page in pages], dtype=object)
+from textmark.functions import html
 
 
 def element_text(page: Column, tag: str, css_class: str | None = None) -> Column:
     """Visible text of the first matching element, first script left out."""
-
-    def read(source: str):
-        found = _Elements.of(source, tag, css_class)
-        return "".join(found.text) if found.matches else None
-
-    @pandas_udf(StringType())
-    def udf(pages: pd.Series) -> pd.Series:
-        return _series(pages, read)
-
-    return udf(page)
+    return html.visible_text(html.element(page, tag, css_class))
 
 
 def element_links(page: Column, tag: str, css_class: str | None = None) -> Column:
     """Link targets inside all matching elements, in page order."""
-
-    @pandas_udf(ArrayType(StringType()))
-    def udf(pages: pd.Series) -> pd.Series:
-        return _series(pages, lambda source: _Elements.of(source, tag, css_class).links)
-
-    return udf(page)
+    return html.hrefs(html.all_elements(page, tag, css_class))

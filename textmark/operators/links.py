@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmark.functions import html
 from textmark.operators.lookup import lookup_join
+from textmark.runtime import written
 
 
 def link_rows(pages: DataFrame, links: Column) -> DataFrame:
@@ -28,6 +31,33 @@ def follow(links: DataFrame, pages: DataFrame) -> DataFrame:
     return lookup_join(links, _one_page_per_url(pages), ["target"], "inner", ["page_id", "pos"])
 
 
+def traverse(links: DataFrame, seeds: DataFrame, most: int | None = None) -> DataFrame:
+    """``(page_id, level)`` of every page that is reached from ``seeds(page_id)``, level 0.
+
+    ``links(page_id, pos, target_page)`` are followed one level at a time.  The pages of a
+    level are the targets of the level before that no earlier level holds, so cycles end;
+    a level without pages, or level ``most``, is the last.  Each level is written: a lost
+    executor repeats one level, not the way to it.  The pages to follow are broadcast while
+    they fit; beyond that, links of a page that holds very many are spread by position.
+    """
+    edges = written(links.select("page_id", "pos", "target_page"), "links")
+    here = written(seeds.select("page_id").distinct(), "level-0")
+    levels = [here.withColumn("level", F.lit(0))]
+    while most is None or len(levels) <= most:
+        seen = _all(levels).select("page_id")
+        found = lookup_join(edges, here, ["page_id"], "inner", ["pos"])
+        found = found.select(F.col("target_page").alias("page_id")).distinct()
+        here = written(found.join(seen, "page_id", "left_anti"), f"level-{len(levels)}")
+        if here.isEmpty():
+            break
+        levels.append(here.withColumn("level", F.lit(len(levels))))
+    return _all(levels)
+
+
+def _all(levels: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, levels)
+
+
 def missing(links: DataFrame, pages: DataFrame) -> DataFrame:
     """Links whose page is not stored."""
     known = _one_page_per_url(pages).select("target")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmark.functions import html, html_parser
+from textmark.functions import html
 from textmark.functions.text import parsed_rating
 from textmark.operators.sampling import union_labelled
 
@@ -17,11 +17,10 @@ from textmark.operators.sampling import union_labelled
 class PageLayout:
     """Where a review page keeps its text and its rating.
 
-    The text is the first element of a tag (any when ``None``) and class, after
-    the start of an element of class ``within``.  Fixed values: the defaults are
-    those of the review pages the stored ones were taken from.  ``parse=True``
-    reads the text with a parser, for layouts that nest an element in its like;
-    it then needs a tag.
+    The text is the first element of a tag (any when ``None``) and class inside an
+    element of class ``within``, however they nest.  Fixed values: the defaults are
+    those of the review pages the stored ones were taken from.  ``parse`` is kept for
+    layouts that were written with it and needs a tag; it changes nothing.
     """
 
     tag: str | None = None
@@ -37,10 +36,9 @@ class PageLayout:
 
     def text(self, page: Column) -> Column:
         if self.within is not None:
-            page = html.from_element(page, self.within)
-        if self.parse:
-            return html_parser.element_text(page, self.tag, self.css_class)
-        inside = html.container(page, self.tag, self.css_class)
+            inside = html.within(page, self.within, self.tag, self.css_class)
+        else:
+            inside = html.element(page, self.tag, self.css_class)
         return html.visible_text(inside, self.scripts)
 
 

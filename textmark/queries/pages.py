@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from textmark.functions import html, html_parser
 from textmark.operators import links as L
+from textmark.operators.lookup import lookup_join
+from textmark.operators.ranking import row_index
 from textmark.plans.harvest import PageLayout, gather, review_records
 from textmark.queries import sql as S
 from textmark.queries.registry import query
@@ -64,7 +66,7 @@ def page_links(spark, folder):
 
 @query("container_links", f"SELECT page_id, pos, href FROM ({_link_rows_sql(_NAV)})")
 def container_links(spark, folder):
-    nav = html.containers(F.col("html"), "nav")
+    nav = html.all_elements(F.col("html"), "nav")
     return L.link_rows(tables.pages(spark, folder), html.hrefs(nav)).select(
         "page_id", "pos", "href"
     )
@@ -78,13 +80,13 @@ def parsed_container_links(spark, folder):
 
 @query("page_text", f"SELECT page_id, {_text_sql()} AS text FROM pages")
 def page_text(spark, folder):
-    article = html.container(F.col("html"), "article")
+    article = html.element(F.col("html"), "article")
     return tables.pages(spark, folder).select("page_id", html.visible_text(article).alias("text"))
 
 
 @query("parsed_page_text", f"SELECT page_id, {_text_sql()} AS text FROM pages")
 def parsed_page_text(spark, folder):
-    """The same text by a real parser."""
+    """The same text by name of the element."""
     return tables.pages(spark, folder).select(
         "page_id", html_parser.element_text(F.col("html"), "article").alias("text")
     )
@@ -191,8 +193,43 @@ def link_site(spark, folder):
     return L.with_site(links, stored).select("page_id", "pos", "site", "site_pages", "first_page")
 
 
-_LISTING = """SELECT page_id, nullif(regexp_extract(html, '<html\\b[^>]*\\blang="([^"]*)"', 1), '') AS lang,
-    len(regexp_extract_all(html, '<a\\b[^>]*?\\shref="(/[a-m][^"]*)"', 1)) AS n_links FROM pages"""
+# The given pages lead to no stored page.  A link that leads nowhere is sent to the stored page
+# that a digest of its target names, so that there are ways to follow.
+_STORED = f"""SELECT l.page_id, l.pos, p.target_page FROM (
+        SELECT page_id, pos, ('0x' || substr(md5(target), 1, 8))::BIGINT % (SELECT count(*) FROM pages) AS place
+        FROM ({_TARGETS})) l
+    JOIN (SELECT page_id AS target_page, row_number() OVER (ORDER BY page_id) - 1 AS place FROM pages) p USING (place)"""
+_FIRST_OF_LANGUAGE = """SELECT min(page_id) AS page_id FROM (
+    SELECT page_id, regexp_extract(html, '<html\\b[^>]*\\blang="([^"]*)"', 1) AS lang FROM pages) GROUP BY lang"""
+
+
+def _stored_links(spark, folder):
+    pages = tables.table(spark, folder, "pages").select("page_id")
+    places = row_index(pages, [F.asc("page_id")], "place").withColumnRenamed("page_id", "target_page")
+    digest = F.conv(F.substring(F.md5(F.col("target").cast("binary")), 1, 8), 16, 10).cast("long")
+    links = L.absolute_links(_links(spark, folder)).withColumn("place", digest % F.lit(pages.count()))
+    return lookup_join(links, places, ["place"], "inner", ["page_id", "pos"])
+
+
+@query(
+    "link_levels",
+    f"""WITH RECURSIVE edges AS MATERIALIZED (SELECT DISTINCT page_id, target_page FROM ({_STORED})),
+    ways AS (
+        SELECT page_id, 0 AS level FROM ({_FIRST_OF_LANGUAGE})
+        UNION SELECT e.target_page, w.level + 1 FROM ways w JOIN edges e USING (page_id)
+        WHERE w.level < (SELECT count(*) FROM pages) AND w.level < 12)
+    SELECT page_id, min(level)::INTEGER AS level FROM ways GROUP BY page_id""",
+)
+def link_levels(spark, folder):
+    """How many links each page is away from the first page of any language."""
+    lang = html.field(F.col("html"), r'<html\b[^>]*\blang="([^"]*)"')
+    pages = tables.pages(spark, folder).select("page_id", F.coalesce(lang, F.lit("")).alias("lang"))
+    seeds = pages.groupBy("lang").agg(F.min("page_id").alias("page_id"))
+    return L.traverse(_stored_links(spark, folder), seeds)
+
+
+_LISTING = f"""SELECT page_id, nullif(regexp_extract(html, '<html\\b[^>]*\\blang="([^"]*)"', 1), '') AS lang,
+    len({_HREFS.format(html=_SHOWN.format(html="html"))}) AS n_links FROM pages"""
 
 
 @query(
@@ -204,11 +241,9 @@ _LISTING = """SELECT page_id, nullif(regexp_extract(html, '<html\\b[^>]*\\blang=
 )
 def listing_until_empty(spark, folder):
     """Pages of a language as a listing that ends at its first page without links."""
-    found = html.hrefs(F.col("html"))
-    wanted = F.filter(found, lambda href: href.rlike("^/[a-m]"))
     listing = tables.pages(spark, folder).select(
         "page_id",
         html.field(F.col("html"), r'<html\b[^>]*\blang="([^"]*)"').alias("lang"),
-        F.size(wanted).cast("long").alias("n_links"),
+        F.size(html.hrefs(F.col("html"))).cast("long").alias("n_links"),
     )
     return L.until_empty(listing, "lang", "page_id", "n_links")
