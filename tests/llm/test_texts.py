@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -315,6 +316,17 @@ def test_added_spans_and_redaction():
 # Secrets
 
 
+def test_repeated_schemes_cost_the_length_of_the_text():
+    automaton = pii._automaton()
+    start = time.perf_counter()
+    for text in ("http://" * 150_000, "http://a@" * 120_000, "http://1.2.3" * 90_000):
+        pii.spans_of(text, automaton)
+    assert time.perf_counter() - start < 30  # minutes, were each scheme to read on to the next blank
+    text = "x http://u:p@h/?@ http://1.2.3.4:80/a, http://1.2.3.400/ http://a/b@c https://9.8.7.6"
+    urls = [text[a:b] for kind, a, b in pii.spans_of(text, automaton) if kind == "url"]
+    assert urls == ["http://u:p@h/?@", "http://1.2.3.4:80/a", "https://9.8.7.6"]
+
+
 def test_secret_findings_forest_and_edges(spark, nothing):
     rng = random.Random(9)
     rows = []

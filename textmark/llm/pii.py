@@ -19,6 +19,8 @@ none; equal texts give equal spans; positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+import bisect
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -199,20 +201,29 @@ def _iban(text: str, start: int) -> int:
     return 0
 
 
-def urls(text: str, anchors: list[tuple[int, str]]) -> list[Span]:
-    out, n, free = [], len(text), 0
+def urls(text: str, anchors: list[tuple[int, str]], ats: list[int]) -> list[Span]:
+    """Addresses behind schemes that name a user or a numeric host; ``ats`` are the at-signs.
+
+    Ends of runs and hosts are found once for all schemes inside them, so a text that
+    repeats a scheme costs its length.
+    """
+    out, n, free, blank, mark = [], len(text), 0, 0, 0
     for at, scheme in anchors:
-        start, stop = at - len(scheme), at
+        start = at - len(scheme)
         if start < free or start and text[start - 1] in _ALNUM:
             continue
-        while stop < n and text[stop] not in _URL_END:
-            stop += 1
-        host = at
-        while host < stop and text[host] not in "/?#":
-            host += 1
-        named = "@" in text[at:host] and text[at] != "@"
-        runs = digit_runs([i for i in range(at, host) if text[i] in _DIGITS])
-        if named or addresses(text, runs)[:1] and addresses(text, runs)[0][0] == at:
+        if at > blank or blank == 0:
+            blank = at
+            while blank < n and text[blank] not in _URL_END:
+                blank += 1
+        if at > mark or mark == 0:
+            mark = at
+            while mark < blank and text[mark] not in "/?#":
+                mark += 1
+        stop, host = blank, min(mark, blank)
+        nth = bisect.bisect_left(ats, at)
+        named = nth < len(ats) and ats[nth] < host and text[at] != "@"
+        if named or _numeric_host(text, at, host):
             while stop > host and text[stop - 1] in ".,;:!?)":
                 stop -= 1
             out.append((start, stop))
@@ -220,6 +231,21 @@ def urls(text: str, anchors: list[tuple[int, str]]) -> list[Span]:
     return out
 
 
+def _numeric_host(text: str, at: int, host: int) -> bool:
+    """Whether four small numbers joined by dots stand at ``at``."""
+    for part in range(4):
+        first = at
+        while at < host and text[at] in _DIGITS:
+            at += 1
+        if first == at or not _small(text, (first, at)):
+            return False
+        if part < 3:
+            if at == host or text[at] != ".":
+                return False
+            at += 1
+    return True
+
+
 def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """Spans of a text by kind in the order of ``KINDS``, then by start."""
     at: dict[str, list] = {"d": [], "@": [], "+": [], "cue": [], "url": []}
@@ -231,7 +257,7 @@ def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int
     runs = digit_runs(at["d"])
     found = (
         emails(text, at["@"]), addresses(text, runs), cards(text, runs),
-        phones(text, at["+"]), accounts(text, at["cue"]), urls(text, at["url"]),
+        phones(text, at["+"]), accounts(text, at["cue"]), urls(text, at["url"], at["@"]),
     )
     return [(kind, a, b) for kind, spans in zip(KINDS, found, strict=True) for a, b in spans]
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 _BYTES = np.arange(256)
 #: Bytes of words that white space ends: everything but 0x20 and 0x09-0x0D.
