@@ -75,7 +75,7 @@ def test_ranges_are_coalesced():
 
 def test_contract():
     numbers = sorted(int(n[2:].split("_")[0]) for n in contract.queries() if n.startswith("op") and n[2:3].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in contract.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "pii", "packing"]
 
 
@@ -130,7 +130,8 @@ def test_empty_tables(spark, tables, nothing):
     items = spark.createDataFrame([], "item_id long, text string")
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     html = spark.createDataFrame([], "page_id long, url string, html string")
-    folder = tables(documents=nothing, labels=labels, benchmark=items, embeddings=vectors, pages=html)
+    talks = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    folder = tables(documents=nothing, labels=labels, benchmark=items, embeddings=vectors, pages=html, conversations=talks)
     for name, query in queries.QUERIES.items():
         assert query(spark, folder).collect() == [], name
     assert corpus_pipeline.run(spark, folder).collect() == []
