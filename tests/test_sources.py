@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from textmark.runtime import shared_folder, work_folder
-from textmark.sources import reviews, samples, words
+from textmark.sources import records, reviews, samples, words
 
 CSV = (
     "rating,text\n"
@@ -32,6 +34,80 @@ def test_read_reviews(spark, review_file):
     ]
 
 
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512b")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def _random_csv(rng, rows):
+    """Fields with breaks, quotes and commas, among them one far longer than a split."""
+    signs = ['"', "\n", ",", "\r\n", "a", "bc", " ", "ż", "\\"]
+    lines = ["rating,text,more"]
+    for row in range(rows):
+        text = "".join(rng.choices(signs, k=rng.choice([0, 3, 30, 400 if row % 9 == 0 else 5])))
+        quoted = '"' + text.replace('"', '""') + '"'
+        bare = "plain" + rng.choice(["", ' with a "quote" inside', '"', " x"])
+        lines.append(f"{row},{quoted},{bare}")
+    return "\n".join(lines) + rng.choice(["", "\n"])
+
+
+def test_records_are_cut_by_many_tasks(spark, small_splits, tmp_path):
+    rng = random.Random(5)
+    for name in range(4):
+        (tmp_path / f"{name}.csv").write_bytes(_random_csv(rng, 60).encode())
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 12
+    read = reviews.read_reviews(spark, str(tmp_path)).select("rating", "text", "more")
+    whole = spark.read.csv(
+        str(tmp_path), header=True, escape='"', multiLine=True,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).select(F.col("rating").cast("double"), "text", "more")
+    assert sorted(map(repr, read.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_quotes_that_never_close_end_with_the_file(spark, small_splits, tmp_path):
+    (tmp_path / "a.csv").write_text("rating,text\n1,ok\n2,\"open\n" + "3,lost\n" * 40)
+    (tmp_path / "b.csv").write_text("rating,text\n4,fine\n")
+    read = {r["rating"]: r["text"] for r in reviews.read_reviews(spark, str(tmp_path)).collect()}
+    assert set(read) == {1.0, 2.0, 4.0} and read[2.0].count("lost") == 40
+
+
+@pytest.mark.parametrize(
+    ("line", "closed", "opened"),
+    [
+        ("a,b", False, True),
+        ('a,"b', True, False),
+        ('a "b,c', False, False),
+        ('"a""b"', False, False),
+        ('"a"",b', True, False),
+        ('x",y', False, False),
+        ('x","y', True, True),
+        ("", False, True),
+    ],
+)
+def test_state_after_a_line(line, closed, opened):
+    assert (records.stays_open(line, False), records.stays_open(line, True)) == (closed, opened)
+
+
+def test_rejected_records_keep_their_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('rating,text\n7,good\nbad,"two\nlines"\n8,one,more\n9\n,\n')
+    found = {r[0]: tuple(r)[1:] for r in reviews.rejects(spark, str(tmp_path)).collect()}
+    assert found == {
+        'bad,"two\nlines"': (False, True, False),
+        "8,one,more": (True, False, False),
+        "9": (True, False, True),
+        ",": (False, True, True),
+    }
+
+
+def test_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("rating,text\n1,a\n")
+    (tmp_path / "b.csv").write_text("text,rating\na,1\n")
+    with pytest.raises(ValueError, match="different headers"):
+        reviews.read_reviews(spark, str(tmp_path))
+
+
 def test_rejected(spark, review_file):
     row = reviews.rejected(reviews.read_reviews(spark, review_file)).first()
     assert tuple(row) == (5, 2, 1, 3)

@@ -40,6 +40,25 @@ def csv_rejects(spark, folder):
     return reviews.rejected(reviews.read_reviews(spark, path))
 
 
+@query(
+    "csv_rejected_records",
+    """SELECT doc_id || ',' || CASE WHEN doc_id % 5 = 0 THEN 'n/a' ELSE '3.5' END
+               || ',"' || replace(text, '"', '""') || '"' || CASE WHEN doc_id % 7 = 0 THEN ',more' ELSE '' END
+               AS record, doc_id % 7 = 0 AS wrong_fields, doc_id % 5 = 0 AS no_rating, FALSE AS no_text
+        FROM documents WHERE text <> '' AND (doc_id % 5 = 0 OR doc_id % 7 = 0)""",
+)
+def csv_rejected_records(spark, folder):
+    """Records with a field too many or a rating that is none, with their whole text."""
+    path = work_folder(spark, "rejected")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    rating = F.when(F.col("doc_id") % 5 == 0, F.lit("n/a")).otherwise(F.lit("3.5"))
+    record = F.concat_ws(",", F.col("doc_id").cast("string"), rating, quoted)
+    record = F.concat(record, F.when(F.col("doc_id") % 7 == 0, F.lit(",more")).otherwise(F.lit("")))
+    texts = tables.table(spark, folder, "documents").where("text <> ''").select(record.alias("value"))
+    texts.write.text(path)
+    return reviews.rejects(spark, path, ["doc_id", "rating", "text"])
+
+
 @query("csv_results_roundtrip", f"SELECT event_id, prediction, label FROM ({S.EVENT_RESULTS})")
 def csv_results_roundtrip(spark, folder):
     path = work_folder(spark, "results")

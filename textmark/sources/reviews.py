@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.functions.text import parsed_rating
+from textmark.sources.records import read_fields
 
 REVIEW_COLUMNS = ("rating", "text")
 RESULT_COLUMNS = ("prediction", "label")
 
 
-def _read(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """A CSV with a header; columns by name, quotes inside a text doubled.
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV of one line a record with a header; columns by name, quotes in a text doubled.
 
     Files whose header differs from the first one's are an error, not shifted
     columns; only an index column without a name cannot be checked.
@@ -25,7 +27,6 @@ def _read(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
             path,
             header=True,
             escape='"',
-            multiLine=multi_line,
             enforceSchema=not check_headers,
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
@@ -39,15 +40,41 @@ def _read(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
 def read_reviews(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``(rating, text)`` and any other column, such as a key, as a string.
 
-    A rating that is no number is NULL.  ``multi_line=False`` lets Spark split
-    large files when no text holds a line break.
+    A rating that is no number is NULL.  Large files are read by many tasks, line breaks
+    inside quotes or not; ``multi_line=False`` saves the cutting of records when no text
+    holds a line break.
     """
-    raw = _read(spark, path, multi_line)
+    raw = _reviews(spark, path) if multi_line else _with_review_columns(_read(spark, path), path)
+    raw = raw.drop("_record", "_broken")
+    others = [name for name in raw.columns if name not in REVIEW_COLUMNS]
+    return raw.select(*others, parsed_rating(F.col("rating")).alias("rating"), "text")
+
+
+def rejects(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
+    """``(record, wrong_fields, no_rating, no_text)``: the records not to be used, as they stand.
+
+    A record that has more or fewer fields than the header is one, whatever it holds.  Files without
+    a header need the ``names`` of their columns.
+    """
+    raw = _reviews(spark, path, names)
+    marked = raw.select(
+        F.col("_record").alias("record"),
+        F.col("_broken").alias("wrong_fields"),
+        parsed_rating(F.col("rating")).isNull().alias("no_rating"),
+        F.col("text").isNull().alias("no_text"),
+    )
+    return marked.where("wrong_fields or no_rating or no_text")
+
+
+def _with_review_columns(raw: DataFrame, path: str) -> DataFrame:
     missing = [name for name in REVIEW_COLUMNS if name not in raw.columns]
     if missing:
         raise ValueError(f"{path}: no column {missing} in header {raw.columns}")
-    others = [name for name in raw.columns if name not in REVIEW_COLUMNS]
-    return raw.select(*others, parsed_rating(F.col("rating")).alias("rating"), "text")
+    return raw
+
+
+def _reviews(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
+    return _with_review_columns(read_fields(spark, path, names), path)
 
 
 def read_positional(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -85,7 +112,7 @@ def rejected(reviews: DataFrame) -> DataFrame:
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """``(prediction, label)`` as doubles, further columns as strings."""
-    raw = _read(spark, path, multi_line=False)
+    raw = _read(spark, path)
     others = [name for name in raw.columns if name not in RESULT_COLUMNS]
     return raw.select(*others, *[F.col(name).try_cast("double") for name in RESULT_COLUMNS])
 
