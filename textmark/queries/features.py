@@ -8,7 +8,7 @@ from textmark.queries import sql as S
 from textmark.queries.registry import query
 from textmark.queries.text import prepared_documents
 from textmark.runtime import written
-from textmark.settings import TREE_MAX_CATEGORIES
+from textmark.settings import HASH_BUCKETS, TREE_MAX_CATEGORIES
 from textmark.sources import tables
 
 _TERMS = "SELECT word AS term, count(*) AS n FROM words GROUP BY word"
@@ -87,7 +87,12 @@ def tfidf(spark, folder):
     return V.tfidf(bag, "doc_id", texts).withColumn("weight", F.round("weight", 6))
 
 
-@query("hashing_tf")
+_HASHED = f"""{S.word_rows()}, {_COUNTS}, {S.hashed_places("SELECT DISTINCT word AS term FROM words", HASH_BUCKETS)},
+    hashed AS (SELECT doc_id, bucket::INTEGER AS bucket, sum(n)::DOUBLE AS n
+        FROM counts JOIN murmur USING (term) GROUP BY doc_id, bucket)"""
+
+
+@query("hashing_tf", f"WITH {_HASHED} SELECT doc_id, bucket, n FROM hashed")
 def hashing_tf(spark, folder):
     """``(doc_id, bucket, n)``; the buckets are Spark's own hash."""
     hashed = V.hashed_counts().transform(prepared_documents(spark, folder))
@@ -108,7 +113,13 @@ def hashing_tf_totals(spark, folder):
     return hashed.select("doc_id", total.alias("n_words"))
 
 
-@query("hashed_tfidf")
+@query(
+    "hashed_tfidf",
+    f"""WITH {_HASHED},
+    spread AS (SELECT bucket, count(*) AS df FROM hashed GROUP BY bucket)
+    SELECT doc_id, bucket, round(n * ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (df + 1)), 6) AS weight
+    FROM hashed JOIN spread USING (bucket)""",
+)
 def hashed_tfidf(spark, folder):
     """``(doc_id, bucket, weight)``: hashed counts weighted by their own IDF."""
     prepared = prepared_documents(spark, folder)

@@ -156,3 +156,47 @@ def vote(rows: str, key: str) -> str:
                    count(CASE WHEN mark <> -1 THEN mark END) AS n
             FROM ({rows}) GROUP BY ALL))
     WHERE place = 1 GROUP BY {key}"""
+
+
+def _times(x: str, factor: int) -> str:
+    return f"(({x} * {factor}::UBIGINT) % 4294967296)"
+
+
+def _turned(x: str, bits: int) -> str:
+    return f"((({x} << {bits}) % 4294967296) | ({x} >> {32 - bits}))"
+
+
+def _folded(x: str, bits: int) -> str:
+    return f"xor({x}, {x} >> {bits})"
+
+
+def hashed_places(terms: str, places: int, seed: int = 42) -> str:
+    """``murmur`` as a common table expression: ``(term, bucket)`` of the 32-bit Murmur3 hash.
+
+    ``terms`` selects ``term``.  The constants are those of the published algorithm.
+    """
+    octet = "('0x' || substr(h, {at}, 2))::UBIGINT"
+    word = " + ".join(
+        f"(CASE WHEN 8 * i + {2 * b + 1} <= length(h) THEN {octet.format(at=f'8 * i + {2 * b + 1}')} "
+        f"ELSE 0 END) * {256**b}::UBIGINT"
+        for b in range(4)
+    )
+    mixed = "w"
+    for step in (_times("x", 0xCC9E2D51), _turned("x", 15), _times("x", 0x1B873593)):
+        mixed = f"list_transform({mixed}, lambda x: {step})"
+    state = "xor(a, x)"
+    return f"""
+    hexed AS (SELECT term, hex(encode(term)) AS h FROM ({terms})),
+    parts AS (SELECT term, length(h) // 2 AS size,
+        list_transform(range(0, (length(h) + 7) // 8), lambda i: {word}) AS w FROM hexed),
+    mixed AS (SELECT term, size, {mixed} AS w FROM parts),
+    body AS (SELECT term, size, CASE WHEN size % 4 = 0 THEN 0 ELSE w[-1] END::UBIGINT AS rest,
+        list_reduce(list_prepend({seed}::UBIGINT, w[:size // 4]),
+            lambda a, x: ({_times(_turned(state, 13), 5)} + {0xE6546B64}) % 4294967296) AS a FROM mixed),
+    folded AS (SELECT term, xor(xor(a, rest), size::UBIGINT) AS x FROM body),
+    folded1 AS (SELECT term, {_times(_folded("x", 16), 0x85EBCA6B)} AS x FROM folded),
+    folded2 AS (SELECT term, {_times(_folded("x", 13), 0xC2B2AE35)} AS x FROM folded1),
+    folded3 AS (SELECT term, {_folded("x", 16)} AS x FROM folded2),
+    murmur AS (SELECT term,
+        ((x::BIGINT - CASE WHEN x >= 2147483648 THEN 4294967296 ELSE 0 END) % {places} + {places}) % {places}
+        AS bucket FROM folded3)"""
