@@ -4,6 +4,7 @@ from textmark.queries import (
     ensemble,
     features,
     files,
+    guarded,
     learners,
     metrics,
     pages,
