@@ -42,7 +42,11 @@ def nb_vocabulary_of_all(spark, folder):
     return _tested(tables.language_rated(spark, folder), spec, fit_scope="all")
 
 
-@query("nb_hashed_tfidf")
+@query(
+    "nb_hashed_tfidf",
+    f"WITH {S.tested(S.LANGUAGE_RATED, [('nb', '')], places=settings.HASH_BUCKETS)} "
+    "SELECT doc_id, label, prediction FROM tested",
+)
 def nb_hashed_tfidf(spark, folder):
     """Naive Bayes on hashed TF-IDF vectors."""
     spec = LearnerSpec("naive_bayes", "nb")

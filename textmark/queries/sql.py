@@ -65,9 +65,13 @@ def bayes(
     holdout: bool = True,
     scope: str = "train",
     unlabelled: bool = False,
+    places: int = 0,
 ) -> str:
     """Naive Bayes by the formula; ``unlabelled`` texts are scored, never fitted on.
 
+    With ``places`` the features are hashed counts by that many places, weighted by the
+    IDF of the fitted texts, in place of terms.
+
     Ends in ``scores(member, doc_id, label, score, place)`` for every rated text,
     ``marks(member, doc_id, mark)`` with the best label, and ``labelled`` with
     each member's rows and sides.
@@ -93,6 +97,18 @@ def bayes(
                 FROM sides s JOIN members m ON m.member = s.member))
         WHERE place <= n_min"""
     fitted = "WHERE in_train" if holdout else ""
+    counts = """counts AS (SELECT doc_id, word, count(*)::DOUBLE AS n
+               FROM words JOIN vocabulary USING (word) GROUP BY doc_id, word)"""
+    width = "(SELECT count(*) FROM vocabulary)"
+    if places:
+        width = str(places)
+        counts = f"""{hashed_places("SELECT DISTINCT word AS term FROM words", places)},
+    hashed AS (SELECT doc_id, bucket AS word, count(*)::DOUBLE AS n
+               FROM words w JOIN murmur m ON m.term = w.word GROUP BY doc_id, bucket),
+    known AS (SELECT doc_id FROM rated {vocabulary_rows}),
+    spread AS (SELECT word, count(*) AS df FROM hashed JOIN known USING (doc_id) GROUP BY word),
+    counts AS (SELECT h.doc_id, word, n * ln(((SELECT count(*) FROM known) + 1.0::DOUBLE)
+                      / (coalesce(df, 0) + 1)) AS n FROM hashed h LEFT JOIN spread USING (word))"""
     complete = "text IS NOT NULL" + ("" if unlabelled else " AND rating IS NOT NULL")
     return f"""
     rated AS (SELECT * FROM ({rated}) WHERE {complete}),
@@ -102,8 +118,7 @@ def bayes(
               FROM rated r CROSS JOIN members m WHERE r.rating IS NOT NULL),
     vocabulary AS (SELECT word, count(*) AS n FROM words {vocabulary_rows}
                    GROUP BY word),
-    counts AS (SELECT doc_id, word, count(*)::DOUBLE AS n
-               FROM words JOIN vocabulary USING (word) GROUP BY doc_id, word),
+    {counts},
     sizes AS (SELECT doc_id, sum(n) AS n FROM counts GROUP BY doc_id),
     labelled AS ({labelled}),
     fitted AS (SELECT * FROM labelled {fitted}),
@@ -122,7 +137,7 @@ def bayes(
                ln(c.n_class + {smooth}) - ln(c.n_all + c.n_classes * {smooth})
                + coalesce(h.gain, 0)
                + coalesce(s.n, 0) * (ln({smooth}) - ln(coalesce(t.n, 0)
-                   + (SELECT count(*) FROM vocabulary) * {smooth})) AS score
+                   + {width} * {smooth})) AS score
         FROM classes c CROSS JOIN rated r
         LEFT JOIN class_sizes t ON t.member = c.member AND t.label = c.label
         LEFT JOIN sizes s ON s.doc_id = r.doc_id
@@ -139,10 +154,11 @@ def tested(
     target: float | None = None,
     holdout: bool = True,
     scope: str = "train",
+    places: int = 0,
 ) -> str:
     """``bayes`` and then ``tested(member, doc_id, label, prediction)``."""
     side = "WHERE NOT l.in_train" if holdout else ""
-    return f"""{bayes(rated, members, target, holdout, scope)},
+    return f"""{bayes(rated, members, target, holdout, scope, places=places)},
     tested AS (SELECT l.member, l.doc_id, l.label, p.mark AS prediction
                FROM labelled l JOIN marks p ON p.member = l.member AND p.doc_id = l.doc_id {side})"""
 
