@@ -186,3 +186,13 @@ def test_keys_follow_the_content(spark):
     rows = spark.createDataFrame([(1.0, "a"), (1.0, "a"), (None, "a"), (1.0, None), (2.0, "b")] * 3, "rating double, text string")
     one, two = (sorted(map(tuple, reviews.with_key(rows.repartition(n)).collect()), key=repr) for n in (1, 7))
     assert one == two and len({r[-1] for r in one}) == 15
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077", "yarn", "k8s://https://host"])
+def test_a_cluster_needs_a_shared_folder(master):
+    class Session:
+        conf = {}
+        sparkContext = type("Context", (), {"master": master})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
