@@ -166,6 +166,23 @@ def test_lm_rare_words_take_the_join(spark):
         assert x["score"] == pytest.approx(many[key]["score"], rel=1e-3)
 
 
+@pytest.mark.parametrize("heavy", [0, 3, 40])
+def test_lm_knows_the_end_in_few_long_texts(spark, heavy):
+    """Ends are rarer than many words here, and still counted."""
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(words * (5 + k)) for k in range(3)] + ["", None, "w1 unseen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learned = F.col("doc_id") < 3
+    count = Counter(w for text in texts[:3] for w in [*text.split(), None])
+    total, distinct = sum(count.values()), len(count)
+    for x in lm.scores(docs, learned, heavy=heavy).collect():
+        own = [*(texts[x["doc_id"]] or "").split(), None]
+        base = sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in own)
+        assert (x["n_tokens"], x["n_known"]) == (len(own), sum(count[w] > 0 for w in own))
+        assert x["train_tokens"] == total and x["base_score"] == pytest.approx(base, rel=1e-9)
+        assert math.isfinite(x["score"]) and x["score"] < 0
+
+
 def test_lm_probabilities_sum_to_one_and_learn():
     rng = np.random.default_rng(0)
     counts = rng.integers(1, 50, 12)

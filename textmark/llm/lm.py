@@ -11,8 +11,8 @@ its texts into counts of contexts and classes, improves the shared weights on th
 weights are averaged by token in Spark, for a few rounds.  The noise is the classes' own
 frequency; its expectation over all classes replaces drawn samples.
 
-Word counts cover all training texts.  Words above a count that at most ``heavy`` words
-reach are sent to the tasks (a bounded table); all rarer words are joined by hash.
+Word counts cover all training texts.  The end and words above a count that at most ``heavy``
+words reach are sent to the tasks (a bounded table); all rarer words are joined by hash.
 
 Defined results: null and empty texts are one end token; a null key is scored but its fold
 decides as null (not in training, ``held_out`` null); rows that repeat are scored each;
@@ -306,7 +306,11 @@ def _scored(shared):
 
 
 def _vocabulary(counts: DataFrame, heavy: int, shortlist: int) -> Vocabulary:
-    """The frequent tokens: those above a count that at most ``heavy`` tokens reach."""
+    """The end, and the frequent words: those above a count that at most ``heavy`` tokens reach.
+
+    The end stays in the table however rare it is among the tokens, as it is in few, very long
+    texts: it takes no part in the join of rarer words.
+    """
     step = F.floor(F.log2("n") * 16).cast("int")
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("tokens"), F.sum("n").alias("n")).collect()
     total, distinct = sum(x["n"] for x in steps), sum(x["tokens"] for x in steps)
@@ -316,9 +320,10 @@ def _vocabulary(counts: DataFrame, heavy: int, shortlist: int) -> Vocabulary:
         if so_far > heavy:
             break
         least = x["step"]
-    frequent = counts.where(step >= least).toArrow() if least is not None else None
-    tokens = frequent["token"].to_numpy().view(np.uint64) if frequent else np.zeros(0, np.uint64)
-    return Vocabulary(tokens, frequent["n"].to_numpy() if frequent else np.zeros(0), total, distinct, shortlist)
+    is_end = F.col("token") == int(END)
+    frequent = counts.where(is_end if least is None else is_end | (step >= least)).toArrow()
+    tokens = frequent["token"].to_numpy().view(np.uint64)
+    return Vocabulary(tokens, frequent["n"].to_numpy(), total, distinct, shortlist)
 
 
 def scores(
