@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textmark import LearnerSpec, Scorer, fit_scorer, score_stream, score_table, score_text, train
 from textmark.operators import features as V
+from textmark.operators import lookup
 from textmark.operators.lookup import lookup_join
 from textmark.plans import bayes, ensemble
 from textmark.plans.ensemble import mark_with_members, train_members
@@ -291,3 +292,22 @@ def test_members_with_features_of_their_own(spark, reviews, folder):
     assert rows_of(score_table(texts, loaded).select("doc_id", "mark")) == rows_of(scored.select("doc_id", "mark"))
     with pytest.raises(ValueError, match="only naive Bayes"):
         fit_scorer(reviews, [LearnerSpec("tree", extractor="terms")])
+
+
+def test_frequent_terms_are_sent_and_the_others_shuffled(spark, reviews, monkeypatch):
+    """Marks are the same wherever the cut between them lies, and no more than the bound is sent."""
+    specs = [LearnerSpec("naive_bayes", "a", salt="a"), LearnerSpec("naive_bayes", "t", salt="t", target=9.0)]
+    whole = fit_scorer(reviews, specs, stop_words=["the"], extractor="terms")
+    assert whole.terms.least_seen is None
+    texts = reviews.dropna()
+    want = rows_of(whole.marks(texts, "doc_id", "text").select("doc_id", "mark_a", "mark_t"))
+    tested = [rows_of(member.tested) for member in whole.members]
+    size = whole.terms.weights.count()
+    for bytes_ in (0, 600):
+        monkeypatch.setattr(bayes, "least_frequent", functools.partial(lookup.least_frequent, max_bytes=bytes_))
+        cut = fit_scorer(reviews, specs, stop_words=["the"], extractor="terms")
+        sent = cut.terms.weights.where(F.col("seen") >= cut.terms.least_seen).count()
+        assert sent * 64 <= bytes_ and sent < size and (sent > 0) == (bytes_ > 0)
+        assert rows_of(cut.marks(texts, "doc_id", "text").select("doc_id", "mark_a", "mark_t")) == want
+        assert [rows_of(member.tested) for member in cut.members] == tested
+    assert fit_scorer(reviews, specs, extractor="terms", tested=False).members[0].tested is None
