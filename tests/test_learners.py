@@ -311,3 +311,13 @@ def test_frequent_terms_are_sent_and_the_others_shuffled(spark, reviews, monkeyp
         assert rows_of(cut.marks(texts, "doc_id", "text").select("doc_id", "mark_a", "mark_t")) == want
         assert [rows_of(member.tested) for member in cut.members] == tested
     assert fit_scorer(reviews, specs, extractor="terms", tested=False).members[0].tested is None
+
+
+def test_stream_of_a_table_in_several_files(spark, folder):
+    """The table may be a folder of files, and is scored whole."""
+    rows = [(key, ("de", "en")[key % 2], ("gut schön", "good fine")[key % 2]) for key in range(40)]
+    documents = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    documents.repartition(2).write.parquet(f"{folder}/documents.parquet")
+    from textmark.queries.registry import queries
+
+    assert queries()["score_stream"](spark, str(folder)).count() == 40
