@@ -8,7 +8,8 @@ in a window below the positive's.
 1. Rows are dealt into shards of about ``SHARD`` rows; each holds one list per dimension,
    sorted by value.  Anchors stream through the shards, a batch at a time.
 2. *Sorted access*: the lists are read in the direction of the sign of the anchor's
-   component, all to the same depth, which doubles from round to round.
+   component, all to the same depth, which doubles from round to round; once half of the
+   shard's rows were met, reading on saves nothing and the others are met at once.
 3. *Random access*: rows that were met for the first time are scored exactly, in integers.
 4. *Stop*: no row below that depth scores more than the threshold, the sum of the anchor's
    components times the values that stand there.  An anchor is done once the threshold is
@@ -69,15 +70,20 @@ class Lists:
     def __init__(self, ids: np.ndarray, rows: np.ndarray, labels: np.ndarray, vectors: np.ndarray):
         order = np.lexsort((rows, ids))  # ties of a score then stand in the order of ids
         self.ids, self.rows, self.labels, self.vectors = ids[order], rows[order], labels[order], vectors[order]
-        self.lists = np.argsort(self.vectors, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(self.vectors, self.lists, axis=0)
+        across = np.ascontiguousarray(self.vectors.T)
+        self.lists = np.argsort(across, axis=1, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(across, self.lists, axis=1)
         self.bound = int(np.abs(self.vectors).max(initial=0))
+        self.floats = self.vectors.astype(np.float64) if self.bound < 1 << 53 else None
 
     def _scores(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        vectors = self.vectors[rows]
         most = self.bound * int(np.abs(anchor).max(initial=0)) * max(1, len(anchor))
-        if most < 1 << 53:
-            return (vectors.astype(np.float64) @ anchor.astype(np.float64)).astype(np.int64)
+        if most < 1 << 53 and self.floats is not None:
+            anchor = anchor.astype(np.float64)
+            if 4 * len(rows) > len(self.ids):  # cheaper than a copy of so many rows
+                return (self.floats @ anchor)[rows].astype(np.int64)
+            return (self.floats[rows] @ anchor).astype(np.int64)
+        vectors = self.vectors[rows]
         if most < 1 << 63:
             return vectors @ anchor
         return (vectors.astype(object) @ anchor.astype(object)).astype(np.int64)
@@ -90,6 +96,7 @@ class Lists:
         n = len(self.ids)
         used = np.flatnonzero(anchor)
         down = anchor[used] > 0
+        falling, rising = used[down], used[~down]
         scores = np.zeros(n, np.int64)
         met = np.zeros(n, bool)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(low)
@@ -102,24 +109,28 @@ class Lists:
         while True:
             depth = min(depth, n)
             if len(used):
-                ahead = np.where(down, n - depth, read)
-                behind = np.where(down, n - read, depth)
-                reached = np.zeros(n, bool)
-                for d, start, stop in zip(used, ahead, behind, strict=True):
-                    reached[self.lists[start:stop, d]] = True
-                fresh = np.flatnonzero(reached & ~met)
+                if depth == n:
+                    fresh = np.flatnonzero(~met)
+                else:
+                    reached = np.zeros(n, bool)
+                    reached[self.lists[falling, n - depth : n - read]] = True
+                    reached[self.lists[rising, read:depth]] = True
+                    fresh = np.flatnonzero(reached & ~met)
                 met[fresh] = True
             if len(fresh):
                 scores[fresh] = self._scores(fresh, anchor)
             fresh = fresh[allowed[fresh]]
             if depth < n:
-                edge = self.sorted[np.where(down, n - depth, depth - 1), used]
+                edge = self.sorted[used, np.where(down, n - depth, depth - 1)]
                 threshold = int((edge.astype(object) * anchor[used].astype(object)).sum())
             else:
                 threshold = None
             still = []
             for w in waiting.tolist():
                 inside = fresh[(scores[fresh] >= low[w]) & (scores[fresh] <= high[w])]
+                if len(inside) > k:  # all that may be among the first k, ties too
+                    own = scores[inside]
+                    inside = inside[own >= np.partition(own, len(own) - k)[len(own) - k]]
                 if len(inside):
                     place = np.append(found[w][0], inside)
                     place = place[np.lexsort((place, -scores[place]))][:k]
@@ -130,7 +141,7 @@ class Lists:
             waiting = np.array(still, np.int64)
             if len(waiting) == 0 or depth == n:
                 return found, int(met.sum())
-            read, depth = depth, 2 * depth
+            read, depth = depth, n if 2 * int(met.sum()) >= n else 2 * depth
 
 
 def _vectors(column: pa.Array, width: int) -> np.ndarray:
