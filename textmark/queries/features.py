@@ -137,15 +137,19 @@ def hashed_tfidf(spark, folder):
 def hashing_tf_texts(spark, folder):
     """Per text: words in all buckets, no more buckets than terms, and a weight for each."""
     prepared = prepared_documents(spark, folder)
-    counts = hashing_tf(spark, folder).groupBy("doc_id").agg(
-        F.sum("n").alias("n_words"), F.count("*").alias("buckets")
+    hashed = V.hashed_counts().transform(prepared)
+    terms = F.size(F.array_distinct("words")).alias("terms")
+    # Texts are prepared once; all figures of a text come from its own vectors.
+    hashed = written(hashed.select("doc_id", "raw_features", terms), "hashed-texts")
+    idf = V.inverse_document_frequency(hashed, "raw_features")
+    counts, weights = F.unwrap_udt("raw_features"), F.unwrap_udt("weighted")
+    texts = idf.transform(hashed).select(
+        "doc_id", "terms",
+        F.aggregate(counts["values"], F.lit(0.0), lambda total, value: total + value).alias("n_words"),
+        F.size(counts["indices"]).alias("buckets"), F.size(weights["indices"]).alias("weights"),
+        F.array_min(F.transform(weights["values"], lambda weight: F.round(weight, 6))).alias("least"),
     )
-    weights = hashed_tfidf(spark, folder).groupBy("doc_id").agg(
-        F.count("*").alias("weights"), F.min("weight").alias("least")
-    )
-    terms = prepared.select("doc_id", F.size(F.array_distinct("words")).alias("terms"))
-    joined = counts.join(weights, "doc_id").join(terms, "doc_id")
-    return joined.select(
+    return texts.where("buckets > 0").select(
         "doc_id", "n_words", (F.col("buckets") <= F.col("terms")).alias("within_terms"),
         ((F.col("weights") == F.col("buckets")) & (F.col("least") >= 0)).alias("weighted"),
     )
