@@ -321,3 +321,13 @@ def test_stream_of_a_table_in_several_files(spark, folder):
     from textmark.queries.registry import queries
 
     assert queries()["score_stream"](spark, str(folder)).count() == 40
+
+
+def test_tfidf_of_rare_terms_is_shuffled_and_equal(spark, monkeypatch):
+    rows = [(key, ["often"] * 3 + [f"w{key % 7}", f"only{key}"]) for key in range(40)]
+    bag = V.bag_of_words(spark.createDataFrame(rows, "doc_id long, words array<string>"), "doc_id")
+    want = rows_of(V.tfidf(bag, "doc_id", 40))
+    assert len(want) == 120
+    for bytes_ in (0, 60):
+        monkeypatch.setattr(V, "least_frequent", functools.partial(lookup.least_frequent, max_bytes=bytes_))
+        assert rows_of(V.tfidf(bag, "doc_id", 40)) == want
