@@ -6,15 +6,17 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from textmark import LearnerSpec, Scorer, fit_scorer, score_stream, score_table, score_text, train
 from textmark.operators import features as V
 from textmark.operators import lookup
 from textmark.operators.lookup import lookup_join
-from textmark.plans import bayes, ensemble
+from textmark.plans import bayes, ensemble, learners, perceptron
 from textmark.plans.ensemble import mark_with_members, train_members
 
 KINDS = ["naive_bayes", "one_vs_rest", "perceptron", "tree"]
@@ -323,6 +325,34 @@ def test_stream_of_a_table_in_several_files(spark, folder):
     assert queries()["score_stream"](spark, str(folder)).count() == 40
 
 
+def test_wide_perceptron_trains_on_sparse_rows(spark, monkeypatch):
+    """No dense copy of the rows; the gradient is that of the loss, and Spark's model has the weights."""
+    rng = np.random.default_rng(5)
+    layers, starts = [6, 3, 2], np.array([0, 2, 2, 5])
+    places, values = np.array([0, 4, 1, 2, 5]), np.array([1.0, 2.0, 3.0, 1.0, 0.5])
+    weights, labels = rng.normal(size=6 * 3 + 3 + 3 * 2 + 2), np.array([1, 0, 1])
+    loss = lambda w: perceptron.gradient(labels, starts, places, values, w, layers)[0]
+    steps = 1e-6 * np.eye(len(weights))
+    slope = [(loss(weights + step) - loss(weights - step)) / 2e-6 for step in steps]
+    assert np.allclose(perceptron.gradient(labels, starts, places, values, weights, layers)[1], slope, atol=1e-5)
+
+    width, marks = 5000, [2.0, 5.0, 9.0]
+    rows = [(k, marks[k % 3], Vectors.sparse(width, [k % 3, 3 + k % 4990], [4.0, 1.0])) for k in range(120)]
+    df = spark.createDataFrame(rows, ["doc_id", "rating", "features"]).cache()
+    seen = []
+    stacked = lambda rows, *args: seen.append(args[0]) or trained(rows, *args)
+    trained = learners.trained_weights
+    monkeypatch.setattr(learners, "trained_weights", stacked)
+    member = train(df, LearnerSpec("perceptron", "mlp"))
+    assert seen == [[width, 5, 3]] and member.score().first()["accuracy"] > 0.9
+    model = member.model.stages[0]
+    rows = df.where("doc_id < 3").orderBy("doc_id").collect()
+    one, b1, two, b2 = perceptron._layers(model.weights.toArray(), [width, 5, 3])
+    for row in rows:
+        hidden = 1 / (1 + np.exp(-(row["features"].toArray() @ one + b1)))
+        assert np.argmax(hidden @ two + b2) == model.predict(row["features"])
+
+
 def test_tfidf_of_rare_terms_is_shuffled_and_equal(spark, monkeypatch):
     rows = [(key, ["often"] * 3 + [f"w{key % 7}", f"only{key}"]) for key in range(40)]
     bag = V.bag_of_words(spark.createDataFrame(rows, "doc_id long, words array<string>"), "doc_id")
