@@ -353,6 +353,17 @@ def test_wide_perceptron_trains_on_sparse_rows(spark, monkeypatch):
         assert np.argmax(hidden @ two + b2) == model.predict(row["features"])
 
 
+def test_tree_reads_bounded_bytes_in_a_task(spark, vectors, monkeypatch):
+    """Rows are dealt so that a task's dense values stay within the bound, however few cores."""
+    want = rows_of(train(vectors, LearnerSpec("tree", salt="k")).tested)
+    seen = []
+    monkeypatch.setattr(learners, "_TREE_BYTES", 160, raising=False)
+    fit = learners.Pipeline.fit
+    monkeypatch.setattr(learners.Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    assert rows_of(train(vectors.coalesce(1), LearnerSpec("tree", salt="k")).tested) == want
+    assert seen[0] >= 240 * 0.4 * 24 / 160
+
+
 def test_tfidf_of_rare_terms_is_shuffled_and_equal(spark, monkeypatch):
     rows = [(key, ["often"] * 3 + [f"w{key % 7}", f"only{key}"]) for key in range(40)]
     bag = V.bag_of_words(spark.createDataFrame(rows, "doc_id long, words array<string>"), "doc_id")
