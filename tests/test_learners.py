@@ -372,3 +372,30 @@ def test_tfidf_of_rare_terms_is_shuffled_and_equal(spark, monkeypatch):
     for bytes_ in (0, 60):
         monkeypatch.setattr(V, "least_frequent", functools.partial(lookup.least_frequent, max_bytes=bytes_))
         assert rows_of(V.tfidf(bag, "doc_id", 40)) == want
+
+
+@pytest.mark.parametrize("name", ["score_table", "score_beside_truth", "nb_ensemble_vote", "vote_accuracy"])
+def test_texts_that_train_and_are_scored_are_prepared_once(spark, folder, monkeypatch, name):
+    rows = [(key, ("de", "en")[key % 2], ("gut schön", "good fine")[key % 2]) for key in range(40)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{folder}/documents.parquet")
+    from textmark.plans import scoring
+    from textmark.queries.registry import queries
+
+    calls, real = [], scoring.prepare_words
+    monkeypatch.setattr(scoring, "prepare_words", lambda *a, **b: calls.append(1) or real(*a, **b))
+    assert queries()[name](spark, str(folder)).count() == (1 if name == "vote_accuracy" else 40)
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 20])
+def test_frequent_words_add_up_in_their_array(spark, monkeypatch, at_once):
+    """No row is made of a frequent word; null and empty texts have sums, equal keys stay as they are."""
+    monkeypatch.setattr(bayes, "_WORDS_AT_ONCE", at_once)
+    often = spark.createDataFrame([("a", 1.0, 10.0), ("b", 2.0, 20.0)], "term string, g0 double, g1 double")
+    texts = [(1, ["a", "x", "b", "a"]), (2, []), (3, None), (4, ["y", "x"]), (4, ["b"]), (5, ["a"] * 50)]
+    df = spark.createDataFrame(texts, "key int, words array<string>")
+    got = rows_of(bayes.frequent_sums(df, "key", often, 2))
+    assert got == [
+        (1, 3, 4.0, 40.0, ["x"]), (2, 0, 0.0, 0.0, []), (3, 0, 0.0, 0.0, []),
+        (4, 0, 0.0, 0.0, ["y", "x"]), (4, 1, 2.0, 20.0, []), (5, 50, 50.0, 500.0, []),
+    ]
