@@ -6,7 +6,8 @@ kept.  All but the last return the columns of ``docs``.
 Defined results: empty tables give empty tables; null and empty texts are scored like any
 other and, where kept, stay; rows whose ``doc_id`` is null belong to no group of near
 duplicates and stay; of rows that repeat the ``doc_id`` of a group's representative, one
-stays; extra columns are carried along unread.
+stays; extra columns are carried along unread.  Every stage bounds the session's Arrow
+batches by ``settings.BATCH_BYTES``, and they stay so bound.
 """
 
 from __future__ import annotations
@@ -15,18 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.llm import decontaminate, jaccard, pii, quality
-from textmark.llm.frames import narrowed, stored, without
+from textmark.llm.frames import narrowed, small_batches, stored, without
 from textmark.llm.queries import packed, quality_model, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts that the quality classifier accepts."""
+    small_batches(spark)
     score = quality.scorer(quality_model(spark, folder))
     return docs.where(quality.accepted(score("text")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
+    small_batches(spark)
     groups = stored(jaccard.near_duplicates(docs).where("doc_id is not null"), "pipeline-groups")
     copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
     repeated = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
@@ -39,17 +42,20 @@ def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
+    small_batches(spark)
     found = decontaminate.contamination(table(spark, folder, "benchmark"))
     return docs.where(~decontaminate.contaminated(found(F.col("text"))))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts with each span of personal data replaced by its kind."""
+    small_batches(spark)
     return docs.withColumn("text", pii.redact(F.col("text"))).select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Where each piece of each document stands in the packed sequences."""
+    small_batches(spark)
     return packed(docs)
 
 

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from conftest import TEXTS
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from test_pairs import brute_jaccard
 from test_texts import ITEMS, brute_contamination, brute_pii, check_packed
-from textmark.llm import queries, warc
+from textmark.llm import frames, jaccard, queries, warc
+from textmark.settings import BATCH_BYTES
 
 PAGES = [
     (1, "http://a/ b\r\nX: y", "<p>ą</p>"), (2, None, "<p>ą</p>"), (3, "http://c", None), (4, "http://d", ""),
@@ -125,6 +127,45 @@ def test_every_stage_against_plain_python(spark, small):
     assert Counter(map(tuple, whole)) == Counter(tuple(x)[:5] for x in after)
 
 
+ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def batches(spark):
+    """Rows and bytes of the Arrow batches in which 60 long texts reach Python."""
+
+    def sizes(parts):
+        for batch in parts:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    def run():
+        texts = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("long text "), 20_000).alias("text"))
+        return texts.mapInArrow(sizes, "n long, bytes long").collect()
+
+    spark.conf.unset(ARROW)
+    yield run
+    spark.conf.unset(ARROW)
+
+
+def test_long_texts_reach_python_in_small_batches(spark, small, batches):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    starts = [lambda: jaccard.near_duplicates(docs)]
+    starts += [lambda stage=stage: stage(spark, docs, small) for _, stage in corpus_pipeline.STAGES]
+    for start in starts:
+        spark.conf.unset(ARROW)
+        start()
+        found = batches()
+        assert sum(x["n"] for x in found) == 60
+        assert max(x["bytes"] for x in found) <= BATCH_BYTES + 2 * 200_000
+
+
+def test_smaller_bounds_of_the_session_stay(spark, batches):
+    for given, wanted in (("1m", "1m"), ("4096", "4096"), ("512KB", "512KB"), ("3m", str(BATCH_BYTES)), ("1g", str(BATCH_BYTES))):
+        spark.conf.set(ARROW, given)
+        frames.small_batches(spark)
+        assert spark.conf.get(ARROW) == wanted
+
+
 def test_empty_tables(spark, tables, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     items = spark.createDataFrame([], "item_id long, text string")

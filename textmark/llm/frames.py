@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmark.operators.lookup import fits_broadcast
 from textmark.runtime import work_folder
+from textmark.settings import BATCH_BYTES
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on an Arrow batch of ``spark`` takes no further row beyond ``BATCH_BYTES``.
+
+    By itself Spark allows 64 MB, so a whole split of long texts becomes one batch, and each
+    task holds it several times, beside the JVM's heap and in Python.  All rows are still
+    read, in more batches.  A smaller bound that the session has already stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(name).strip().lower())
+    most = int(given[1]) << 10 * " kmgtp".index(given[2] or " ") if given else 0
+    if not 0 < most <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

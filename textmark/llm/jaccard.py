@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmark.llm import words as W
-from textmark.llm.frames import components, narrowed, stored
+from textmark.llm.frames import components, narrowed, small_batches, stored
 from textmark.operators.lookup import fits_broadcast
 
 SHINGLE = 5
@@ -817,6 +817,7 @@ def near_duplicates(
     """``(key, n_shingles, component_id)`` per row of ``df``, as the module tells."""
     if percent < 50:
         raise ValueError("sizes that link must lie in neighbouring classes: percent from 50 on")
+    small_batches(df.sparkSession)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     frequent = df.sparkSession.sparkContext.broadcast(_frequent(docs, k))
     sets = stored(docs.mapInArrow(_sets(k, percent, frequent), _SETS), "jaccard-sets")
